@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 # Operator codes an imsi may start with, in the order of the operator table.
 ISP_CODES = (46000, 46001, 46002, 46003, 46007, 46099)
 
-# Link names of the two log families from lowest to highest rank.
-NETWORK_RANKS = {
-    "fad": ("Unknown", "WIFI", "GPRS", "2G", "3G", "4G"),
-    "sdk": ("Unknown", "WIFI", "2G", "3G", "4G"),
+# Sortable spelling of link names in the two log families. Plain text order then
+# is link order; names above "2" carry no prefix.
+NETWORK_KEYS = {
+    "fad": {"UNKNOWN": "-Unknown", "WIFI": "0WIFI", "GPRS": "1GPRS"},
+    "sdk": {"UNKNOWN": "0Unknown", "WIFI": "1WIFI"},
 }
 
 
@@ -44,38 +45,23 @@ def require_non_empty(df: DataFrame, cols: Iterable[str] = (),
 
 
 def rank_network(c: str | Column, style: str = "fad") -> Column:
-    """Rank of a link name: 0 for unknown, rising with the generation.
+    """Link name as text that sorts by link quality, so that ``max`` picks the best link.
 
-    The fad logs keep any other name (cut to eight characters) above ``GPRS``; comparing the
-    struct of :func:`network_order` gives the same order for those.
+    The fad logs keep any other name (cut to eight characters); the sdk logs know five names.
     """
-    names = NETWORK_RANKS[style]
+    keys = NETWORK_KEYS[style]
     value = F.upper(_col(c))
-    expr = F.when(value == names[1].upper(), 1)
-    for rank, name in enumerate(names[2:], start=2):
-        expr = expr.when(value == name, rank)
-    other = F.lit(2) if style == "fad" else F.lit(0)
-    unknown = ~has_text(c) | (value == "UNKNOWN")
-    return F.when(unknown, 0).otherwise(expr.otherwise(other)).cast("int")
+    expr = F.when(~has_text(c), keys["UNKNOWN"])
+    for name, key in keys.items():
+        expr = expr.when(value == name, key)
+    if style == "fad":
+        return expr.otherwise(F.substring(_col(c), 1, 8))
+    return expr.when(value.isin("2G", "3G", "4G"), value).otherwise(keys["UNKNOWN"])
 
 
-def clean_network(c: str | Column, style: str = "fad") -> Column:
-    """Canonical link name: ``Unknown`` and ``WIFI`` spelled one way, others clipped or unknown."""
-    value = _col(c)
-    if style == "fad":
-        return (F.when(~has_text(c), F.lit("Unknown"))
-                .when(F.upper(value) == "WIFI", F.lit("WIFI"))
-                .when(F.upper(value) == "UNKNOWN", F.lit("Unknown"))
-                .otherwise(F.substring(value, 1, 8)))
-    return (F.when(value.isin("2G", "3G", "4G"), value)
-            .when(value == "WIFI", F.lit("WIFI"))
-            .otherwise(F.lit("Unknown")))
-
-
-def network_order(c: str | Column, style: str = "fad") -> Column:
-    """Sortable struct (rank, name): the largest one of a group is its best link."""
-    name = clean_network(c, style)
-    return F.struct(rank_network(name, style).alias("rank"), name.alias("name"))
+def unrank_network(key: str | Column) -> Column:
+    """The link name behind a sortable key."""
+    return F.when(_col(key) < "2", F.substring(_col(key), 2, 64)).otherwise(_col(key))
 
 
 def network_from_text(c: str | Column, exact: bool = False) -> Column:
