@@ -47,17 +47,19 @@ def _versions(spark: SparkSession, path: str) -> list[str]:
 
 
 def publish_snapshot(df: DataFrame, path: str, run_date: str, keep: int = 3) -> str:
-    """Write ``df`` as the version of ``run_date`` (yyyyMMdd) and drop versions ``keep`` days older.
+    """Write ``df`` as a version of ``run_date`` (yyyyMMdd) and drop versions ``keep`` days older.
 
     A version counts once its write has committed, so readers see the old or the new table whole.
-    ``df`` may read an older version: the files of a version are never changed by another one.
+    ``df`` may read any stored version: publishing again on one day adds a numbered version beside
+    the first instead of overwriting files that are being read.
     """
     spark = df.sparkSession
-    target = f"{path}/version={run_date}"
+    again = sum(v[:8] == run_date for v in _versions(spark, path))
+    target = f"{path}/version={run_date}" + (f"-{again:04d}" if again else "")
     df.write.mode("overwrite").parquet(target)
     oldest = datetime.strptime(run_date, "%Y%m%d") - timedelta(days=keep)
     for version in _versions(spark, path):
-        if version <= oldest.strftime("%Y%m%d"):
+        if version[:8] <= oldest.strftime("%Y%m%d"):
             files.delete(spark, f"{path}/version={version}")
     return target
 
@@ -69,10 +71,10 @@ def read_snapshot(spark: SparkSession, path: str, before: str | None = None) ->
 
 
 def restore_snapshot(spark: SparkSession, path: str, run_date: str) -> DataFrame | None:
-    """State to recompute ``run_date`` from: the version before it. Later versions are dropped, so
-    that the redone run is the newest again."""
+    """State to recompute ``run_date`` from: the newest version before it. Versions of that day and
+    later ones are dropped, so that the redone run is the newest again."""
     for version in _versions(spark, path):
-        if version > run_date:
+        if version >= run_date:
             files.delete(spark, f"{path}/version={version}")
     return read_snapshot(spark, path, before=run_date)
 

@@ -3,32 +3,29 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from tallyline.functions.dates import date_int
 from tallyline.operators.fold import fold, with_source
 from tallyline.operators.merge import NEW_USER, merge_new_users
 from tallyline.sinks import files
 from tallyline.sinks.tables import publish_snapshot, read_snapshot
 
 
-def _merge(current: DataFrame | None, delta: DataFrame | None) -> DataFrame | None:
-    if delta is None:
-        return current
-    rows = delta.drop("create_date", "batch")
-    from tallyline.functions.dates import date_int
-    return (fold(with_source(current, rows), ["aid"], NEW_USER)
-            .withColumn("create_date", date_int("create_time")))
+def _finished(spark: SparkSession, path: str) -> list[str]:
+    """Deltas whose write has committed."""
+    names = [n for n in files.children(spark, f"{path}/delta") if n.startswith("batch=")]
+    return [f"{path}/delta/{n}" for n in names if files.exists(spark, f"{path}/delta/{n}/_SUCCESS")]
 
 
-def _deltas(spark: SparkSession, path: str) -> DataFrame | None:
-    names = [n for n in files.children(spark, f"{path}/delta") if n.startswith("batch=")
-             and files.exists(spark, f"{path}/delta/{n}/_SUCCESS")]
-    return spark.read.parquet(*[f"{path}/delta/{n}" for n in names]) if names else None
+def _merge(current: DataFrame | None, deltas: DataFrame) -> DataFrame:
+    rows = with_source(current, deltas.drop("create_date"))
+    return fold(rows, ["aid"], NEW_USER).withColumn("create_date", date_int("create_time"))
 
 
 def read_new_users(spark: SparkSession, path: str) -> DataFrame | None:
     """The current table: the newest snapshot merged with all deltas since."""
-    return _merge(read_snapshot(spark, f"{path}/snapshot"), _deltas(spark, path))
+    current, names = read_snapshot(spark, f"{path}/snapshot"), _finished(spark, path)
+    return _merge(current, spark.read.parquet(*names)) if names else current
 
 
 def stream_new_users(stream: DataFrame, path: str, checkpoint: str, **trigger):
@@ -50,15 +47,10 @@ def compact_new_users(spark: SparkSession, path: str, run_date: str, keep: int =
 
     A delta that is folded twice after a crash between the two steps changes nothing.
     """
-    names = [n for n in files.children(spark, f"{path}/delta") if n.startswith("batch=")
-             and files.exists(spark, f"{path}/delta/{n}/_SUCCESS")]
-    current = read_snapshot(spark, f"{path}/snapshot", before=run_date)
+    names = _finished(spark, path)
     if names:
-        delta = spark.read.parquet(*[f"{path}/delta/{n}" for n in names])
-        same_day = read_snapshot(spark, f"{path}/snapshot")
-        if same_day is not None and current is None:
-            current = None
-        publish_snapshot(_merge(current, delta), f"{path}/snapshot", run_date, keep)
-        for n in names:
-            files.delete(spark, f"{path}/delta/{n}")
+        current = read_snapshot(spark, f"{path}/snapshot")
+        publish_snapshot(_merge(current, spark.read.parquet(*names)), f"{path}/snapshot", run_date, keep)
+        for name in names:
+            files.delete(spark, name)
     return read_snapshot(spark, f"{path}/snapshot")
