@@ -266,16 +266,13 @@ s AS (SELECT uid, 'i' || (k % 25) AS ad, {day_int('ts')} AS d, 'url' || k AS api
   QUALIFY row_number() OVER (PARTITION BY uid, k % 25 ORDER BY d DESC, 'url' || k DESC) = 1),
 h AS (SELECT uid, 'i' || (unnest([k, k + 3]) % 25) AS ad, event_type AS e, {day_int('ts')} AS d FROM log
       WHERE event_type IN ('click', 'purchase')),
-w AS (SELECT uid, ad, max(d) FILTER (e = 'click') AS show, max(d) FILTER (e = 'purchase') AS click FROM h GROUP BY ALL)
+w AS (SELECT uid, ad, max(d) FILTER (e = 'click') AS sd, max(d) FILTER (e = 'purchase') AS cd FROM h GROUP BY ALL)
 SELECT s.uid AS androidid, s.ad AS ad_id, apiurl, clickurl, channel AS custom_id, imei, title, 'x' AS adtype,
-  CASE WHEN show IS NOT NULL AND click IS NOT NULL THEN 3 WHEN show IS NOT NULL THEN 2 ELSE 1 END AS ad_status,
-  d AS create_date, show AS show_date, CASE WHEN show IS NOT NULL THEN click END AS click_date
+  CASE WHEN sd IS NOT NULL AND cd IS NOT NULL THEN 3 WHEN sd IS NOT NULL THEN 2 ELSE 1 END AS ad_status,
+  d AS create_date, sd AS show_date, CASE WHEN sd IS NOT NULL THEN cd END AS click_date
 FROM s LEFT JOIN w ON s.uid = w.uid AND s.ad = w.ad""")
 def api_ad_status(v):
-    log = _api_log(v)
-    stored = funnel.api_ad_status(log.where("create_time < '2024-01-16'"))
-    del stored  # a stored state forgets shows of ads not sent yet; the whole log is the full run
-    return funnel.api_ad_status(log)
+    return funnel.api_ad_status(_api_log(v))
 
 
 # --- upgrades --------------------------------------------------------------------------------

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 # (spark.sql.optimizer.windowGroupLimitThreshold); above it the limit is done in two steps here.
 _BUILT_IN_GROUP_LIMIT = 1000
 _SALTS = 64
+_NULL_SPREAD = 1024
 
 
 def bucketed_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
@@ -51,58 +52,53 @@ def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n:
     return df.withColumn(rank, F.row_number().over(whole)).where(F.col(rank) <= n)
 
 
-def lookup(df: DataFrame, table: DataFrame, key: str | Sequence[str], hot: int = 1000) -> DataFrame:
+def lookup(df: DataFrame, table: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Left join of a large ``df`` with a ``table`` that holds every ``key`` at most once.
 
-    The ``hot`` most frequent keys of ``df`` (an exact, bounded list) are joined by a broadcast of
-    at most ``hot`` rows of ``table``; all other rows by a shuffle join. Rows without a key skip
-    the join, so that nulls never meet in one task.
+    One pass over ``df`` and one shuffle: a partition that a hot key makes too large is split at
+    run time by the adaptive skew join (the row of ``table`` is then read by every split). Rows
+    without a key match nothing; they are spread by a hash of the row instead of meeting in the
+    one partition of null.
     """
     keys = [key] if isinstance(key, str) else list(key)
     complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    frequent = (df.where(complete).groupBy(*keys).agg(F.count("*").alias("_n"))
-                .orderBy(F.desc("_n"), *keys).limit(hot).select(*keys, F.lit(True).alias("_hot")))
-    marked = df.join(F.broadcast(frequent), keys, "left")
-    added = [c for c in table.columns if c not in keys]
-    columns = [*df.columns, *added]
-    hot_side = F.broadcast(table.join(F.broadcast(frequent.select(*keys)), keys, "left_semi"))
-    hot_rows = marked.where("_hot").drop("_hot").join(hot_side, keys, "left").select(*columns)
-    cold = marked.where("_hot IS NULL").drop("_hot")
-    cold_rows = cold.where(complete).join(table, keys, "left").select(*columns)
-    missing = [F.lit(None).cast(table.schema[c].dataType).alias(c) for c in added]
-    no_key = cold.where(~complete).select(*df.columns, *missing)
-    return hot_rows.unionByName(cold_rows).unionByName(no_key)
+    spread = F.when(complete, 0).otherwise(F.pmod(F.xxhash64(*df.columns), F.lit(_NULL_SPREAD)).cast("int"))
+    return (df.withColumn("_spread", spread)
+            .join(table.withColumn("_spread", F.lit(0)), [*keys, "_spread"], "left").drop("_spread")
+            .select(*df.columns, *[c for c in table.columns if c not in keys]))
 
 
 def latest_rows(df: DataFrame, time: str, key: str, n: int, buckets: int = 4096) -> DataFrame:
-    """The ``n`` rows with the latest ``time`` (whole seconds); ties are cut by a hash of ``key``.
+    """The ``n`` rows with the latest ``time`` (whole seconds); ties are cut by a hash of ``key``,
+    which must be unique.
 
-    A sort with a large limit would pass all ``n`` rows through one task. Here the cut is found
-    from counts per second, then from counts per hash bucket of the one second that is only partly
-    taken, then by rank inside the one bucket that is only partly taken.
+    A sort with a large limit would pass all ``n`` rows through one task. Here the cut is looked up
+    first, from counts per second, then per hash bucket of the one second that is only partly
+    taken, then by key inside the one bucket that is only partly taken. Each step brings one row of
+    numbers to the driver; the result is a plain filter on ``df``.
     """
-    rows = df.withColumns({"_sec": F.unix_timestamp(time),
-                           "_bucket": F.pmod(F.xxhash64(key), F.lit(buckets))})
-
-    def budget(counts: DataFrame, order: Column, first: Column) -> DataFrame:
-        # ``_room``: how many rows of the group still fit when all groups before it are taken
-        before = F.coalesce(F.sum("_n").over(Window.partitionBy().orderBy(order)
-                                             .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        return counts.withColumn("_room", first - before).where(F.col("_room") > 0)
-
-    seconds = budget(rows.groupBy("_sec").agg(F.count("*").alias("_n")), F.desc("_sec"), F.lit(n))
-    # one row per second of the scanned period; the join side is cut by AQE or sorted, not hinted
-    sized = rows.join(seconds.select("_sec", "_n", "_room"), "_sec")
-    whole = sized.where(F.col("_n") <= F.col("_room"))
-    cut = sized.where(F.col("_n") > F.col("_room")).withColumnRenamed("_room", "_left").drop("_n")
-    per_bucket = cut.groupBy("_bucket").agg(F.count("*").alias("_n"), F.max("_left").alias("_l"))
-    parts = budget(per_bucket, F.asc("_bucket"), F.col("_l"))  # at most ``buckets`` rows
-    cut = cut.join(F.broadcast(parts.select("_bucket", "_n", "_room")), "_bucket")
-    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(key))
-    partly = (cut.where(F.col("_n") > F.col("_room")).withColumn("_rank", rank)
-              .where(F.col("_rank") <= F.col("_room")))
-    taken = [whole, cut.where(F.col("_n") <= F.col("_room")), partly]
-    return reduce(DataFrame.unionByName, [t.select(*df.columns) for t in taken])
+    sec, bucket = F.unix_timestamp(time), F.pmod(F.xxhash64(key), F.lit(buckets))
+
+    def cut(rows: DataFrame, part: Column, descending: bool, room: int):
+        # the first group that does not fit whole, and how many of its rows still do
+        order = F.desc("_part") if descending else F.asc("_part")
+        before = F.sum("_n").over(Window.partitionBy().orderBy(order).rowsBetween(
+            Window.unboundedPreceding, -1))
+        counts = rows.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+        left = counts.withColumn("_room", F.lit(room) - F.coalesce(before, F.lit(0)))
+        return left.where(F.col("_room") < F.col("_n")).orderBy(order).select("_part", "_room").first()
+
+    last = cut(df, sec, True, n)
+    if last is None:
+        return df
+    second = df.where(sec == last["_part"])
+    some = cut(second, bucket, False, last["_room"])
+    rest = second.where(bucket == some["_part"]).select(key).orderBy(key).limit(max(some["_room"], 0))
+    final = rest.agg(F.max(key)).first()[0]
+    tie = bucket < some["_part"]
+    if final is not None:
+        tie = tie | ((bucket == some["_part"]) & (F.col(key) <= F.lit(final)))
+    return df.where((sec > last["_part"]) | ((sec == last["_part"]) & tie))
 
 
 def distinct_users(df: DataFrame, keys: Sequence[str], user: str,
