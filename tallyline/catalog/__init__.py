@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ("state", "quality", "content")
+_MODULES = ("state", "quality", "content", "io")
 
 
 def _load():

@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import functions as F
 
 from tallyline.catalog.registry import day_int, query, ts_text
 from tallyline.functions import clean, dates, packed
-from tallyline.operators import activity, content, dims, merge, ranking, recommend
+from tallyline.operators import content, dims, ranking, recommend
 from tallyline.plans import daily
-from tallyline.session import checkpoint_dir
+from tallyline.session import scratch
 from tallyline.sinks import tables as sinks
 from tallyline.sources.streams import parse_messages
 from tallyline.streaming.channel_counts import stream_channel_counts
@@ -578,10 +575,9 @@ def channel_counts_stream(v):
     """The events as a message stream through the streaming plan, in complete mode."""
     message = F.to_json(F.struct(F.col("uid").alias("aid"), F.col("channel").alias("channel_code"),
                                  F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("create_time")))
-    folder = tempfile.mkdtemp(prefix="stream-", dir=checkpoint_dir(v.spark)) if os.path.isabs(checkpoint_dir(v.spark)) \
-        else f"{checkpoint_dir(v.spark)}/stream"
+    folder = scratch(v.spark, "channel_counts")
     v.log.select(message.alias("value")).write.mode("overwrite").text(f"{folder}/in")
-    name = "channel_counts_" + folder.rsplit("-", 1)[-1].replace("/", "_")
+    name = folder.rsplit("/", 1)[-1].replace("-", "_")
     counts = stream_channel_counts(parse_messages(v.spark.readStream.text(f"{folder}/in")))
     run = (counts.writeStream.format("memory").queryName(name).outputMode("complete")
            .option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start())

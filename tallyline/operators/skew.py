@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The optimizer limits a ranked group before its shuffle up to this rank
 # (spark.sql.optimizer.windowGroupLimitThreshold); above it the limit is done in two steps here.
@@ -62,7 +63,8 @@ def lookup(df: DataFrame, table: DataFrame, key: str | Sequence[str]) -> DataFra
     """
     keys = [key] if isinstance(key, str) else list(key)
     complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    spread = F.when(complete, 0).otherwise(F.pmod(F.xxhash64(*df.columns), F.lit(_NULL_SPREAD)).cast("int"))
+    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    spread = F.when(complete, 0).otherwise(F.pmod(F.xxhash64(*plain), F.lit(_NULL_SPREAD)).cast("int"))
     return (df.withColumn("_spread", spread)
             .join(table.withColumn("_spread", F.lit(0)), [*keys, "_spread"], "left").drop("_spread")
             .select(*df.columns, *[c for c in table.columns if c not in keys]))

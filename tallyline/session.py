@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -49,3 +50,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) \
         or spark.conf.get("spark.checkpoint.dir", None)
     return shared or tempfile.mkdtemp(prefix="run-")
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder name under the shared folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -13,6 +13,9 @@ from tallyline.operators.skew import top_per_key
 from tallyline.sinks import files
 
 
+TIMESTAMP_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
+
 def _write_partitions(df: DataFrame, path: str, col: str, rebalance: bool = True) -> None:
     # AQE's rebalance evens out files: small partitions are merged, a hot one is split
     rows = df.hint("rebalance", F.col(col)) if rebalance else df
@@ -163,8 +166,9 @@ def split_by_event_date(df: DataFrame, path: str, time: str = "createtime", fmt:
     late straggler day by one.
     """
     dated = df.withColumn("event_date", F.date_format(time, "yyyy-MM-dd"))
+    # whole microseconds: text formats would cut a timestamp to milliseconds by default
     (dated.hint("rebalance", F.col("event_date")).write.mode("append").partitionBy("event_date")
-     .format(fmt).save(path))
+     .option("timestampFormat", TIMESTAMP_TEXT).format(fmt).save(path))
 
 
 def export_table(src: DataFrame, dst: str, where: Column | str | None = None, fmt: str = "parquet") -> None:

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tallyline.functions.dates import on_day
 from tallyline.schemas import log_schema
+from tallyline.sinks import files
 
 
 def date_range(start: str, end: str) -> list[str]:
@@ -18,43 +19,39 @@ def date_range(start: str, end: str) -> list[str]:
     return [(first + timedelta(days=i)).isoformat() for i in range((last - first).days + 1)]
 
 
-def log_dirs(root: str, product: str, start: str, end: str) -> list[str]:
-    """``root/yyyy-MM-dd/product`` for every day of the range."""
-    return [f"{root.rstrip('/')}/{day}/{product}" for day in date_range(start, end)]
+DAY_LAYOUT = "{root}/{day}/{product}"
+DATE_LAYOUT = "{root}/{product}/event_date={day}"  # as written by ``split_by_event_date``
+
+
+def log_dirs(root: str, product: str, start: str, end: str, layout: str = DAY_LAYOUT) -> list[str]:
+    """The directory of every day of the range, by default ``root/yyyy-MM-dd/product``."""
+    return [layout.format(root=root.rstrip("/"), day=day, product=product) for day in date_range(start, end)]
 
 
 def read_json_logs(spark: SparkSession, root: str, product: str, start: str, end: str,
-                   schema: T.StructType | str, unquoted: bool = False) -> DataFrame:
+                   schema: T.StructType | str, unquoted: bool = False,
+                   layout: str = DAY_LAYOUT) -> DataFrame:
     """JSON lines of an inclusive date range under an explicit schema.
 
     ``schema`` is a type or the name of a known log. ``unquoted`` accepts field names without
     quotes. A column an older log lacks is read as null.
     """
     schema = log_schema(schema) if isinstance(schema, str) and " " not in schema else schema
-    reader = spark.read.schema(schema).option("allowUnquotedFieldNames", unquoted)
-    # a day without a directory has no rows; it must not stop the range
-    return reader.option("ignoreMissingFiles", True).json(_present(spark, log_dirs(root, product, start, end)))
-
-
-def _present(spark: SparkSession, paths: list[str]) -> list[str]:
-    """The paths that exist; an error if none does."""
-    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-    found = []
-    for p in paths:
-        path = spark._jvm.org.apache.hadoop.fs.Path(p)
-        if path.getFileSystem(hadoop).exists(path):
-            found.append(p)
+    paths = log_dirs(root, product, start, end, layout)
+    # a day without a directory has no rows and must not stop the range
+    found = [p for p in paths if files.exists(spark, p)]
     if not found:
         raise FileNotFoundError(f"no log directory among {paths}")
-    return found
+    return spark.read.schema(schema).option("allowUnquotedFieldNames", unquoted).json(found)
 
 
 def read_day_logs(spark: SparkSession, root: str, product: str, day: str, schema: T.StructType | str,
-                  time: str = "createtime", strict: bool = True, unquoted: bool = True) -> DataFrame:
+                  time: str = "createtime", strict: bool = True, unquoted: bool = True,
+                  layout: str = DAY_LAYOUT) -> DataFrame:
     """Rows of one day by event time. ``strict`` also reads the next day's directory, where logs
     delivered past midnight lie."""
     last = (date.fromisoformat(day) + timedelta(days=1 if strict else 0)).isoformat()
-    return read_json_logs(spark, root, product, day, last, schema, unquoted).where(on_day(time, day))
+    return read_json_logs(spark, root, product, day, last, schema, unquoted, layout).where(on_day(time, day))
 
 
 def read_delimited_events(spark: SparkSession, path: str | list[str],
