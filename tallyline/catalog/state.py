@@ -318,7 +318,7 @@ SELECT m.uid AS uuid, 'app' AS app_key, {day_int('m.d')} AS active_date, m.log_t
 FROM m LEFT JOIN s ON m.uid = s.uid AND m.d = s.d AND m.log_type = 1 JOIN c ON m.uid = c.uid""")
 def daily_active_rich(v):
     log = activity.rich_log(v.rich)
-    return activity.daily_active_rich(log, activity.sessions(v.using, v.app_clients), v.app_clients)
+    return activity.daily_active_rich(log, activity.session_lengths(v.using), v.app_clients)
 
 
 @query("hourly_active", f"""
@@ -334,7 +334,7 @@ LEFT JOIN n ON n.channel = g.channel AND n.version = g.version AND n.d = g.d AND
     "SELECT g.channel AS customer_id, g.version, CAST(strftime(g.d,"))
 def hourly_active(v):
     log = activity.rich_log(v.rich)
-    active = activity.daily_active_rich(log, activity.sessions(v.using, v.app_clients), v.app_clients)
+    active = activity.daily_active_rich(log, activity.session_lengths(v.using), v.app_clients)
     return activity.hourly_active(active.where("log_type = 1"))
 
 

@@ -156,6 +156,12 @@ def _session_output(rows: DataFrame) -> DataFrame:
     }).drop("_day")
 
 
+def session_lengths(log: DataFrame) -> DataFrame:
+    """Sessions with their day and seconds but without the link to the previous one."""
+    return _session_rows(log).withColumns({"create_date": date_int("create_time"),
+                                           "duration": session_seconds(F.col("duration") * 1000)})
+
+
 def sessions(log: DataFrame, clients: DataFrame) -> DataFrame:
     """One row per session: start, version, seconds, start of the user's previous session in the
     same app and the days since then (-1 when there is none)."""

@@ -144,41 +144,37 @@ def _score_block(n: int):
     """Scores one block of users against one block of items; both are bounded in size."""
 
     def run(users: pd.DataFrame, items: pd.DataFrame) -> pd.DataFrame:
-        out = []
+        devices, picked, sims = [], [], []
+        ids, times = items["id"].to_numpy(np.int64), items["publish_us"].to_numpy(np.int64)
         if len(users) and len(items):
-            ids = items["id"].to_numpy()
-            times = items["publish_us"].to_numpy()
-            sizes = np.array([len(t) for t in items["tag_ids"]])
+            sizes = items["tag_ids"].str.len().to_numpy()
             owner = np.repeat(np.arange(len(items)), sizes)
-            tag = np.concatenate([np.asarray(t, dtype=np.int64) for t in items["tag_ids"]])
-            weight = np.concatenate([np.asarray(w, dtype=np.float64) for w in items["weights"]])
+            tag = np.concatenate(items["tag_ids"].to_numpy())
+            weight = np.concatenate(items["weights"].to_numpy())
             lengths = np.sqrt(np.bincount(owner, weight * weight, minlength=len(items)))
             order = np.argsort(tag, kind="stable")
             tag, owner, weight = tag[order], owner[order], weight[order]
-            for device, tags, weights, seen in zip(users["device_id"], users["tag_ids"],
-                                                   users["weights"], users["seen"]):
-                w = np.asarray(weights, dtype=np.float64)
-                t = np.asarray(tags, dtype=np.int64)
+            for device, t, w, seen in zip(users["device_id"], users["tag_ids"], users["weights"], users["seen"]):
                 lo, hi = np.searchsorted(tag, t, "left"), np.searchsorted(tag, t, "right")
-                if not (hi > lo).any():
+                counts = hi - lo
+                if not counts.any():
                     continue
-                hits = np.concatenate([np.arange(a, b) for a, b in zip(lo, hi)])
-                products = weight[hits] * np.repeat(w, hi - lo)
-                total = np.bincount(owner[hits], products, minlength=len(ids))
+                # positions of all item entries that share a tag with the user
+                starts = np.repeat(lo - np.concatenate(([0], counts.cumsum()[:-1])), counts)
+                hits = starts + np.arange(counts.sum())
+                total = np.bincount(owner[hits], weight[hits] * np.repeat(w, counts), minlength=len(ids))
                 found = np.flatnonzero(total > 0)
                 if seen is not None and len(seen):
-                    found = found[~np.isin(ids[found], np.asarray(seen, dtype=ids.dtype))]
-                if not len(found):
-                    continue
+                    found = found[~np.isin(ids[found], seen)]
                 sim = np.round(total[found] / (lengths[found] * np.sqrt((w * w).sum())), 12)
                 best = np.lexsort((-ids[found], -times[found], -sim))[:n]
-                out.append(pd.DataFrame({"device_id": device, "info_id": ids[found][best],
-                                         "similarity": sim[best], "publish_us": times[found][best]}))
-        if not out:
-            return pd.DataFrame({"device_id": pd.Series(dtype=object), "info_id": pd.Series(dtype="int64"),
-                                 "similarity": pd.Series(dtype="float64"),
-                                 "publish_us": pd.Series(dtype="int64")})
-        return pd.concat(out, ignore_index=True)
+                devices.append((device, len(best)))
+                picked.append(found[best])
+                sims.append(sim[best])
+        at = np.concatenate(picked) if picked else np.empty(0, dtype=np.int64)
+        names = np.repeat(np.array([d for d, _ in devices], dtype=object), [c for _, c in devices])
+        return pd.DataFrame({"device_id": names if len(at) else pd.Series(dtype=object), "info_id": ids[at],
+                             "similarity": np.concatenate(sims) if sims else np.empty(0), "publish_us": times[at]})
 
     return run
 
@@ -216,6 +212,10 @@ def recommend_similar(profiles: DataFrame, active: DataFrame, items: DataFrame,
     wares = (latest.withColumn("ib", F.pmod(F.xxhash64("id"), F.lit(item_blocks)).cast("int"))
              .withColumn("ub", F.explode(F.sequence(F.lit(0), F.lit(user_blocks - 1))))
              .withColumn("ub", F.col("ub").cast("long")))
+    # A fixed number of partitions: a block is small in bytes but heavy to score, so it must not be
+    # merged with others by size.
+    people = people.repartition(user_blocks, "ub", "ib")
+    wares = wares.repartition(user_blocks, "ub", "ib")
     found = people.groupBy("ub", "ib").cogroup(wares.groupBy("ub", "ib")).applyInPandas(
         _score_block(n), f"device_id {profiles.schema['device_id'].dataType.simpleString()}, "
                          "info_id long, similarity double, publish_us long")

@@ -27,7 +27,10 @@ def bucketed_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], value
     keys = list(keys)
     inside = Window.partitionBy(*keys, bucket).orderBy(*order)
     rows = df.withColumn("_prev", F.lag(F.struct(F.col(value).alias("v"))).over(inside))
-    tail = F.max(F.struct(*order, F.col(value).alias("_v")))
+    # The tail carries every column although only the value is needed: both branches then ask for
+    # the same columns of ``df``, so an exchange below them is computed once and reused.
+    others = [c for c in df.columns if c not in {*keys, *order, value, bucket}]
+    tail = F.max(F.struct(*order, F.col(value).alias("_v"), *others))
     across = Window.partitionBy(*keys).orderBy(bucket)
     carried = (df.groupBy(*keys, bucket).agg(tail.alias("_tail"))
                .select(*keys, bucket, F.lag("_tail").over(across).alias("_carry")))

@@ -33,6 +33,7 @@ def local_session(app: str = "tallyline", cores: str = "*", partitions: int = 8,
                .config("spark.sql.shuffle.partitions", str(partitions))
                .config("spark.driver.memory", memory)
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     for key, value in RUNTIME_CONF.items():
         builder = builder.config(key, value)
