@@ -167,8 +167,9 @@ def content_summary(v):
 
 @query("weekly_report", """
 SELECT p_brand AS id, any_value(p_brand || ' maker') AS title, CAST(sum(l_linenumber) AS BIGINT) AS click_count,
-  CAST(sum(l_quantity) AS BIGINT) AS user_count, '19980105-19980111' AS date_range, 1 AS category_id, 'all' AS category_name
-FROM lineitem JOIN part ON l_partkey = p_partkey
+  CAST(sum(l_quantity) AS BIGINT) AS user_count, '19980105-19980111' AS date_range, any_value(r_regionkey) AS category_id,
+  any_value(r_name) AS category_name
+FROM lineitem JOIN part ON l_partkey = p_partkey JOIN region ON r_regionkey = length(p_brand) % 5
 WHERE l_shipdate >= DATE '1998-01-05' AND l_shipdate < DATE '1998-01-12' GROUP BY p_brand""", log=False)
 def weekly_report(v):
     parts = v.table("part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("id"))
@@ -176,8 +177,9 @@ def weekly_report(v):
                                              F.col("l_linenumber").alias("click_count"),
                                              F.col("l_quantity").cast("long").alias("user_count"))
                   .join(parts, "l_partkey"))
-    described = parts.select("id").distinct().select("id", F.concat("id", F.lit(" maker")).alias("title"), F.lit(1).alias("category_id"))
-    categories = v.table("region").select(F.lit(1).alias("id"), F.lit("all").alias("name")).distinct()
+    described = parts.select("id").distinct().select("id", F.concat("id", F.lit(" maker")).alias("title"),
+                                                    (F.length("id") % 5).alias("category_id"))
+    categories = v.table("region").select(F.col("r_regionkey").alias("id"), F.col("r_name").alias("name"))
     return content.weekly_report(daily_rows, 19980105, 19980111, ["id"], ["click_count", "user_count"],
                                  content=described, categories=categories)
 
