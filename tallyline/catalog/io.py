@@ -66,7 +66,7 @@ def read_delimited_events(v):
 def _api_lines(v):
     """API log lines with a prefix before the JSON and keys in changing letter case."""
     k = F.col("k")
-    method = F.when(k % 3 == 0, "jz.yaya.information.list").when(k % 3 == 1, "jz.yaya.information.browse").otherwise("jz.yaya.information.index")
+    method = F.when(k % 3 == 0, "app.api.information.list").when(k % 3 == 1, "app.api.information.browse").otherwise("app.api.information.index")
     line = F.when(k % 2 == 0, F.to_json(F.struct(method.alias("Method"), F.col("uid").alias("UUID"), k.cast("string").alias("categoryid"),
                                                  F.col("channel").alias("CLNT")))).otherwise(
         F.to_json(F.struct(method.alias("method"), F.col("uid").alias("udid"), k.cast("string").alias("informationId"),

@@ -146,14 +146,15 @@ def _session_rows(log: DataFrame) -> DataFrame:
                     F.round(F.col("_ms") / 1000).cast("long").alias("duration")))
 
 
-def _session_output(rows: DataFrame) -> DataFrame:
-    linked = bucketed_lag(rows.withColumn("_day", F.to_date("create_time")), ["uuid", "app_key"],
-                          ["create_time", "session_id"], "create_time", "_day", "prev_time")
+def _session_output(rows: DataFrame, bucket: str) -> DataFrame:
+    linked = bucketed_lag(rows.withColumn("_bucket", F.date_trunc(bucket, "create_time")),
+                          ["uuid", "app_key"], ["create_time", "session_id"], "create_time", "_bucket",
+                          "prev_time")
     return linked.withColumns({
         "create_date": date_int("create_time"),
         "duration": session_seconds(F.col("duration") * 1000),
         "date_diff": F.coalesce(day_gap("create_time", "prev_time"), F.lit(-1)),
-    }).drop("_day")
+    }).drop("_bucket")
 
 
 def session_lengths(log: DataFrame) -> DataFrame:
@@ -162,18 +163,22 @@ def session_lengths(log: DataFrame) -> DataFrame:
                                            "duration": session_seconds(F.col("duration") * 1000)})
 
 
-def sessions(log: DataFrame, clients: DataFrame) -> DataFrame:
+def sessions(log: DataFrame, clients: DataFrame, bucket: str = "day") -> DataFrame:
     """One row per session: start, version, seconds, start of the user's previous session in the
-    same app and the days since then (-1 when there is none)."""
-    found = _session_output(_session_rows(log))
+    same app and the days since then (-1 when there is none).
+
+    ``bucket`` is the span (day, hour, minute) over which the sessions of one user are spread.
+    """
+    found = _session_output(_session_rows(log), bucket)
     return found.join(clients.select("uuid", "app_key", "customer_id"), ["uuid", "app_key"])
 
 
-def sessions_incremental(stored: DataFrame, log: DataFrame, clients: DataFrame) -> DataFrame:
+def sessions_incremental(stored: DataFrame, log: DataFrame, clients: DataFrame,
+                         bucket: str = "hour") -> DataFrame:
     """:func:`sessions` of a new log, continued from the last stored session of each user and app.
 
     A session id that goes on keeps its old start and adds up its seconds. The result replaces
-    stored rows of the same session.
+    stored rows of the same session. A run covers a day or so, hence the finer ``bucket``.
     """
     new = _session_rows(log).withColumn("_new", F.lit(1))
     keys = ["uuid", "app_key"]
@@ -186,7 +191,7 @@ def sessions_incremental(stored: DataFrame, log: DataFrame, clients: DataFrame)
                    F.sum("duration").alias("duration"), F.max("_new").alias("_new"))
               .select(*keys, "session_id", F.col("_first.t").alias("create_time"),
                       F.col("_first.version").alias("version"), "duration", "_new"))
-    found = _session_output(joined).where("_new = 1").drop("_new")
+    found = _session_output(joined, bucket).where("_new = 1").drop("_new")
     return found.join(clients.select(*keys, "customer_id"), keys)
 
 

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.functions.clean import (ISP_CODES, has_text, isp_code, rank_network,
                                        unrank_network)
 from tallyline.functions.dates import date_int, day_gap
 from tallyline.operators.fold import Policy, fold, with_source
-from tallyline.operators.skew import bucketed_lag, lookup
+from tallyline.operators.skew import lookup
 
 NEW_USER = Policy(first=("channel_code", "init_area", "init_ip", "create_time"),
                   last=("area", "ip", "update_time"))
@@ -111,32 +111,32 @@ def merge_app_versions(current: DataFrame | None, log: DataFrame) -> DataFrame:
 
     ``current`` has uuid, username, customer_id, init_app_version, app_version, os_type,
     activate_date, update_date; ``log`` has uuid, username, customer_id, app_version, os_type,
-    visit_time. Versions are compared with the previous visit of the device.
+    visit_time. The day of the last change is found from the latest visit of every version on every
+    day, so that a hot device is reduced to its versions and days before it meets one task.
     """
+    first = ["username", "customer_id", "init_app_version", "os_type", "activate_date"]
     visits = log.where(has_text("uuid")).select(
         "uuid", "username", "customer_id", F.col("app_version").alias("init_app_version"),
         "app_version", "os_type", F.to_date("visit_time").alias("activate_date"),
-        F.to_date("visit_time").alias("update_date"),
         F.col("visit_time").cast("timestamp").alias("_seen"), F.lit(1).alias("_source"))
     rows = visits
     if current is not None:
-        stored = (current.select(*[c for c in visits.columns if not c.startswith("_")])
-                  .withColumn("_seen", F.col("update_date").cast("timestamp"))
-                  .withColumn("_source", F.lit(0)))
-        rows = stored.unionByName(visits)
-    rows = rows.withColumn("_day", F.to_date("_seen"))
-    stepped = bucketed_lag(rows, ["uuid"], ["_seen", "_source", "app_version"], "app_version",
-                           "_day", "_before")
-    changed = F.col("_before").isNull() | (F.col("_before") != F.col("app_version"))
-    first = ["username", "customer_id", "init_app_version", "os_type", "activate_date"]
-    return (stepped.groupBy("uuid")
-            .agg(F.min(F.struct("_seen", "_source", *first)).alias("_first"),
-                 F.max(F.struct("_seen", "_source", "app_version")).alias("_last"),
-                 F.max(F.when(changed, F.col("update_date"))).alias("update_date"))
-            .select("uuid", *[F.col(f"_first.{c}").alias(c) for c in first[:3]],
-                    F.col("_last.app_version").alias("app_version"),
-                    F.col("_first.os_type").alias("os_type"),
-                    F.col("_first.activate_date").alias("activate_date"), "update_date"))
+        stored = current.withColumns({"_seen": F.col("update_date").cast("timestamp"),
+                                      "_source": F.lit(0)})
+        rows = stored.select(*visits.columns).unionByName(visits)
+    days = rows.groupBy("uuid", "app_version", F.to_date("_seen").alias("_day")).agg(
+        F.max(F.struct("_seen", "_source", "app_version")).alias("_late"),
+        F.min(F.struct("_seen", "_source", *first)).alias("_early"))
+    device = Window.partitionBy("uuid")
+    present = days.withColumn("_last", F.max("_late").over(device))
+    same = F.col("app_version") == F.col("_last.app_version")
+    ended = present.withColumn("_other", F.max(F.when(~same, F.col("_late"))).over(device))
+    since = same & (F.col("_other").isNull() | (F.col("_late") > F.col("_other")))
+    return (ended.groupBy("uuid")
+            .agg(F.min("_early").alias("_first"), F.max("_last.app_version").alias("app_version"),
+                 F.min(F.when(since, F.col("_day"))).alias("update_date"))
+            .select("uuid", *[F.col(f"_first.{c}").alias(c) for c in first[:3]], "app_version",
+                    *[F.col(f"_first.{c}").alias(c) for c in first[3:]], "update_date"))
 
 
 def refresh_devices(current: DataFrame, changed: DataFrame) -> DataFrame:

@@ -263,7 +263,8 @@ def recommend_by_category(wtags: DataFrame, items: DataFrame, seen: DataFrame, n
     Only as many newest items of a category are looked at as the user may take plus those already
     seen there, so the work follows the result and not users times items.
     """
-    latest = items if now is None else recent_items(items, now, hours, item_limit)
+    latest = (latest_rows(items, "publish_time", "id", item_limit) if now is None
+              else recent_items(items, now, hours, item_limit))
     ranked = latest.select("category_id", F.col("id").alias("info_id"), "publish_time",
                            F.row_number().over(Window.partitionBy("category_id")
                                                .orderBy(F.desc("publish_time"), F.desc("id"))).alias("_pos"))
@@ -278,7 +279,7 @@ def recommend_by_category(wtags: DataFrame, items: DataFrame, seen: DataFrame, n
               .join(met_counts, ["device_id", "category_id"], "left"))
     reach = F.least(F.col("_want") + F.coalesce("_met", F.lit(0)), F.col("_size"))
     probes = wanted.withColumn("_pos", F.explode(F.sequence(F.lit(1), reach.cast("int"))))
-    if now is not None and item_limit <= BROADCAST_ITEMS:
+    if item_limit <= BROADCAST_ITEMS:  # ``ranked`` holds at most item_limit rows of four numbers
         candidates = probes.join(F.broadcast(ranked), ["category_id", "_pos"])
     else:
         candidates = lookup(probes, ranked, ["category_id", "_pos"])

@@ -65,12 +65,13 @@ def strip_json_prefix(c: str | Column) -> Column:
     return F.regexp_replace(F.col(c) if isinstance(c, str) else c, r"^[^{]*(?=\{)", "")
 
 
-# API methods and what their rows carry, in output order.
+# Columns of an API row in output order, and by the last two parts of the method
+# name the further columns of its route.
 API_COLUMNS = ("device", "udid", "appCode", "appVer", "trackId", "platform", "clnt", "src", "lat", "lng",
                "androidid", "imei", "imsi")
-API_ROUTES = {"jz.yaya.information.list": ("categoryId",),
-              "jz.yaya.information.browse": ("informationId",),
-              "jz.yaya.information.index": ()}
+API_ROUTES = {"information.list": ("categoryId",),
+              "information.browse": ("informationId",),
+              "information.index": ()}
 
 
 def parse_api_log(df: DataFrame, value: str = "value") -> dict[str, DataFrame]:
@@ -92,5 +93,5 @@ def parse_api_log(df: DataFrame, value: str = "value") -> dict[str, DataFrame]:
     routes = {}
     for method, extra in API_ROUTES.items():
         columns = [fields[c].alias(c) for c in API_COLUMNS] + [field(c).alias(c) for c in extra]
-        routes[method.rsplit(".", 1)[1]] = rows.where(field("method") == method).select(*columns)
+        routes[method.rsplit(".", 1)[1]] = rows.where(F.substring_index(field("method"), ".", -2) == method).select(*columns)
     return routes

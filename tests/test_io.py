@@ -48,7 +48,7 @@ def test_range_predicates():
 
 
 def test_api_log_routes_and_letter_case(rows):
-    df = rows("value string", [('{"METHOD":"jz.yaya.information.list","UUID":"a","CategoryID":"7"}',), ('x {"method":"jz.yaya.information.browse","udid":"b","informationId":"9"}',),
+    df = rows("value string", [('{"METHOD":"app.api.information.list","UUID":"a","CategoryID":"7"}',), ('x {"method":"app.api.information.browse","udid":"b","informationId":"9"}',),
                                ('{"method":"other"}',), ("broken",), (None,)])
     routes = logs.parse_api_log(df.select(logs.strip_json_prefix("value").alias("value")))
     assert table(routes["list"], "udid", "categoryId") == [("a", "7")]

@@ -106,6 +106,20 @@ def test_app_version_date_is_that_of_the_last_change(rows):
     assert table(again, "app_version", "update_date", "activate_date") == [("1", "2024-01-04", "2024-01-01")]
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_app_versions_match_a_plain_fold(rows, seed):
+    r = random.Random(seed)
+    ddl = "uuid string, username string, customer_id string, app_version string, os_type int, visit_time timestamp"
+    data = [(f"u{r.choice([0, 0, 1, 2])}", "n", "c", str(r.randrange(3)), 1,
+             f"2024-01-{r.randrange(1, 6):02d} {i // 60:02d}:{i % 60:02d}:00") for i in range(40)]
+    want = {}
+    for u, _, _, version, _, t in sorted(data, key=lambda x: x[5]):
+        if u not in want or want[u][0] != version:
+            want[u] = (version, t[:10])
+    got = table(merge.merge_app_versions(None, rows(ddl, data)), "uuid", "app_version", "update_date")
+    assert got == sorted((u, v, d) for u, (v, d) in want.items())
+
+
 def test_known_ids_with_shared_and_missing_ids(rows):
     df = rows("uuid string, android_id string", [("a", "x"), ("b", "x"), ("c", None), ("d", ""), ("e", "y")])
     got = merge.flag_known_ids(df, rows("android_id string", [("x",), ("x",), ("",), (None,)]), rows("uuid string", [("c",), ("c",)]))
