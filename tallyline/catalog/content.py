@@ -532,10 +532,13 @@ def recommendation_messages(v):
     return sinks.recommendations_to_messages(_similar(v))
 
 
-@query("recommend_by_category", _SMOOTH + ", " + _TAGS + f""",
+_WTAGS = _SMOOTH + ", " + _TAGS + """,
 t1 AS (SELECT uid, tag_id, CAST(sum(score * weight) AS DECIMAL(12, 9)) AS score FROM sc JOIN tg ON info = id GROUP BY ALL HAVING sum(score * weight) < 1000),
 t2 AS (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY score DESC, tag_id) AS place FROM t1 WHERE score > 0),
-wt AS (SELECT uid, tag_id, round(CAST(score AS DOUBLE) / sum(CASE WHEN place <= 30 THEN CAST(score AS DOUBLE) END) OVER (PARTITION BY uid), 2) AS w, place FROM t2),
+wt AS (SELECT uid, tag_id, round(CAST(score AS DOUBLE) / sum(CASE WHEN place <= 30 THEN CAST(score AS DOUBLE) END) OVER (PARTITION BY uid), 2) AS w, place FROM t2)"""
+
+
+@query("recommend_by_category", _WTAGS + f""",
 it AS (SELECT p_partkey AS id, p_size % 10 + 100 AS cat, TIMESTAMP '2024-01-01' + INTERVAL 1 SECOND * (p_partkey * 120) AS pub FROM part),
 cd AS (SELECT uid, cat, w, id, pub, row_number() OVER (PARTITION BY uid, cat ORDER BY pub DESC, id DESC) AS r FROM wt JOIN it ON cat = tag_id
   WHERE place <= 30 AND w > 0 AND pub > TIMESTAMP '2024-01-01' AND pub < TIMESTAMP '2024-01-04'
@@ -554,12 +557,18 @@ def _picked(v):
     return recommend.random_tag(top.groupBy("device_id").agg(wtags.alias("wtags")))
 
 
-@query("random_tag")
+_PICKED = """,
+w3 AS (SELECT uid, tag_id, row_number() OVER (PARTITION BY uid ORDER BY place) AS r, least(3, count(*) OVER (PARTITION BY uid)) AS c FROM wt
+  WHERE place <= 30 AND w > 0),
+pk AS (SELECT uid, tag_id FROM w3 WHERE r = CAST('0x' || substr(md5('0:' || uid), 1, 8) AS BIGINT) % c + 1)"""
+
+
+@query("random_tag", _WTAGS + _PICKED + " SELECT uid AS device_id, CAST(tag_id AS BIGINT) AS tag_id FROM pk")
 def random_tag(v):
     return _picked(v)
 
 
-@query("tag_counts")
+@query("tag_counts", _WTAGS + _PICKED + " SELECT CAST(tag_id AS BIGINT) AS tag_id, count(*) AS user_count FROM pk GROUP BY tag_id")
 def tag_counts(v):
     return recommend.tag_counts(_picked(v))
 

@@ -37,11 +37,10 @@ def blacklist_counts(clients: DataFrame, customers: DataFrame, day: str) -> Data
 
 def channel_daily(clients: DataFrame, day: int | None = None, user: str | None = "udid",
                   channel: str = "clnt") -> DataFrame:
-    """New users per channel and day: distinct ``user``, or plain rows with ``user=None``.
-
-    ``day`` (yyyyMMdd) reports one day, otherwise all days.
+    """New users per channel and day: distinct ``user`` of clients with an app and a channel, or
+    all plain rows with ``user=None``. ``day`` (yyyyMMdd) reports one day, otherwise all days.
     """
-    rows = clients.where(has_text("app_key") & has_text(channel))
+    rows = clients if user is None else clients.where(has_text("app_key") & has_text(channel))
     if day is not None:
         rows = rows.where(F.col("create_date") == day)
     count = F.count("*") if user is None else F.count_distinct(user)

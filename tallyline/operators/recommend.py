@@ -290,12 +290,14 @@ def recommend_by_category(wtags: DataFrame, items: DataFrame, seen: DataFrame, n
 
 
 def random_tag(profiles: DataFrame, n: int = 3, seed: int = 0) -> DataFrame:
-    """One of the first ``n`` tags of each device, picked by a seeded hash of its id.
+    """One of the first ``n`` tags of each device, picked by a seeded digest of its id.
 
     ``profiles`` has device_id and wtags as an array of (tag, weight), best first.
     """
     count = F.least(F.lit(n), F.size("wtags"))
-    pick = F.pmod(F.xxhash64(F.col("device_id"), F.lit(seed)), count).cast("int")
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("device_id").cast("string")))
+    # the first 32 bits of the digest: the same pick on every engine and in every run
+    pick = (F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % count).cast("int")
     return (profiles.where(F.size("wtags") > 0)
             .select("device_id", F.element_at("wtags", pick + 1)["tag"].alias("tag_id")))
 

@@ -36,7 +36,9 @@ def stream_new_users(stream: DataFrame, path: str, checkpoint: str, **trigger):
     area, ip and update time are replaced when the table is read or compacted.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        merge_new_users(None, batch).write.mode("overwrite").parquet(f"{path}/delta/batch={batch_id:012d}")
+        # batch numbers start again under a new checkpoint; the id of the query keeps them apart
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        merge_new_users(None, batch).write.mode("overwrite").parquet(f"{path}/delta/batch={query}-{batch_id:012d}")
 
     writer = stream.writeStream.foreachBatch(write).outputMode("append")
     return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
