@@ -31,6 +31,7 @@ def local_session(app: str = "tallyline", cores: str = "*", partitions: int = 8,
     """A local session for tests and the benchmark; a cluster brings its own."""
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
                .config("spark.sql.shuffle.partitions", str(partitions))
+               .config("spark.default.parallelism", str(partitions))
                .config("spark.driver.memory", memory)
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")

