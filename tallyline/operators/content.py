@@ -28,7 +28,7 @@ def event_counts(events: DataFrame, devices: DataFrame, by_hour: bool = False) -
     row and needs no distinct count afterwards.
     """
     rows = events.where(has_text("deviceid") & has_text("version") & has_text("insertdate"))
-    hour = [F.hour(F.to_timestamp("insertdate")).alias("create_hour")] if by_hour else []
+    hour = [F.hour(F.try_to_timestamp("insertdate")).alias("create_hour")] if by_hour else []
     names = ["create_hour"] if by_hour else []
     per_user = (rows.groupBy("deviceid", "version", F.col("eventid").alias("event_id"),
                              F.col("date").alias("create_date"), *hour)

@@ -52,7 +52,7 @@ def user_item_score(clicks: DataFrame, items: DataFrame, weights: Mapping[str, f
     ``items`` is :func:`item_users`. A hot item is looked up by broadcast of its own row.
     """
     today = F.lit(day).cast("date")
-    date = F.col("click_date").cast("date")
+    date = F.col("click_date").try_cast("date")
     recent = clicks.where((date >= F.date_sub(today, days)) & (date < today))
     weight = None
     for name, w in weights.items():

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyline.functions.dates import date_from_int
+
 # Points of the scoring rules by rule id.
 RULE_SCORES = {
     1: 5, 2: -20, 3: -10, 4: 5, 5: -5, 6: 5, 7: 0, 8: 5, 9: 0,
@@ -14,6 +16,7 @@ RULE_SCORES = {
     18: -10, 19: -10, 20: 5, 21: 10, 22: -10, 23: 5, 24: 10, 25: 5, 26: 0,
     27: 5, 28: 0, 29: 5, 30: 0, 31: -5, 32: 5, 33: 0,
 }
+LAST_RULE = 37  # 34 to 37 are the id states, which have no points
 DAY_MS = 24 * 60 * 60 * 1000
 
 # Signals a device may have: info flags of the last report, and counts over the window.
@@ -35,7 +38,7 @@ def signal_counts(bases: dict[str, DataFrame], run_date: str, days: int = 10) ->
     end = F.lit(run_date).cast("date")
     stacked = None
     for name, df in bases.items():
-        day = F.to_date(F.col("create_date").cast("string"), "yyyyMMdd")
+        day = date_from_int("create_date")
         rows = df.where((day >= F.date_sub(end, days)) & (day < end))
         if name == "power":
             rows = rows.where(F.col("power") > 0)
@@ -108,11 +111,13 @@ def score_log(signals: DataFrame, run_date: str) -> DataFrame:
 def score_devices(signals: DataFrame, rules: DataFrame, run_date: str) -> DataFrame:
     """Points and number of rules per device. Rules missing from the rule table do not count.
 
-    The rule table holds one row per rule (tens of rows), which bounds the broadcast.
+    Only ids that can fire are kept of the rule table, one row each, which bounds the broadcast; a
+    shuffle on so few rule ids would be all skew.
     """
     log = score_log(signals, run_date)
-    points = F.broadcast(rules.select(F.col("id").alias("rule_id"), "score"))
-    return (log.join(points, "rule_id").groupBy("uuid", "create_date")
+    points = (rules.where(F.col("id").between(1, LAST_RULE)).groupBy(F.col("id").alias("rule_id"))
+              .agg(F.min("score").alias("score")))
+    return (log.join(F.broadcast(points), "rule_id").groupBy("uuid", "create_date")
             .agg(F.sum("score").alias("score"), F.count("*").alias("rule_count")))
 
 
