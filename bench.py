@@ -1,7 +1,7 @@
 """Time the headline queries and print one JSON line.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1) names the tables, BENCH_CPUS the local cores. Every
-query is run once to warm up and then timed as the best of BENCH_RUNS (default 2) full runs into
+query is run once to warm up and then timed as the best of BENCH_RUNS (default 1) full runs into
 a sink that discards rows.
 """
 
@@ -28,7 +28,7 @@ HEADLINE = (
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     from tallyline import catalog
     from tallyline.session import local_session
 

@@ -25,8 +25,8 @@ def merge_new_users(current: DataFrame | None, log: DataFrame) -> DataFrame:
     """
     visits = log.select(
         "aid", "channel_code", F.col("area").alias("init_area"), "area",
-        F.col("ip").alias("init_ip"), "ip", F.col("create_time").cast("timestamp"),
-        F.col("create_time").cast("timestamp").alias("update_time"))
+        F.col("ip").alias("init_ip"), "ip", F.col("create_time").try_cast("timestamp").alias("create_time"),
+        F.col("create_time").try_cast("timestamp").alias("update_time"))
     rows = with_source(current, visits).dropna(subset=["aid", "channel_code", "create_time"])
     return fold(rows, ["aid"], NEW_USER).withColumn("create_date", date_int("create_time"))
 
