@@ -46,12 +46,18 @@ def local_session(app: str = "tallyline", cores: str = "*", partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for streaming checkpoints and written intermediate tables.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only where that is unset, as in tests, a
-    temporary folder of this machine is used.
+    A cluster names it in ``spark.checkpoint.dir``. Only a session of this one machine, as in
+    tests, may leave it unset and then gets a temporary folder; executors elsewhere could not see
+    such a folder, so any other session without the setting is an error.
     """
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) \
         or spark.conf.get("spark.checkpoint.dir", None)
-    return shared or tempfile.mkdtemp(prefix="run-")
+    if shared:
+        return shared
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
+    return tempfile.mkdtemp(prefix="run-")
 
 
 def scratch(spark: SparkSession, name: str) -> str:
