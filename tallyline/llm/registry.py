@@ -30,3 +30,91 @@ def query(name: str, sql: str | None = None):
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyline.llm.token_count import count_tokens
     return count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op6_byte_bpe")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyline.llm.bpe import digests
+    return digests(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
+@query("op7_simhash")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyline.llm.simhash import near_duplicates
+    return near_duplicates(read(spark, sf_dir, "documents"))
+
+
+_OP10 = """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+bw AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS k
+  FROM b, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS t(i) WHERE len(w) > 0),
+ns AS (SELECT DISTINCT n FROM bw),
+dw AS (
+  SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS k
+  FROM d, ns, unnest(range(1, len(w) - n + 2)) AS t(i) WHERE len(w) >= n),
+hits AS (SELECT dw.doc_id, dw.i, dw.n, bw.item_id FROM dw JOIN bw ON dw.k = bw.k AND dw.n = bw.n),
+nh AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM hits, unnest(range(i, i + n)) AS t(p) GROUP BY doc_id),
+it AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN nh USING (doc_id) LEFT JOIN it USING (doc_id)
+"""
+
+
+@query("op10_decontamination", _OP10)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyline.llm.decontam import summary
+    return summary(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+_OP2 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+    AND list_bool_or(list_transform(embedding, lambda x: x <> 0))),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
+          WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+c AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT c.vec_id, coalesce(n_links, 0) AS n_links, component_id, c.vec_id = component_id AS kept
+FROM c LEFT JOIN n USING (vec_id)
+"""
+
+
+@query("op2_embedding_dedup", _OP2)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyline.llm.embed_dedup import near_duplicates
+    return near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+_OP5 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+f AS (SELECT h, min(page_id) AS first FROM p GROUP BY h),
+q AS (
+  SELECT page_id, strlen(html) AS n, CASE WHEN page_id <> first THEN first END AS refers_to,
+         list_transform(range(8), lambda i: CAST('0x' || h[i * 5 + 1:i * 5 + 5] AS BIGINT)) AS parts
+  FROM p JOIN f USING (h))
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'
+         [CAST((parts[i // 4 + 1] >> (15 - 5 * (i % 4))) & 31 AS INTEGER) + 1]), '') AS payload_digest,
+       CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to
+FROM q
+"""
+
+
+@query("op5_warc", _OP5)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyline.llm.warc import round_trip
+    return round_trip(read(spark, sf_dir, "pages"))
