@@ -14,12 +14,14 @@ The steps and what moves between them:
    the counts to the frequencies as they stream by. A pre-token held by a large share of a batch
    goes to a bucket chosen by batch too, so that no bucket gets all of a word that every document
    has; such a word is then counted once in each bucket.
-3. Sums per document of each bucket are added up by a plain aggregation with map-side combine.
+3. A bucket's sums for a batch are one row: a count for each document, or pairs of document and
+   count where few documents have any. Those rows meet by batch and are added up as they stream by.
 """
 
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -33,10 +35,9 @@ from tokenizers import Tokenizer
 from tallyline.llm.pretoken import is_plain, pretokens
 
 BATCH_DOCS = 16_000        # positions of a batch fit 16 bits
-BATCH_CHARS = 48 << 20
-BUCKETS_PER_PARTITION = 2
+BATCH_CHARS = 32 << 20
 COMMON = 8                 # a pre-token in more than 1/COMMON of a batch is dealt by batch too
-SLICE = 200                # batch rows of a bucket that are handed on together
+SLICE = 50                 # rows that are handed on together
 
 _PACKED = ("bucket int, base long, texts binary, lens binary, rows binary, at binary, freq binary, "
            "ids array<long>, sizes array<long>")
@@ -74,16 +75,33 @@ def _split(text: str, specials: list[str], tokenizer: Tokenizer) -> Counter:
     return Counter(text[a:b] for _, (a, b) in tokenizer.pre_tokenizer.pre_tokenize_str(text))
 
 
-def _pack(base: int, docs: list[Counter], ids: list, sizes: list, buckets: int) -> pa.RecordBatch:
-    index: dict[str, int] = {}
-    which, lens, freq = [], [], []
-    for counts in docs:
-        which.extend([index.setdefault(p, len(index)) for p in counts])
-        freq.extend(counts.values())
-        lens.append(len(counts))
-    raw = [p.encode() for p in index]
-    which, freq = np.array(which, np.int64), np.array(freq, np.uint32)
-    at = np.repeat(np.arange(len(docs), dtype=np.uint16), lens)
+class _Batch:
+    """Documents on their way into one packed batch."""
+
+    def __init__(self):
+        self.index: dict[str, int] = {}
+        self.which, self.freq, self.lens = array("I"), array("I"), array("I")
+        self.ids, self.sizes, self.chars = [], [], 0
+
+    def add(self, doc_id: int | None, text: str, counts: Counter) -> None:
+        index = self.index
+        self.which.extend([index.setdefault(p, len(index)) for p in counts])
+        self.freq.extend(counts.values())
+        self.lens.append(len(counts))
+        self.ids.append(doc_id)
+        self.sizes.append(len(text.encode()))
+        self.chars += len(text)
+
+    @property
+    def full(self) -> bool:
+        return len(self.ids) == BATCH_DOCS or self.chars > BATCH_CHARS
+
+
+def _pack(base: int, batch: _Batch, buckets: int) -> Iterator[pa.RecordBatch]:
+    raw = [p.encode() for p in batch.index]
+    which, freq = np.array(batch.which, np.int32), np.array(batch.freq, np.uint32)
+    docs, ids, sizes = batch.ids, batch.ids, batch.sizes
+    at = np.repeat(np.arange(len(docs), dtype=np.uint16), np.array(batch.lens, np.int64))
     held = np.bincount(which, minlength=len(raw))
     bucket = np.fromiter(map(zlib.crc32, raw), np.int64, len(raw))
     bucket = np.where(held > max(64, len(docs) // COMMON), bucket + zlib.crc32(str(base).encode()), bucket) % buckets
@@ -93,39 +111,35 @@ def _pack(base: int, docs: list[Counter], ids: list, sizes: list, buckets: int)
     by_bucket = np.argsort(bucket, kind="stable")
     first = np.searchsorted(bucket[by_bucket], np.arange(buckets + 1))
     edge = np.searchsorted(bucket[which], np.arange(buckets + 1))
-    cols: list[list] = [[] for _ in range(9)]
     own = zlib.crc32(f"own {base}".encode()) % buckets  # the bucket that also gets the ids of the batch
+    names = ("bucket", "base", "texts", "lens", "rows", "at", "freq", "ids", "sizes")
+    kinds = (pa.int32(), pa.int64(), *[pa.binary()] * 5, pa.list_(pa.int64()), pa.list_(pa.int64()))
+    rows = []
     for b in range(buckets):
         mine, span = by_bucket[first[b]:first[b + 1]], slice(edge[b], edge[b + 1])
-        if len(mine) == 0 and b != own:
-            continue
-        for c, v in zip(cols, (b, base, b"".join([raw[i] for i in mine]), size[mine].tobytes(),
-                               held[mine].astype(np.uint16).tobytes(), at[span].tobytes(), freq[span].tobytes(),
-                               ids if b == own else None, sizes if b == own else None)):
-            c.append(v)
-    kinds = (pa.int32(), pa.int64(), *[pa.binary()] * 5, pa.list_(pa.int64()), pa.list_(pa.int64()))
-    names = ("bucket", "base", "texts", "lens", "rows", "at", "freq", "ids", "sizes")
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=list(names))
+        if len(mine) or b == own:
+            rows.append((b, base, b"".join([raw[i] for i in mine]), size[mine].tobytes(), held[mine].astype(np.uint16).tobytes(),
+                         at[span].tobytes(), freq[span].tobytes(), ids if b == own else None, sizes if b == own else None))
+        if rows and (len(rows) == SLICE or b == buckets - 1):
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=list(names))
+            rows = []
 
 
 def _frequencies(definition, specials: list[str], buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(definition.value)
         base = TaskContext.get().partitionId() << 36
-        docs, ids, sizes, chars = [], [], [], 0
+        gathered = _Batch()
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 text = text.as_py() or ""
-                docs.append(_split(text, specials, tokenizer))
-                ids.append(doc_id)
-                sizes.append(len(text.encode()))
-                chars += len(text)
-                if len(docs) == BATCH_DOCS or chars > BATCH_CHARS:
-                    yield _pack(base, docs, ids, sizes, buckets)
-                    base += len(docs)
-                    docs, ids, sizes, chars = [], [], [], 0
-        if docs:
-            yield _pack(base, docs, ids, sizes, buckets)
+                gathered.add(doc_id, text, _split(text, specials, tokenizer))
+                if gathered.full:
+                    yield from _pack(base, gathered, buckets)
+                    base += len(gathered.ids)
+                    gathered = _Batch()
+        if gathered.ids:
+            yield from _pack(base, gathered, buckets)
     return run
 
 
@@ -135,35 +149,52 @@ def _count_and_join(definition):
         tokenizer = _tokenizer(definition.value)
         current, known = None, {}
         for batch in batches:
-            out: list[tuple] = []
             for row in range(batch.num_rows):
-                bucket, base, texts, lens, rows, at, freq, ids, sizes = (batch.column(i)[row].as_py() for i in range(9))
+                bucket, base, texts, lens, rows, at, freq = (batch.column(i)[row].as_py() for i in range(7))
                 if bucket != current:
                     current, known = bucket, {}
-                ends = np.cumsum(np.frombuffer(lens, np.uint32), dtype=np.int64)
-                words = [texts[a:b].decode() for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())] if len(ends) else []
+                ends = np.cumsum(np.frombuffer(lens, np.uint32), dtype=np.int64).tolist()
+                words = [texts[a:b].decode() for a, b in zip([0, *ends], ends)]
                 new = [w for w in words if w not in known]
                 known.update(zip(new, _pieces_of(new, tokenizer).tolist()))
                 pieces = np.fromiter((known[w] for w in words), np.int64, len(words))
-                at = np.frombuffer(at, np.uint16)
                 worth = np.repeat(pieces, np.frombuffer(rows, np.uint16)) * np.frombuffer(freq, np.uint32)
-                tokens = np.bincount(at, worth, len(ids or ())).astype(np.int64)
-                held = np.arange(len(tokens)) if ids is not None else np.flatnonzero(tokens)
-                n = len(held)
-                out.append((held + base, tokens[held], np.array(ids if ids is not None else [None] * n, object),
-                            np.array(sizes if sizes is not None else [None] * n, object)))
-                if len(out) >= SLICE:
-                    yield _sums(out)
-                    out = []
-            if out:
-                yield _sums(out)
+                tokens = np.bincount(np.frombuffer(at, np.uint16), worth).astype(np.int64)
+                held = np.flatnonzero(tokens)
+                dense = 5 * len(held) >= 4 * len(tokens)
+                part = tokens if dense else tokens[held]
+                width = np.uint32 if tokens.max(initial=0) < 1 << 32 else np.uint64
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([base]), pa.array([None if dense else held.astype(np.uint16).tobytes()], pa.binary()),
+                     pa.array([part.astype(width).tobytes()], pa.binary()), pa.array([np.dtype(width).itemsize], pa.int32()),
+                     batch.column(7).slice(row, 1), batch.column(8).slice(row, 1)],
+                    names=["base", "at", "tokens", "width", "ids", "sizes"])
     return run
 
 
-def _sums(parts: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate([p[i] for p in parts]), pa.int64(), from_pandas=True) for i in range(4)],
-        names=["key", "tokens", "id", "bytes"])
+def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows arrive sorted by batch of documents: add up its sums, one row per document."""
+    def done() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(total[:len(ids)])],
+                                          names=["doc_id", "n_bytes", "n_tokens"])
+
+    current, total, ids, sizes = None, np.zeros(1 << 16, np.int64), [], []
+    for batch in batches:
+        for row in range(batch.num_rows):
+            base, at, tokens, width, own, size = (batch.column(i)[row].as_py() for i in range(6))
+            if base != current:
+                if current is not None:
+                    yield done()
+                current, total[:] = base, 0
+            tokens = np.frombuffer(tokens, np.uint32 if width == 4 else np.uint64).astype(np.int64)
+            if at is None:
+                total[:len(tokens)] += tokens
+            else:
+                total[np.frombuffer(at, np.uint16)] += tokens
+            if own is not None:
+                ids, sizes = own, size
+    if current is not None:
+        yield done()
 
 
 def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 1024, id_col: str = "doc_id",
@@ -184,11 +215,10 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 1024, id_col
     specials.sort(key=len, reverse=True)
     sent = spark.sparkContext.broadcast(definition)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = partitions * BUCKETS_PER_PARTITION
     packed = docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(
-        _frequencies(sent, specials, buckets), _PACKED)
+        _frequencies(sent, specials, partitions), _PACKED)
     parts = packed.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(
-        _count_and_join(sent), "key long, tokens long, id long, bytes long")
-    sums = parts.groupBy("key").agg(F.max("id").alias("doc_id"), F.max("bytes").alias("n_bytes"),
-                                    F.sum("tokens").alias("n_tokens"))
-    return sums.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+        _count_and_join(sent), "base long, at binary, tokens binary, width int, ids array<long>, sizes array<long>")
+    sums = parts.repartition(partitions, "base").sortWithinPartitions("base").mapInArrow(
+        _add_up, "doc_id long, n_bytes long, n_tokens long")
+    return sums.withColumn("over_limit", F.col("n_tokens") > limit)
