@@ -118,3 +118,28 @@ FROM q
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyline.llm.warc import round_trip
     return round_trip(read(spark, sf_dir, "pages"))
+
+
+@query("op4_line_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyline.llm.line_dedup import dedup_lines
+    return dedup_lines(read(spark, sf_dir, "documents"), report=True).select("doc_id", "text", "n_lines", "n_removed")
+
+
+@query("op8_language_id")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyline.llm.langid import identify
+    return identify(read(spark, sf_dir, "documents"))
+
+
+@query("op9_pii_surrogates")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The key here is a fixed one; whoever runs this on real data brings their own and keeps it."""
+    from tallyline.llm.pii import pseudonymize
+    return pseudonymize(read(spark, sf_dir, "documents").select("doc_id", "text"), b"surrogates of the test tables")
+
+
+@query("op3_html_text")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyline.llm.html_text import extract
+    return extract(read(spark, sf_dir, "pages"))
