@@ -498,9 +498,9 @@ bs AS (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY sim DESC, pub DESC
 rc AS (SELECT uid, id, sim, pub, row_number() OVER (PARTITION BY uid ORDER BY pub DESC, sim DESC, id DESC) AS place FROM bs WHERE r <= 100)"""
 
 
-def _similar(v, **options):
+def _similar(v):
     profiles, active, items, seen, _ = _recommend_inputs(v)
-    return recommend.recommend_similar(profiles, active, items, seen, NOW, **options)
+    return recommend.recommend_similar(profiles, active, items, seen, NOW)
 
 
 @query("recommend_similar", _SIMILAR + f"""
@@ -551,6 +551,33 @@ def recommend_by_category(v):
     return recommend.recommend_by_category(wtags, items.select("id", "category_id", "publish_time"), seen, NOW)
 
 
+# Users active in the last day, and both results that are made from their items.
+_CATEGORY = _WTAGS + """,
+it AS (SELECT p_partkey AS id, p_size % 10 + 100 AS cat, TIMESTAMP '2024-01-01' + INTERVAL 1 SECOND * (p_partkey * 120) AS pub FROM part),
+ac AS (SELECT DISTINCT uid FROM log WHERE ts >= TIMESTAMP '2024-01-03' AND ts <= TIMESTAMP '2024-01-04'),
+cd AS (SELECT uid, cat, w, id, pub, row_number() OVER (PARTITION BY uid, cat ORDER BY pub DESC, id DESC) AS r FROM wt JOIN it ON cat = tag_id
+  WHERE place <= 30 AND w > 0 AND pub > TIMESTAMP '2024-01-01' AND pub < TIMESTAMP '2024-01-04' AND uid IN (SELECT uid FROM ac)
+  AND NOT EXISTS (SELECT 1 FROM uc WHERE uc.uid = wt.uid AND uc.info = it.id)),
+st AS (SELECT *, epoch_ms(pub) + 1000 - row_number() OVER (PARTITION BY uid ORDER BY pub DESC, id DESC) AS stamp FROM cd WHERE r <= round(w * 100))"""
+
+
+def _category_table(v):
+    _, active, items, seen, top = _recommend_inputs(v)
+    wtags = top.where("weight > 0").select("device_id", "tag_id", F.col("weight").cast("double").alias("weight"))
+    return recommend.recommend_by_category_table(wtags, active, items.select("id", "category_id", "publish_time"), seen, NOW, days=1)
+
+
+@query("recommend_by_category_table", _CATEGORY + " SELECT uid AS device_id, id AS info_id, stamp AS stamp_ms FROM st")
+def recommend_by_category_table(v):
+    return _category_table(v).select("device_id", "info_id", "stamp_ms")
+
+
+@query("category_messages", _CATEGORY + """
+SELECT uid AS key, uid || ' ' || string_agg(id || ':' || epoch_ms(pub), ',' ORDER BY stamp DESC) AS value FROM st GROUP BY uid""")
+def category_messages(v):
+    return sinks.recommendations_to_messages(_category_table(v), order="stamp_ms")
+
+
 def _picked(v):
     top = _recommend_inputs(v)[4].where("weight > 0")
     wtags = F.transform(F.array_sort(F.collect_list(F.struct("place", F.col("tag_id").alias("tag")))), lambda t: F.struct(t["tag"].alias("tag")))

@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import datetime
+import math
+from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyline.functions.clean import has_text
 from tallyline.functions.packed import format_pairs, parse_pairs
 from tallyline.functions.vectors import cosine, dot, pearson
-from tallyline.operators.skew import latest_rows, lookup, top_per_key
+from tallyline.operators.skew import lookup, top_per_key
 
-# Most items of one scoring block, and the size up to which an item table may be broadcast.
-ITEM_BLOCK = 20_000
-BROADCAST_ITEMS = 200_000
+# Users and items of one scoring block, about; users that are scored together inside it, and the
+# fewest users that are worth a task of their own.
+USER_BLOCK, ITEM_BLOCK = 50_000, 20_000
+SCORED_TOGETHER = 128
+LEAST_USERS = 500
 
 
 def user_clicks(events: DataFrame, day: str | None = None, browse: str = "recreate_click") -> DataFrame:
@@ -49,11 +54,15 @@ def user_item_score(clicks: DataFrame, items: DataFrame, weights: Mapping[str, f
                     days: int = 100, max_clicks: int = 3, decay: str = "reference") -> DataFrame:
     """Interest of each device in each item over the ``days`` before ``day``.
 
-    ``items`` is :func:`item_users`. A hot item is looked up by broadcast of its own row.
+    ``items`` is :func:`item_users`. The window is compared with ``click_date`` as it is stored (a
+    date, or text as yyyy-MM-dd), so that the test reaches the files.
     """
     today = F.lit(day).cast("date")
-    date = F.col("click_date").try_cast("date")
-    recent = clicks.where((date >= F.date_sub(today, days)) & (date < today))
+    raw, date = F.col("click_date"), F.col("click_date").try_cast("date")
+    first = datetime.date.fromisoformat(day) - datetime.timedelta(days=days)
+    text = isinstance(clicks.schema["click_date"].dataType, T.StringType)
+    low, high = (F.lit(first.isoformat()), F.lit(day)) if text else (F.lit(first), F.lit(datetime.date.fromisoformat(day)))
+    recent = clicks.where((raw >= low) & (raw < high) & date.isNotNull())
     weight = None
     for name, w in weights.items():
         test = F.col("event_name") == name
@@ -123,58 +132,72 @@ def pair_similarity(vectors: DataFrame, pairs: DataFrame) -> DataFrame:
                          pearson("_va", "_vb").alias("pearson"))
 
 
-def active_users(active: DataFrame, now: str, days: int = 7, limit: int | None = 10_000_000) -> DataFrame:
-    """Devices active in the last ``days`` days, the latest ``limit`` of them."""
+def active_users(active: DataFrame, now: str, days: int = 7) -> DataFrame:
+    """Devices active in the last ``days`` days, with their last time."""
     end = F.lit(now).cast("timestamp")
     recent = active.where((F.col("active_time") >= end - F.make_interval(days=F.lit(days)))
                           & (F.col("active_time") <= end))
-    last = recent.groupBy("device_id").agg(F.max("active_time").alias("active_time"))
-    return last if limit is None else latest_rows(last, "active_time", "device_id", limit)
+    return recent.groupBy("device_id").agg(F.max("active_time").alias("active_time"))
 
 
-def recent_items(items: DataFrame, now: str, hours: int = 72, limit: int | None = 100_000) -> DataFrame:
-    """Items published in the last ``hours`` hours, the latest ``limit`` of them."""
+def recent_items(items: DataFrame, now: str, hours: int = 72) -> DataFrame:
+    """Items published in the last ``hours`` hours."""
     end = F.lit(now).cast("timestamp")
-    recent = items.where((F.col("publish_time") > end - F.make_interval(hours=F.lit(hours)))
-                         & (F.col("publish_time") < end))
-    return recent if limit is None else latest_rows(recent, "publish_time", "id", limit)
+    return items.where((F.col("publish_time") > end - F.make_interval(hours=F.lit(hours)))
+                       & (F.col("publish_time") < end))
+
+
+def _block_tables(frames: Iterator[pd.DataFrame]) -> tuple[pd.DataFrame, ...]:
+    """Users, items and seen pairs of the block that fills a partition."""
+    rows = pd.concat(list(frames), ignore_index=True)
+    return tuple(rows[rows["kind"] == k] for k in (0, 1, 2))
 
 
 def _score_block(n: int):
-    """Scores one block of users against one block of items; both are bounded in size."""
-
-    def run(users: pd.DataFrame, items: pd.DataFrame) -> pd.DataFrame:
-        devices, picked, sims = [], [], []
-        ids, times = items["id"].to_numpy(np.int64), items["publish_us"].to_numpy(np.int64)
-        if len(users) and len(items):
-            sizes = items["tag_ids"].str.len().to_numpy()
-            owner = np.repeat(np.arange(len(items)), sizes)
-            tag = np.concatenate(items["tag_ids"].to_numpy())
-            weight = np.concatenate(items["weights"].to_numpy())
-            lengths = np.sqrt(np.bincount(owner, weight * weight, minlength=len(items)))
-            order = np.argsort(tag, kind="stable")
-            tag, owner, weight = tag[order], owner[order], weight[order]
-            for device, t, w, seen in zip(users["device_id"], users["tag_ids"], users["weights"], users["seen"]):
-                lo, hi = np.searchsorted(tag, t, "left"), np.searchsorted(tag, t, "right")
-                counts = hi - lo
-                if not counts.any():
-                    continue
-                # positions of all item entries that share a tag with the user
-                starts = np.repeat(lo - np.concatenate(([0], counts.cumsum()[:-1])), counts)
-                hits = starts + np.arange(counts.sum())
-                total = np.bincount(owner[hits], weight[hits] * np.repeat(w, counts), minlength=len(ids))
-                found = np.flatnonzero(total > 0)
-                if seen is not None and len(seen):
-                    found = found[~np.isin(ids[found], seen)]
-                sim = np.round(total[found] / (lengths[found] * np.sqrt((w * w).sum())), 12)
-                best = np.lexsort((-ids[found], -times[found], -sim))[:n]
-                devices.append((device, len(best)))
-                picked.append(found[best])
-                sims.append(sim[best])
-        at = np.concatenate(picked) if picked else np.empty(0, dtype=np.int64)
-        names = np.repeat(np.array([d for d, _ in devices], dtype=object), [c for _, c in devices])
-        return pd.DataFrame({"device_id": names if len(at) else pd.Series(dtype=object), "info_id": ids[at],
-                             "similarity": np.concatenate(sims) if sims else np.empty(0), "publish_us": times[at]})
+    """The best ``n`` unseen items for every user of a block; one partition is one pair of blocks."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        first = next(frames, None)
+        if first is None:
+            return
+        users, items, seen = _block_tables(iter([first, *frames]))
+        if not len(users) or not len(items):
+            return
+        # Newest first, so that a stable sort by similarity leaves ties in this order.
+        items = items.sort_values(["publish_us", "info_id"], ascending=False)
+        ids, times = items["info_id"].to_numpy(np.int64), items["publish_us"].to_numpy(np.int64)
+        owner = np.repeat(np.arange(len(items)), items["tag_ids"].str.len().to_numpy())
+        tag, weight = np.concatenate(items["tag_ids"].to_numpy()), np.concatenate(items["weights"].to_numpy())
+        lengths = np.sqrt(np.bincount(owner, weight * weight, minlength=len(items)))
+        order = np.argsort(tag, kind="stable")
+        tag, owner, weight = tag[order], owner[order], weight[order]
+        users = users.reset_index(drop=True)
+        place = pd.Series(np.arange(len(items)), index=ids)
+        row = pd.Series(users.index, index=users["device_id"])
+        met = pd.DataFrame({"row": seen["device_id"].map(row), "item": seen["info_id"].map(place)}).dropna().astype(np.int64)
+        met = met.sort_values("row")
+        for at in range(0, len(users), SCORED_TOGETHER):
+            some = users.iloc[at:at + SCORED_TOGETHER]
+            k = np.repeat(np.arange(len(some)), some["tag_ids"].str.len().to_numpy())
+            t, w = np.concatenate(some["tag_ids"].to_numpy()), np.concatenate(some["weights"].to_numpy())
+            lo, hi = np.searchsorted(tag, t, "left"), np.searchsorted(tag, t, "right")
+            counts = hi - lo
+            # The sparse product of user and item tags: all item entries that share a tag with a user.
+            hits = np.arange(counts.sum()) + np.repeat(lo - (np.cumsum(counts) - counts), counts)
+            cell = np.repeat(k, counts) * len(items) + owner[hits]
+            dots = np.bincount(cell, weight[hits] * np.repeat(w, counts), len(some) * len(items)).reshape(len(some), -1)
+            a, b = np.searchsorted(met["row"].to_numpy(), (at, at + len(some)))
+            dots[met["row"].to_numpy()[a:b] - at, met["item"].to_numpy()[a:b]] = 0
+            size = np.sqrt(np.bincount(k, w * w, len(some)))
+            sims = np.where(dots > 0, np.round(dots / (lengths * np.where(size > 0, size, 1)[:, None]), 12), 0)
+            least = np.partition(sims, -n, axis=1)[:, -n] if n < len(items) else np.zeros(len(some))
+            u, i = np.nonzero((dots > 0) & (sims >= least[:, None]))
+            best = np.lexsort((i, -sims[u, i], u))
+            u, i = u[best], i[best]
+            rank = np.arange(len(u)) - np.searchsorted(u, u)
+            u, i = u[rank < n], i[rank < n]
+            yield pd.DataFrame({"device_id": some["device_id"].to_numpy()[u], "info_id": ids[i], "similarity": sims[u, i],
+                                "publish_us": times[i]})
 
     return run
 
@@ -184,41 +207,48 @@ def _vector_columns(c: str) -> list[Column]:
             F.transform(c, lambda t: t["weight"]).alias("weights")]
 
 
+def _blocks(users: int, items: int, tasks: int) -> tuple[int, int]:
+    """How many blocks of users and of items: none above its size, and a pair for every task as long
+    as that leaves a task enough users. What is moved is users x item blocks + items x user blocks."""
+    item_blocks = max(1, math.ceil(items / ITEM_BLOCK))
+    user_blocks = max(1, math.ceil(users / USER_BLOCK), min(math.ceil(tasks / item_blocks), users // LEAST_USERS))
+    return user_blocks, item_blocks
+
+
 def recommend_similar(profiles: DataFrame, active: DataFrame, items: DataFrame, seen: DataFrame, now: str,
-                      n: int = 100, days: int = 7, hours: int = 72, user_limit: int | None = 10_000_000,
-                      item_limit: int = 100_000, user_blocks: int | None = None) -> DataFrame:
+                      n: int = 100, days: int = 7, hours: int = 72) -> DataFrame:
     """The ``n`` unseen recent items most like each active user's profile.
 
     ``profiles`` (device_id, tags) and ``items`` (id, tags, publish_time) hold arrays of
-    (tag, weight). Users are spread over ``user_blocks`` blocks (the shuffle partitions unless
-    given) and items over blocks of about 20,000; each pair of blocks is scored in one task that keeps only the best ``n`` items of a
-    user, and the winners of the item blocks are ranked again. So neither a frequent tag nor a
-    long item list makes pairs that have to be shuffled, and nothing is collected.
+    (tag, weight). Users and items are counted first and dealt into blocks of about ``USER_BLOCK``
+    and ``ITEM_BLOCK``. Each pair of blocks is one partition and is scored by one task, which keeps
+    the best ``n`` items of a user; the winners of several item blocks are ranked again. What was
+    seen goes to the one block pair it concerns. So no frequent tag and no long item list makes
+    pairs that have to be shuffled, nothing is collected, and no user or item is left out.
     """
-    if user_blocks is None:
-        user_blocks = int(profiles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    item_blocks = -(-item_limit // ITEM_BLOCK)
-    latest = recent_items(items.where(F.size("tags") > 0), now, hours, item_limit)
-    latest = latest.select("id", *_vector_columns("tags"), F.unix_micros("publish_time").alias("publish_us"))
-    people = profiles.join(active_users(active, now, days, user_limit), "device_id", "left_semi")
-    # what a user has seen matters only among the candidate items, which bounds the list
-    relevant = (seen.select("device_id", "info_id")
-                .join(latest.select(F.col("id").alias("info_id")), "info_id", "left_semi").distinct()
-                .groupBy("device_id").agg(F.collect_list("info_id").alias("seen")))
-    people = (people.where(F.size("tags") > 0).join(relevant, "device_id", "left")
-              .select("device_id", *_vector_columns("tags"), "seen"))
-    people = (people.withColumn("ub", F.pmod(F.xxhash64("device_id"), F.lit(user_blocks)))
-              .withColumn("ib", F.explode(F.sequence(F.lit(0), F.lit(item_blocks - 1)))))
-    wares = (latest.withColumn("ib", F.pmod(F.xxhash64("id"), F.lit(item_blocks)).cast("int"))
-             .withColumn("ub", F.explode(F.sequence(F.lit(0), F.lit(user_blocks - 1))))
-             .withColumn("ub", F.col("ub").cast("long")))
-    # A fixed number of partitions: a block is small in bytes but heavy to score, so it must not be
-    # merged with others by size.
-    people = people.repartition(user_blocks, "ub", "ib")
-    wares = wares.repartition(user_blocks, "ub", "ib")
-    found = people.groupBy("ub", "ib").cogroup(wares.groupBy("ub", "ib")).applyInPandas(
-        _score_block(n), f"device_id {profiles.schema['device_id'].dataType.simpleString()}, "
-                         "info_id long, similarity double, publish_us long")
+    spark = profiles.sparkSession
+    latest = recent_items(items.where(F.size("tags") > 0), now, hours)
+    people = profiles.where(F.size("tags") > 0).join(active_users(active, now, days), "device_id", "left_semi")
+    user_blocks, item_blocks = _blocks(people.count(), latest.count(), spark.sparkContext.defaultParallelism)
+    ub, ib = F.pmod(F.xxhash64("device_id"), F.lit(user_blocks)), F.pmod(F.xxhash64("info_id"), F.lit(item_blocks))
+    every_item_block = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(item_blocks - 1).cast("long")))
+    every_user_block = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(user_blocks - 1).cast("long")))
+    nothing = F.lit(None)
+    no_tags = [nothing.cast("array<long>").alias("tag_ids"), nothing.cast("array<double>").alias("weights")]
+    device = profiles.schema["device_id"].dataType.simpleString()
+    latest = latest.select(F.col("id").cast("long").alias("info_id"), *_vector_columns("tags"),
+                           F.unix_micros("publish_time").alias("publish_us"))
+    users = people.select(F.lit(0).alias("kind"), "device_id", nothing.cast("long").alias("info_id"), *_vector_columns("tags"),
+                          nothing.cast("long").alias("publish_us"), ub.alias("ub"), every_item_block.alias("ib"))
+    wares = latest.select(F.lit(1).alias("kind"), nothing.cast(device).alias("device_id"), "info_id", "tag_ids", "weights", "publish_us",
+                          every_user_block.alias("ub"), ib.alias("ib"))
+    met = (seen.select("device_id", F.col("info_id").cast("long").alias("info_id"))
+           .join(latest.select("info_id"), "info_id", "left_semi").distinct()
+           .select(F.lit(2).alias("kind"), "device_id", "info_id", *no_tags, nothing.cast("long").alias("publish_us"),
+                   ub.alias("ub"), ib.alias("ib")))
+    pair = (F.col("ub") * item_blocks + F.col("ib")).cast("int")
+    dealt = users.unionByName(wares).unionByName(met).repartitionById(user_blocks * item_blocks, pair).drop("ub", "ib")
+    found = dealt.mapInPandas(_score_block(n), f"device_id {device}, info_id long, similarity double, publish_us long")
     if item_blocks > 1:
         found = top_per_key(found, ["device_id"], [F.desc("similarity"), F.desc("publish_us"),
                                                    F.desc("info_id")], n).drop("_rank")
@@ -241,9 +271,9 @@ def paginate(recommended: DataFrame, size: int = 10, ttl_seconds: int = 3 * 24 *
 
 def stamp_recommendations(recommended: DataFrame) -> DataFrame:
     """Recommendations with the unique stamp of the result table: publish time in ms plus 999
-    falling by one along the publish times of the user."""
-    order = Window.partitionBy("device_id").orderBy(F.desc("publish_time"), F.desc("similarity"),
-                                                    F.desc("info_id"))
+    falling by one along the publish times of the user, over all of the user's items."""
+    ties = [F.desc("similarity")] if "similarity" in recommended.columns else []
+    order = Window.partitionBy("device_id").orderBy(F.desc("publish_time"), *ties, F.desc("info_id"))
     stamp = F.unix_millis("publish_time") + 1000 - F.row_number().over(order)
     return recommended.withColumn("stamp_ms", stamp)
 
@@ -256,20 +286,24 @@ def recommend_similar_table(profiles: DataFrame, active: DataFrame, items: DataF
 
 
 def recommend_by_category(wtags: DataFrame, items: DataFrame, seen: DataFrame, now: str | None = None,
-                          n: int = 100, hours: int = 72, item_limit: int = 100_000) -> DataFrame:
+                          n: int = 100, hours: int = 72, active: DataFrame | None = None, days: int = 7) -> DataFrame:
     """Per user tag (device_id, tag_id, weight) that is an item category: its newest
     ``round(weight * n)`` unseen items.
 
-    Only as many newest items of a category are looked at as the user may take plus those already
-    seen there, so the work follows the result and not users times items.
+    ``now`` restricts the items to the last ``hours`` hours, and with ``active`` (device_id,
+    active_time) the users to those active in the last ``days`` days. A category is read only as
+    deep as its most demanding user can reach, which is what that user wants plus has already seen
+    there; the work follows the result and not users times items. Items without a publish time,
+    which only count without ``now``, come last.
     """
-    latest = (latest_rows(items, "publish_time", "id", item_limit) if now is None
-              else recent_items(items, now, hours, item_limit))
-    ranked = latest.select("category_id", F.col("id").alias("info_id"), "publish_time",
-                           F.row_number().over(Window.partitionBy("category_id")
-                                               .orderBy(F.desc("publish_time"), F.desc("id"))).alias("_pos"))
-    sizes = ranked.groupBy("category_id").agg(F.max("_pos").alias("_size"))
-    met = (lookup(seen.select("device_id", "info_id").distinct(), ranked.select("info_id", "category_id"),
+    if active is not None:
+        if now is None:
+            raise ValueError("active users are those of the days before now")
+        wtags = wtags.join(active_users(active, now, days), "device_id", "left_semi")
+    latest = items if now is None else recent_items(items, now, hours)
+    latest = latest.select("category_id", F.col("id").alias("info_id"), "publish_time")
+    sizes = latest.groupBy("category_id").agg(F.count("*").alias("_size"))
+    met = (lookup(seen.select("device_id", "info_id").distinct(), latest.select("info_id", "category_id"),
                   "info_id").where(F.col("category_id").isNotNull()))
     met_counts = met.groupBy("device_id", "category_id").agg(F.count("*").alias("_met"))
     wanted = (lookup(wtags.select("device_id", F.col("tag_id").alias("category_id"), "weight",
@@ -277,18 +311,24 @@ def recommend_by_category(wtags: DataFrame, items: DataFrame, seen: DataFrame, n
                      sizes, "category_id")
               .where(F.col("_size").isNotNull() & (F.col("_want") > 0))
               .join(met_counts, ["device_id", "category_id"], "left"))
-    reach = F.least(F.col("_want") + F.coalesce("_met", F.lit(0)), F.col("_size"))
-    probes = wanted.withColumn("_pos", F.explode(F.sequence(F.lit(1), reach.cast("int"))))
-    if item_limit <= BROADCAST_ITEMS:  # ``ranked`` holds at most item_limit rows of four numbers
-        candidates = probes.join(F.broadcast(ranked), ["category_id", "_pos"])
-    else:
-        candidates = lookup(probes, ranked, ["category_id", "_pos"])
+    wanted = wanted.withColumn("_reach", F.least(F.col("_want") + F.coalesce("_met", F.lit(0)), F.col("_size")).cast("int"))
+    depth = wanted.groupBy("category_id").agg(F.max("_reach").alias("_depth"))
+    ranked = top_per_key(lookup(latest, depth, "category_id").where("_depth IS NOT NULL"), ["category_id"],
+                         [F.desc("publish_time"), F.desc("info_id")], "_depth", rank="_pos").drop("_depth")
+    probes = wanted.withColumn("_pos", F.explode(F.sequence(F.lit(1), F.col("_reach"))))
+    candidates = probes.join(ranked, ["category_id", "_pos"])
     fresh = candidates.join(met.select("device_id", "info_id"), ["device_id", "info_id"], "left_anti")
     order = Window.partitionBy("device_id", "category_id").orderBy("_pos")
     return (fresh.withColumn("place", F.row_number().over(order)).where(F.col("place") <= F.col("_want"))
             .select("device_id", "category_id", "weight", "place", "info_id", "publish_time"))
 
 
+def recommend_by_category_table(wtags: DataFrame, active: DataFrame, items: DataFrame, seen: DataFrame, now: str,
+                                **options) -> DataFrame:
+    """:func:`recommend_by_category` for active users, stamped over the whole result of a user."""
+    return stamp_recommendations(recommend_by_category(wtags, items, seen, now, active=active, **options))
+
+
 def random_tag(profiles: DataFrame, n: int = 3, seed: int = 0) -> DataFrame:
     """One of the first ``n`` tags of each device, picked by a seeded digest of its id.
 

@@ -40,20 +40,23 @@ def bucketed_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], value
             .drop("_prev", "_carry"))
 
 
-def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int,
+def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int | str,
                 rank: str = "_rank") -> DataFrame:
-    """The first ``n`` rows of every key with their position in ``rank``.
+    """The first ``n`` rows of every key with their position in ``rank``; ``n`` is a number or a
+    column that is the same on all rows of a key.
 
     ``order`` must end with a unique column. Up to 1000 rows the optimizer cuts every group inside
-    each input partition before the shuffle; for more, the same is done by an explicit salt.
+    each input partition before the shuffle; for more, or a column, the same is done by an explicit
+    salt.
     """
-    if n > _BUILT_IN_GROUP_LIMIT:
+    most = F.col(n) if isinstance(n, str) else F.lit(n)
+    if isinstance(n, str) or n > _BUILT_IN_GROUP_LIMIT:
         salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(_SALTS)))
         part = Window.partitionBy(*keys, "_salt").orderBy(*order)
         df = (salted.withColumn("_part_rank", F.row_number().over(part))
-              .where(F.col("_part_rank") <= n).drop("_salt", "_part_rank"))
+              .where(F.col("_part_rank") <= most).drop("_salt", "_part_rank"))
     whole = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(rank, F.row_number().over(whole)).where(F.col(rank) <= n)
+    return df.withColumn(rank, F.row_number().over(whole)).where(F.col(rank) <= most)
 
 
 def lookup(df: DataFrame, table: DataFrame, key: str | Sequence[str]) -> DataFrame:
@@ -73,39 +76,6 @@ def lookup(df: DataFrame, table: DataFrame, key: str | Sequence[str]) -> DataFra
             .select(*df.columns, *[c for c in table.columns if c not in keys]))
 
 
-def latest_rows(df: DataFrame, time: str, key: str, n: int, buckets: int = 4096) -> DataFrame:
-    """The ``n`` rows with the latest ``time`` (whole seconds); ties are cut by a hash of ``key``,
-    which must be unique.
-
-    A sort with a large limit would pass all ``n`` rows through one task. Here the cut is looked up
-    first, from counts per second, then per hash bucket of the one second that is only partly
-    taken, then by key inside the one bucket that is only partly taken. Each step brings one row of
-    numbers to the driver; the result is a plain filter on ``df``.
-    """
-    sec, bucket = F.unix_timestamp(time), F.pmod(F.xxhash64(key), F.lit(buckets))
-
-    def cut(rows: DataFrame, part: Column, descending: bool, room: int):
-        # the first group that does not fit whole, and how many of its rows still do
-        order = F.desc("_part") if descending else F.asc("_part")
-        before = F.sum("_n").over(Window.partitionBy().orderBy(order).rowsBetween(
-            Window.unboundedPreceding, -1))
-        counts = rows.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
-        left = counts.withColumn("_room", F.lit(room) - F.coalesce(before, F.lit(0)))
-        return left.where(F.col("_room") < F.col("_n")).orderBy(order).select("_part", "_room").first()
-
-    last = cut(df, sec, True, n)
-    if last is None:
-        return df
-    second = df.where(sec == last["_part"])
-    some = cut(second, bucket, False, last["_room"])
-    rest = second.where(bucket == some["_part"]).select(key).orderBy(key).limit(max(some["_room"], 0))
-    final = rest.agg(F.max(key)).first()[0]
-    tie = bucket < some["_part"]
-    if final is not None:
-        tie = tie | ((bucket == some["_part"]) & (F.col(key) <= F.lit(final)))
-    return df.where((sec > last["_part"]) | ((sec == last["_part"]) & tie))
-
-
 def distinct_users(df: DataFrame, keys: Sequence[str], user: str,
                    flags: dict[str, Column]) -> DataFrame:
     """Distinct users per key for several conditions at once.

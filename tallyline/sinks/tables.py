@@ -189,12 +189,13 @@ def diff_tables(a: DataFrame, b: DataFrame, cols: Sequence[str]) -> DataFrame:
                        F.abs("_d").alias("copies"))
 
 
-def recommendations_to_messages(df: DataFrame) -> DataFrame:
-    """One message per user: ``device info:time,info:time`` in place order.
+def recommendations_to_messages(df: DataFrame, order: str = "place") -> DataFrame:
+    """One message per user: ``device info:time,info:time`` in the order of a column, such as the
+    place or, where places repeat per category, a falling stamp.
 
     The list of a user is the result of a top-n recommendation and so bounded by n.
     """
-    item = F.struct("place", F.concat_ws(":", F.col("info_id").cast("string"),
+    item = F.struct(F.col(order) if order == "place" else -F.col(order), F.concat_ws(":", F.col("info_id").cast("string"),
                                          F.unix_millis("publish_time").cast("string")).alias("m"))
     packed = df.groupBy("device_id").agg(F.array_sort(F.collect_list(item)).alias("_m"))
     body = F.array_join(F.transform("_m", lambda m: m["m"]), ",")
@@ -210,7 +211,3 @@ def write_kafka(messages: DataFrame, brokers: str, topic: str) -> None:
 def write_rollups(rolled: DataFrame, path: str) -> None:
     """All roll-up tables in one pass, one directory per rule."""
     rolled.write.mode("overwrite").partitionBy("rule").parquet(path)
-
-
-def union_all(frames: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

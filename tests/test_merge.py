@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyline.operators import merge
 from tallyline.operators.fold import Policy
-from tallyline.operators.skew import bucketed_lag, distinct_users, latest_rows, top_per_key
+from tallyline.operators.skew import bucketed_lag, distinct_users, top_per_key
 from tests.conftest import table
 
 LOG = "aid string, channel_code string, area string, ip string, create_time timestamp"
@@ -139,16 +139,6 @@ def test_bucketed_lag_equals_a_plain_lag(rows, seed):
     assert got == want
 
 
-@pytest.mark.parametrize("n", [1, 7, 50, 199, 200, 500])
-def test_latest_rows_takes_exactly_n(rows, n):
-    r = random.Random(n)
-    data = [(f"d{i}", f"2024-01-01 00:00:{r.choice([1, 1, 1, 2, 30]):02d}") for i in range(200)]
-    df = rows("d string, t timestamp", data)
-    got = [x.t for x in latest_rows(df, "t", "d", n, buckets=4).collect()]
-    times = sorted((x.t for x in df.collect()), reverse=True)
-    assert sorted(got, reverse=True) == times[:n]
-
-
 def test_top_per_key_beyond_the_built_in_limit(spark):
     df = spark.range(6000).selectExpr("id", "id % 2 AS g", "(id * 7919) % 6007 AS v")
     got = top_per_key(df, ["g"], [F.desc("v"), F.asc("id")], 1200, "r")

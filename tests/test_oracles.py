@@ -33,7 +33,7 @@ def test_query_matches_sql(spark, con, name):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
-    assert ("FlatMapCoGroupsInPandas" in plan) == (name in PYTHON)
+    assert ("MapInPandas" in plan) == (name in PYTHON)
     verdict, _, _ = compare(spark, con, name, SF, df)
     assert verdict.startswith("ok"), verdict
 

@@ -44,11 +44,13 @@ def brute(users, items, seen, n):
     return out
 
 
-@pytest.mark.parametrize("block,blocks", [(20_000, None), (30, 3)])
-def test_similar_items_match_brute_force(world, monkeypatch, block, blocks):
+@pytest.mark.parametrize("item_block,user_block", [(20_000, 50_000), (30, 11)])
+def test_similar_items_match_brute_force(world, monkeypatch, item_block, user_block):
+    """In one block, and with more items and users than a block holds."""
     users, items, seen, profiles, active, stuff, seen_df = world
-    monkeypatch.setattr(recommend, "ITEM_BLOCK", block)
-    got = recommend.recommend_similar(profiles, active, stuff, seen_df, NOW, n=7, item_limit=120, user_blocks=blocks)
+    monkeypatch.setattr(recommend, "ITEM_BLOCK", item_block)
+    monkeypatch.setattr(recommend, "USER_BLOCK", user_block)
+    got = recommend.recommend_similar(profiles, active, stuff, seen_df, NOW, n=7)
     lists = {}
     for r in got.orderBy("device_id", "place").collect():
         lists.setdefault(r.device_id, []).append(r.info_id)
@@ -56,12 +58,18 @@ def test_similar_items_match_brute_force(world, monkeypatch, block, blocks):
     assert lists == brute(users, items, seen, 7)
 
 
-def test_limits_take_the_latest(world):
+def test_block_counts():
+    assert recommend._blocks(0, 0, 8) == (1, 1)
+    assert recommend._blocks(10_000, 100, 8) == (8, 1) and recommend._blocks(900, 100, 8) == (1, 1)
+    users, items = recommend._blocks(10**7, 10**5, 1000)
+    assert (users, items) == (200, 5)
+    assert recommend._blocks(10**9, 10**6, 1000) == (20_000, 50)
+
+
+def test_all_users_and_items_count(world):
     _, items, _, profiles, active, stuff, seen_df = world
-    assert recommend.active_users(active, NOW, limit=10).count() == 10
-    latest = recommend.recent_items(stuff, NOW, limit=15)
-    times = sorted((t for _, t in items.values() if t > "2024-01-07 00:00:00"), reverse=True)[:15]
-    assert sorted((str(r.publish_time) for r in latest.collect()), reverse=True) == times
+    assert recommend.active_users(active, NOW).count() == 32
+    assert recommend.recent_items(stuff, NOW).count() == sum(t > "2024-01-07 00:00:00" for _, t in items.values())
 
 
 def test_pages_and_stamps(spark):
@@ -89,6 +97,27 @@ def test_category_items_match_brute_force(spark):
     assert sorted((x.device_id, x.category_id, x.place, x.info_id) for x in got.collect()) == sorted(want)
 
 
+def test_category_table_is_for_active_users_and_stamped(spark, rows):
+    wtags = spark.createDataFrame([("a", 1, 0.5), ("a", 2, 0.5), ("b", 1, 1.0)], "device_id string, tag_id long, weight double")
+    active = rows("device_id string, active_time timestamp", [("a", "2024-01-09"), ("b", "2023-12-01")])
+    items = rows("id long, category_id long, publish_time timestamp",
+                 [(i, 1 + i % 2, f"2024-01-09 00:0{i // 2}:00") for i in range(8)])
+    seen = spark.createDataFrame([("a", 7)], "device_id string, info_id long")
+    got = recommend.recommend_by_category_table(wtags, active, items, seen, NOW, n=4).orderBy(F.desc("stamp_ms")).collect()
+    assert [(r.device_id, r.info_id) for r in got] == [("a", 6), ("a", 5), ("a", 4), ("a", 3)]
+    assert [r.stamp_ms % 1000 for r in got] == [999, 998, 997, 996]
+    with pytest.raises(ValueError):
+        recommend.recommend_by_category(wtags, items, seen, active=active)
+
+
+def test_a_category_without_times_is_taken_whole(rows, spark):
+    items = rows("id long, category_id long, publish_time timestamp", [(i, 1, None if i % 2 else "2024-01-01") for i in range(50)])
+    wtags = spark.createDataFrame([("u", 1, 1.0)], "device_id string, tag_id long, weight double")
+    none = spark.createDataFrame([], "device_id string, info_id long")
+    got = [r.info_id for r in recommend.recommend_by_category(wtags, items, none).orderBy("place").collect()]
+    assert got == [*range(48, -1, -2), *range(49, 0, -2)]
+
+
 def test_decay_of_one_day_drops_the_tag(rows):
     clicks = rows("device_id string, info_id long, event_name string, click_date string, click_count int",
                   [("u", 1, "recreate_click", "2024-01-09", 1), ("u", 2, "share", "2024-01-06", 9), ("u", 9, "unknown_event", "2024-01-06", 9)])
