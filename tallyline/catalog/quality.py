@@ -404,9 +404,9 @@ def flag_duplicate_ids(v):
     return devices.flag_duplicate_ids(o, "android_id", "aid_status")
 
 
-def _lines(v, *columns):
+def _lines(v, *columns, where="true"):
     """Line items with their customer: the raw signal log of a device."""
-    o = v.table("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", F.col("o_orderdate").cast("timestamp").alias("t"))
+    o = v.table("orders").where(where).select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", F.col("o_orderdate").cast("timestamp").alias("t"))
     li = v.table("lineitem").select("l_orderkey", *columns)
     return li.join(o, "l_orderkey").withColumn("uuid", F.concat(F.lit("u"), F.col("o_custkey").cast("string")))
 
@@ -425,19 +425,22 @@ SELECT 'u' || c_custkey AS uuid, c_mktsegment AS customer_id, 20240101 AS create
   coalesce(stations, 0) AS station_cnt, coalesce(accounts, 0) AS account_cnt, coalesce(installs, 0) AS install_cnt,
   coalesce(uses, 0) AS appuse_cnt FROM customer JOIN r ON r.c = c_custkey LEFT JOIN s ON s.c = c_custkey""", log=False)
 def device_signals(v):
-    rows = _lines(v, "l_quantity", "l_linenumber", "l_discount", "l_suppkey", "l_returnflag", "l_partkey")
-    active = rows.select("uuid", F.col("l_quantity").cast("int").alias("boottime"), F.col("l_linenumber").alias("screen_on"),
-                         F.round(F.col("l_discount") * 100).cast("int").alias("battery"),
-                         ((F.col("l_quantity") - 25) * 100).alias("time_diff"),
-                         F.date_format("t", "yyyyMMdd").cast("int").alias("active_date"))
-    at = F.col("t").alias("createtime")
-    pkg = lambda c: F.col(c).cast("string").alias("app_pkgname")
+    """The five logs all come from the line items, so they are read and stacked in one pass."""
+    rows = _lines(v, "l_quantity", "l_linenumber", "l_discount", "l_suppkey", "l_returnflag", "l_partkey",
+                  where="o_orderdate >= date '2000-01-01'")
+    text = lambda c: c.cast("string").alias("value")
+    signal = lambda name, value, **more: F.struct(
+        F.lit(name).alias("signal"), text(value), *[more.get(c, F.lit(None)).cast("double").alias(c) for c in ("boottime", "screen_on", "time_diff")])
+    part = F.col("l_partkey")
+    stacked = rows.select("uuid", F.explode(F.array(
+        signal("battery", F.round(F.col("l_discount") * 100).cast("int"), boottime=F.col("l_quantity"), screen_on=F.col("l_linenumber"),
+               time_diff=(F.col("l_quantity") - 25) * 100),
+        signal("station", F.when(F.col("l_suppkey") > 0, F.col("l_suppkey"))), signal("account", F.col("l_returnflag")),
+        signal("install", F.when(F.col("l_returnflag") == "R", part)), signal("appuse", part))).alias("s")).select("uuid", "s.*")
     clients = v.table("customer").select(F.concat(F.lit("u"), F.col("c_custkey").cast("string")).alias("uuid"),
                                          F.col("c_mktsegment").alias("customer_id"), F.lit(20240101).alias("create_date"))
-    return devices.device_signals(
-        clients, active, rows.select("uuid", F.col("l_suppkey").alias("stationcode"), at),
-        rows.select("uuid", pkg("l_returnflag"), at), rows.where("l_returnflag = 'R'").select("uuid", pkg("l_partkey"), at),
-        rows.select("uuid", pkg("l_partkey"), at), "2000-01-01", days=0)
+    found = devices.device_signals(clients, stacked)
+    return found.withColumns({c: F.col(c).cast("int") for c in ("runtime", "unlock_cnt")})
 
 
 def _fact_devices(v):
@@ -539,21 +542,53 @@ for _name in _ROLLUPS:
 
 
 def _score_signals(v):
+    """All signals in one pass over the line items of the window; the per-day tables have queries of
+    their own."""
+    rows = _lines(v, "l_suppkey", "l_quantity", "l_linenumber", "l_returnflag", "l_discount",
+                  where="o_orderdate >= date '1998-07-01' - interval 200 days AND o_orderdate < date '1998-07-01'")
+    n = F.col("l_linenumber")
+    signal = lambda name, value=F.lit(None), amount=F.lit(None): F.struct(
+        F.lit(name).alias("signal"), value.cast("string").alias("value"), amount.cast("long").alias("amount"))
+    power = F.round(F.col("l_discount") * 100).cast("int")
+    every = F.array(
+        F.when(power > 0, signal("power", power)), signal("station", F.col("l_suppkey")), signal("locked", amount=F.col("l_quantity").cast("int")),
+        F.when(n.isin(1, 2), signal("app_used", amount=n)), signal("link", n % 4), signal("app_install", amount=F.lit(1)),
+        signal("account", F.concat("l_returnflag", F.lit("t"))), signal("active"))
+    stacked = (rows.select("uuid", F.date_format("t", "yyyyMMdd").cast("int").alias("day"), F.explode(every).alias("s"))
+               .where("s IS NOT NULL").select("uuid", "day", "s.*"))
+    counts = scoring.count_signals(stacked)
+    n = F.col("c_nationkey")
+    info = v.table("customer").where("c_acctbal > 0").select(
+        F.concat(F.lit("u"), F.col("c_custkey").cast("string")).alias("uuid"), (n % 2).alias("changed_mac"), (n % 3).alias("used_vpn"),
+        (n.cast("long") * 20000000).alias("uptime"), F.when(n % 5 > 0, n % 2).alias("has_phonenum"))
+    return scoring.device_score_signals(info, counts)
+
+
+def _day_table_signals(v):
+    """The same signals through the per-day tables."""
     daily_bases = devices.daily_signal_rollups(_bases(v))
     rows = _lines(v, "l_discount")
     date = F.date_format("t", "yyyyMMdd").cast("int").alias("create_date")
-    bases = {
+    return scoring.signal_counts({
         "power": rows.select("uuid", F.round(F.col("l_discount") * 100).cast("int").alias("power"), date),
         "station": daily_bases["stations"], "locked": daily_bases["locked"], "app_used": daily_bases["app_used"],
         "link": daily_bases["links"], "app_install": daily_bases["app_install"], "account": daily_bases["accounts"],
         "active": rows.select("uuid", date).distinct(),
-    }
-    counts = scoring.signal_counts(bases, "1998-07-01", days=200)
-    n = F.col("c_nationkey")
-    info = v.table("customer").where("c_acctbal > 0").select(
-        F.concat(F.lit("u"), F.col("c_custkey").cast("string")).alias("uuid"), (n % 2).alias("changed_mac"), (n % 3).alias("used_vpn"),
-        (n.cast("long") * 20000000).alias("uptime"), F.when(n % 5 > 0, n % 2).alias("has_phonenum"))
-    return scoring.device_score_signals(info, counts)
+    }, "1998-07-01", days=200)
+
+
+@query("signal_counts", _LINES + """,
+w AS (SELECT * FROM l WHERE t >= DATE '1998-07-01' - 200 AND t < DATE '1998-07-01'),
+k AS (SELECT c, t, sum(CAST(l_quantity AS INTEGER)) AS locked FROM w GROUP BY c, t)
+SELECT 'u' || w.c AS uuid,
+  CASE WHEN count(*) FILTER (CAST(l_discount * 100 AS INTEGER) > 0) > 0
+    THEN count(DISTINCT CAST(l_discount * 100 AS INTEGER)) FILTER (CAST(l_discount * 100 AS INTEGER) > 0) END AS power,
+  count(DISTINCT l_suppkey) AS station, count(DISTINCT k.locked) AS locked,
+  CAST(sum(l_linenumber) FILTER (l_linenumber IN (1, 2)) AS BIGINT) AS app_used,
+  count(DISTINCT l_linenumber % 4) AS link, count(*) AS app_install, count(DISTINCT (w.t, l_returnflag)) AS account, count(DISTINCT w.t) AS active
+FROM w JOIN k ON w.c = k.c AND w.t = k.t GROUP BY w.c""", log=False)
+def signal_counts(v):
+    return _day_table_signals(v)
 
 
 def _rule_sql(count: str, ids: tuple) -> str:

@@ -28,11 +28,6 @@ def has_text(c: str | Column) -> Column:
     return F.coalesce(_col(c) > F.lit(""), F.lit(False))
 
 
-def is_known(c: str | Column) -> Column:
-    """True for a usable text: not null, not empty, not the word ``null`` in any letter case."""
-    return has_text(c) & (F.lower(_col(c)) != "null")
-
-
 def require_non_empty(df: DataFrame, cols: Iterable[str] = (),
                       max_len: Mapping[str, int] | None = None) -> DataFrame:
     """Keep rows whose ``cols`` hold text and whose ``max_len`` columns fit their limit.

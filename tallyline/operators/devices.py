@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -99,38 +100,45 @@ def flag_duplicate_ids(devices: DataFrame, col: str, flag: str, ignore: Sequence
             .drop("_id", "_first"))
 
 
-def device_signals(clients: DataFrame, active: DataFrame, stations: DataFrame, accounts: DataFrame,
-                   installs: DataFrame, uses: DataFrame, run_date: str, days: int = 7,
-                   time_limit: int = 30) -> DataFrame:
-    """Seven-day signals per device: longest run, screen, battery levels, clock errors (devices
-    with activity only), then distinct stations, accounts, installed and used apps (0 if none).
-
-    All logs are aggregated by device first, so the joins reuse one partitioning.
-    """
-    start = F.date_sub(F.lit(run_date).cast("date"), days)
-    readings = (active.where(F.col("time_diff").isNotNull()
-                             & (F.col("active_date") >= date_int(start)))
-                .groupBy("uuid")
-                .agg(F.max("boottime").alias("runtime"), F.max("screen_on").alias("unlock_cnt"),
-                     F.count_distinct("battery").alias("battery_cnt"),
-                     F.sum(F.when(F.abs(F.col("time_diff") / 60) > time_limit, 1).otherwise(0))
-                     .alias("etime_cnt")))
-    result = clients.select("uuid", "customer_id", "create_date").join(readings, "uuid")
-    for log, value, name in ((stations, "stationcode", "station_cnt"),
-                             (accounts, "app_pkgname", "account_cnt"),
-                             (installs, "app_pkgname", "install_cnt"),
-                             (uses, "app_pkgname", "appuse_cnt")):
-        rows = log.where(has_text("uuid") & (F.col("createtime") >= start.cast("timestamp")))
-        if value == "stationcode":
+def stack_device_signals(active: DataFrame, stations: DataFrame, accounts: DataFrame, installs: DataFrame,
+                         uses: DataFrame, run_date: str, days: int = 7) -> DataFrame:
+    """The five logs of the ``days`` days before ``run_date`` as rows (uuid, signal, value, boottime,
+    screen_on, time_diff)."""
+    start = datetime.date.fromisoformat(run_date) - datetime.timedelta(days=days)
+    readings = active.where(F.col("time_diff").isNotNull() & (F.col("active_date") >= int(start.strftime("%Y%m%d"))))
+    stacked = readings.select("uuid", F.lit("battery").alias("signal"), F.col("battery").cast("string").alias("value"),
+                              "boottime", "screen_on", "time_diff")
+    for log, value, name in ((stations, "stationcode", "station"), (accounts, "app_pkgname", "account"),
+                             (installs, "app_pkgname", "install"), (uses, "app_pkgname", "appuse")):
+        rows = log.where(has_text("uuid") & (F.col("createtime") >= F.lit(start).cast("timestamp")))
+        if name == "station":
             rows = rows.where(F.col(value) > 0)
-        counted = rows.groupBy("uuid").agg(F.count_distinct(value).alias(name))
-        result = result.join(counted, "uuid", "left")
-    return result.fillna(0, subset=["station_cnt", "account_cnt", "install_cnt", "appuse_cnt"])
+        stacked = stacked.unionByName(rows.select("uuid", F.lit(name).alias("signal"), F.col(value).cast("string").alias("value")),
+                                      allowMissingColumns=True)
+    return stacked
 
 
-# Measures of the single-signal device tables, by name.
-def device_measures(value: str) -> dict[str, Column]:
-    return {"rows": F.count("*"), "sum": F.sum(value), "distinct": F.count_distinct(value)}
+def device_signals(clients: DataFrame, stacked: DataFrame, time_limit: int = 30) -> DataFrame:
+    """Signals per device: longest run, screen, battery levels, clock errors (devices with activity
+    only), then distinct stations, accounts, installed and used apps (0 if none).
+
+    ``stacked`` is :func:`stack_device_signals` or has its columns. Distinct values are one
+    aggregation, all counts a second one, and the clients are joined once.
+    """
+    late = F.when(F.abs(F.col("time_diff") / 60) > time_limit, 1).otherwise(0)
+    values = stacked.groupBy("uuid", "signal", "value").agg(
+        F.max("boottime").alias("runtime"), F.max("screen_on").alias("unlock_cnt"), F.sum(late).alias("late"))
+    one = F.when(F.col("value").isNotNull(), 1).otherwise(0)
+
+    def count(signal: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("signal") == signal, one)), F.lit(0)).alias(f"{signal}_cnt")
+
+    found = values.groupBy("uuid").agg(
+        F.max("runtime").alias("runtime"), F.max("unlock_cnt").alias("unlock_cnt"), count("battery"),
+        F.sum(F.when(F.col("signal") == "battery", F.col("late"))).alias("etime_cnt"),
+        *[count(s) for s in ("station", "account", "install", "appuse")])
+    return (clients.select("uuid", "customer_id", "create_date")
+            .join(found.where(F.col("etime_cnt").isNotNull()), "uuid"))
 
 
 def device_fact(devices: DataFrame, log: DataFrame, measure: Column, name: str,

@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyline.functions.clean import (ISP_CODES, has_text, isp_code, rank_network,
-                                       unrank_network)
+from tallyline.functions.clean import (clip_text, has_text, isp_code, normalize_flags, rank_network,
+                                       require_non_empty, unrank_network)
 from tallyline.functions.dates import date_int, day_gap
 from tallyline.operators.fold import Policy, fold, with_source
 from tallyline.operators.skew import lookup
@@ -34,7 +34,9 @@ def merge_new_users(current: DataFrame | None, log: DataFrame) -> DataFrame:
 def merge_clients(current: DataFrame | None, log: DataFrame,
                   keys: Sequence[str] = ("udid", "app_key"),
                   last: Sequence[str] = ("version", "sdkver", "update_time")) -> DataFrame:
-    """One row per device and app: the latest ``last`` columns, the first of everything else."""
+    """One row per device and app: the latest ``last`` columns, the first of everything else. Rows
+    without text in a key are no client's and are dropped."""
+    log = require_non_empty(log, keys)
     latest = tuple(c for c in last if c in log.columns)
     first = tuple(c for c in log.columns if c not in keys and c not in latest)
     return fold(with_source(current, log), list(keys), Policy(first=first, last=latest))
@@ -56,10 +58,10 @@ def merge_devices(current: DataFrame | None, log: DataFrame, key: str = "udid",
     """One row per device: first usable ``known`` values, best network, highest ``flags``, latest
     update time, the first of everything else.
 
-    ``min``/``max`` aggregates combine before the shuffle, so this is at once the plain fold and
-    its pairwise, order-free variant.
+    Rows without text in the key are no device's and are dropped. ``min``/``max`` aggregates combine
+    before the shuffle, so this is at once the plain fold and its pairwise, order-free variant.
     """
-    rows = with_source(current, log).withColumn("network", rank_network("network", style))
+    rows = with_source(current, require_non_empty(log, [key])).withColumn("network", rank_network("network", style))
     named = {key, "network", "update_time", *known, *flags}
     first = tuple(c for c in log.columns if c not in named)
     policy = Policy(first=first, last=("update_time",), first_known=tuple(known),
@@ -86,7 +88,7 @@ def merge_devices_rich(current: DataFrame | None, log: DataFrame, keys: Sequence
     return merged.withColumn(network, unrank_network(network)) if network else merged
 
 
-# Column policies of the two rich device tables.
+# Column policies of the two rich device tables.
 SDK_DEVICE = Policy(
     first=("customer_id", "create_time"), last=("device_id", "update_time"),
     last_known=("os_version",), highest=("network", "have_vpn"),
@@ -182,37 +184,38 @@ def update_dimension(values: DataFrame, col: str, current: DataFrame | None = No
     return ids if current is None else ids.join(current.select("id"), "id", "left_anti")
 
 
+# Columns of the visit logs and of the tables they are merged into, here and below.
 def fad_device_log(log: DataFrame) -> DataFrame:
-    """visit_fad rows in the shape of the device table."""
-    return log.select(
+    """visit_fad rows in the shape of the device table. Rows whose device id is missing or longer
+    than 64, or whose channel or version is missing or longer than 50, are not usable."""
+    usable = require_non_empty(log, ["udid"], {"udid": 64, "clnt": 50, "appversion": 50})
+    return normalize_flags(usable).select(
         "udid", "deviceid", "imsi", "imei", "vender", "model", F.col("osVersion").alias("os_version"),
         "platform", F.col("androidid").alias("android_id"), "operator", "network", "src", "mac",
-        F.col("apppkg").alias("app_key"), "clnt",
-        F.when(F.col("isroot") == "1", 1).otherwise(2).alias("is_root"),
-        F.when(F.col("gp") == "1", 1).otherwise(2).alias("has_gplay"), "gaid",
-        F.col("rom").try_cast("long").alias("rom"), "lang",
-        F.substring("ua", 1, 200).alias("ua"), F.col("cityid").try_cast("long").alias("city_id"),
+        F.col("apppkg").alias("app_key"), "clnt", F.col("isroot").alias("is_root"),
+        F.col("gp").alias("has_gplay"), "gaid", F.col("rom").try_cast("long").alias("rom"), "lang",
+        clip_text("ua", 200).alias("ua"), F.col("cityid").try_cast("long").alias("city_id"),
         "country", F.col("createtime").alias("create_time"), F.col("updatetime").alias("update_time"))
 
 
-def fad_client_log(log: DataFrame) -> DataFrame:
-    """visit_fad rows in the shape of the client table."""
-    known_path = F.when(F.col("path").isin("1", "2", "3", "4", "5"), F.col("path").try_cast("int"))
-    sdk = F.substring("sdkver", 1, 50)
-    return log.select(
+def fad_client_log(log: DataFrame, full: bool = False) -> DataFrame:
+    """visit_fad rows in the shape of the client table, usable ones as for the device table.
+    ``full``, for loading a whole history, also asks for an app, a channel and a version."""
+    needed = ["udid", *(("apppkg", "clnt", "appversion") if full else ())]
+    usable = require_non_empty(log, needed, {"udid": 64, "clnt": 50, "appversion": 50})
+    sdk = clip_text("sdkver", 50)
+    return normalize_flags(usable).select(
         "udid", F.col("apppkg").alias("app_key"), "clnt", F.col("appversion").alias("version"),
         F.col("appversion").alias("init_version"), sdk.alias("sdkver"), sdk.alias("init_sdkver"),
-        F.coalesce(known_path, F.lit(0)).alias("app_path"),
-        F.col("createtime").alias("create_time"), F.col("updatetime").alias("update_time"),
-        date_int("createtime").alias("create_date"))
+        F.col("path").alias("app_path"), F.col("createtime").alias("create_time"),
+        F.col("updatetime").alias("update_time"), date_int("createtime").alias("create_date"))
 
 
 def sdk_device_log(log: DataFrame) -> DataFrame:
-    """visit_sdk rows in the shape of the device table."""
-    return log.select(
+    """visit_sdk rows in the shape of the device table; rows without a device id are not usable."""
+    return normalize_flags(require_non_empty(log, ["uuid"])).select(
         "uuid", F.col("deviceid").alias("device_id"), F.col("appkey").alias("app_key"),
-        F.col("customid").alias("customer_id"), "network", "platform",
-        F.when(F.col("havaapn") == "1", 1).otherwise(0).alias("have_vpn"), "imsi",
+        F.col("customid").alias("customer_id"), "network", "platform", F.col("havaapn").alias("have_vpn"), "imsi",
         F.col("wifimac").alias("wifi_mac"), "imei", F.col("androidid").alias("android_id"),
         "baseband", "language", "resolution", F.col("modulename").alias("model_name"), "cpu",
         F.col("devicename").alias("device_name"), F.col("osVersion").alias("os_version"), "cameras",
@@ -220,8 +223,3 @@ def sdk_device_log(log: DataFrame) -> DataFrame:
         F.col("phoneno").alias("phone_no"), "city", "region", "country",
         F.col("uidtype").try_cast("int").alias("uuid_type"), F.lit(0).alias("isp_code"),
         F.col("createtime").alias("create_time"), F.col("createtime").alias("update_time"))
-
-
-def whitelisted_isp(code: str):
-    """Operator code of the device table: 0 unless it is listed."""
-    return F.when(F.col(code).isin(*ISP_CODES), F.col(code)).otherwise(0)

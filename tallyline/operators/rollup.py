@@ -29,17 +29,24 @@ def combination_rules(cols: Sequence[str], must: Sequence[str] = ()) -> Rules:
 
 
 def _rollup(df: DataFrame, rules: Rules, key: str, count: str) -> DataFrame:
-    """One pass for all rules: count per finest group, then grouping sets over those counts."""
+    """One pass for all rules: count per finest group, then grouping sets over those counts.
+
+    Rules with the same columns, in whatever order, share a set; every rule gets its rows. A column
+    that a rule names twice counts once.
+    """
     columns = list(dict.fromkeys(c for _, cols in rules for c in cols))
     finest = df.groupBy(*columns).agg(F.count(key).alias("_n"))
     n = len(columns)
+    sets: dict[frozenset, list[str]] = {}
+    for code, cols in rules:
+        sets.setdefault(frozenset(cols), []).append(code)
     # bit i of the grouping id (from the left) is 1 where the column is rolled away
-    code_of = {sum((c not in cols) << (n - 1 - i) for i, c in enumerate(columns)): code
-               for code, cols in rules}
-    codes = F.create_map(*[F.lit(x) for pair in code_of.items() for x in pair])
-    grouped = finest.groupingSets([list(cols) for _, cols in rules], *columns)
-    return (grouped.agg(F.sum("_n").alias(count), F.grouping_id().alias("_gid"))
-            .select(codes[F.col("_gid").cast("int")].alias("rule"), *columns, count))
+    codes = F.create_map(*[x for cols, found in sets.items() for x in (
+        F.lit(sum((c not in cols) << (n - 1 - i) for i, c in enumerate(columns))).cast("long"),
+        F.array(*map(F.lit, found)))])
+    grouped = finest.groupingSets([[c for c in columns if c in cols] for cols in sets], *columns)
+    return (grouped.agg(F.sum("_n").alias(count), F.grouping_id().cast("long").alias("_gid"))
+            .select(F.explode(codes[F.col("_gid")]).alias("rule"), *columns, count))
 
 
 def rollup_new(df: DataFrame, rules: Rules, key: str = "aid", count: str = "fact_count") -> DataFrame:
@@ -63,6 +70,7 @@ def split_rollup(rolled: DataFrame, rules: Rules) -> dict[str, DataFrame]:
     return {code: rolled.where(F.col("rule") == code).select(*cols, *counts) for code, cols in rules}
 
 
+# Column sets of the client reports, and the calendar columns of the monthly one.
 CLIENT_RULES: Rules = [
     ("l_02", ["app_key", "create_date"]),
     ("l_03", ["app_key", "create_date", "customer_id"]),

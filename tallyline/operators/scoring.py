@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.functions.dates import date_from_int
-
 # Points of the scoring rules by rule id.
 RULE_SCORES = {
     1: 5, 2: -20, 3: -10, 4: 5, 5: -5, 6: 5, 7: 0, 8: 5, 9: 0,
@@ -29,36 +29,52 @@ def rule_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(sorted(RULE_SCORES.items()), "id int, score int")
 
 
-def signal_counts(bases: dict[str, DataFrame], run_date: str, days: int = 10) -> DataFrame:
-    """Signals per device over the ``days`` days before ``run_date``.
+# The columns of the per-day tables that are counted or summed.
+_VALUES = {"power": ["power"], "station": ["station_code"], "link": ["link_type"], "account": ["acc_name", "acc_type"]}
+_AMOUNTS = {"locked": "unlock_count", "app_used": "app_used_count", "app_install": "app_install_count"}
 
-    ``bases`` maps a name of ``COUNTS`` to its per-day table (uuid, create_date and the value). The
-    aggregates are stacked and merged by one more aggregation, not outer-joined.
-    """
-    end = F.lit(run_date).cast("date")
+
+def stack_signals(bases: dict[str, DataFrame], run_date: str, days: int = 10) -> DataFrame:
+    """The per-day tables (uuid, create_date as yyyyMMdd and the value), named by ``COUNTS``, as rows
+    (uuid, signal, day, value, amount) of the ``days`` days before ``run_date``."""
+    end = datetime.date.fromisoformat(run_date)
+    low, high = (int((end - datetime.timedelta(days=d)).strftime("%Y%m%d")) for d in (days, 0))
     stacked = None
     for name, df in bases.items():
-        day = date_from_int("create_date")
-        rows = df.where((day >= F.date_sub(end, days)) & (day < end))
+        rows = df.where((F.col("create_date") >= low) & (F.col("create_date") < high))
         if name == "power":
             rows = rows.where(F.col("power") > 0)
-        one = rows.groupBy("uuid").agg(_measure(name).cast("long").alias(name))
-        stacked = one if stacked is None else stacked.unionByName(one, allowMissingColumns=True)
-    names = [c for c in stacked.columns if c != "uuid"]
-    return stacked.groupBy("uuid").agg(*[F.max(c).alias(c) for c in names])
+        columns = _VALUES.get(name, [])
+        known = reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in columns], F.lit(True))
+        value = F.when(known, F.concat_ws("\x01", *[F.col(c).cast("string") for c in columns])) if columns else F.lit(None)
+        amount = F.col(_AMOUNTS[name]) if name in _AMOUNTS else F.lit(None)
+        one = rows.select("uuid", F.lit(name).alias("signal"), F.col("create_date").alias("day"),
+                          value.cast("string").alias("value"), amount.cast("long").alias("amount"))
+        stacked = one if stacked is None else stacked.unionByName(one)
+    return stacked
+
+
+def count_signals(stacked: DataFrame, names: Sequence[str] = COUNTS) -> DataFrame:
+    """One column per signal and device from stacked rows (uuid, signal, day, value, amount), which
+    may be rows of the raw logs or of the per-day tables.
+
+    Distinct values (power, station, link), distinct daily sums (locked), values per day (account),
+    days (active) and sums (app_used, app_install) all come from one chain of three aggregations:
+    per day, per counted value, and per device. A signal a device lacks is null.
+    """
+    signal, value, day = F.col("signal"), F.col("value"), F.col("day").cast("string")
+    daily = stacked.groupBy("uuid", "signal", "day", "value").agg(F.sum("amount").alias("amount"))
+    counted = (F.when(signal.isin("power", "station", "link"), value).when(signal == "locked", F.col("amount").cast("string"))
+               .when(signal == "account", F.concat(day, F.lit("\x01"), value)).when(signal == "active", day))
+    values = daily.groupBy("uuid", "signal", counted.alias("counted")).agg(F.sum("amount").alias("amount"))
+    one = F.when(F.col("counted").isNotNull(), 1).otherwise(0)
+    return values.groupBy("uuid").agg(*[
+        F.sum(F.when(signal == n, F.col("amount") if n in ("app_used", "app_install") else one)).cast("long").alias(n) for n in names])
 
 
-def _measure(name: str) -> Column:
-    return {
-        "power": lambda: F.count_distinct("power"),
-        "station": lambda: F.count_distinct("station_code"),
-        "locked": lambda: F.count_distinct("unlock_count"),
-        "app_used": lambda: F.sum("app_used_count"),
-        "link": lambda: F.count_distinct("link_type"),
-        "app_install": lambda: F.sum("app_install_count"),
-        "account": lambda: F.count(F.concat("acc_name", "acc_type")),
-        "active": lambda: F.count("*"),
-    }[name]()
+def signal_counts(bases: dict[str, DataFrame], run_date: str, days: int = 10) -> DataFrame:
+    """Signals per device over the ``days`` days before ``run_date``, from per-day tables."""
+    return count_signals(stack_signals(bases, run_date, days), list(bases))
 
 
 def _bands(c: str, ids: Sequence[int]) -> Column:
@@ -137,6 +153,7 @@ GRADES = {
 }
 MIN_USERS = 50
 _KEEPS = ("keep_pct_1", "keep_pct_3", "keep_pct_6")
+# Ratios of the channel quality report.
 _QUALITY = ("vpn_pct", "phone_pct", "network_pct", "runtime_pct", "unlock_pct", "battery_pct",
             "etime_pct", "station_pct", "account_pct", "install_pct", "appuse_pct")
 

@@ -30,28 +30,30 @@ def log_dirs(root: str, product: str, start: str, end: str, layout: str = DAY_LA
 
 def read_json_logs(spark: SparkSession, root: str, product: str, start: str, end: str,
                    schema: T.StructType | str, unquoted: bool = False,
-                   layout: str = DAY_LAYOUT) -> DataFrame:
+                   layout: str = DAY_LAYOUT, missing: str = "error") -> DataFrame:
     """JSON lines of an inclusive date range under an explicit schema.
 
     ``schema`` is a type or the name of a known log. ``unquoted`` accepts field names without
-    quotes. A column an older log lacks is read as null.
+    quotes. A column an older log lacks is read as null. A day without a directory is an error, or
+    a day without rows if ``missing`` is ``skip``; a range without any is always an error.
     """
+    if missing not in ("error", "skip"):
+        raise ValueError(f"missing is error or skip, not {missing}")
     schema = log_schema(schema) if isinstance(schema, str) and " " not in schema else schema
     paths = log_dirs(root, product, start, end, layout)
-    # a day without a directory has no rows and must not stop the range
     found = [p for p in paths if files.exists(spark, p)]
-    if not found:
-        raise FileNotFoundError(f"no log directory among {paths}")
+    if not found or (missing == "error" and len(found) < len(paths)):
+        raise FileNotFoundError(f"no log directory {[p for p in paths if p not in found]}")
     return spark.read.schema(schema).option("allowUnquotedFieldNames", unquoted).json(found)
 
 
 def read_day_logs(spark: SparkSession, root: str, product: str, day: str, schema: T.StructType | str,
                   time: str = "createtime", strict: bool = True, unquoted: bool = True,
-                  layout: str = DAY_LAYOUT) -> DataFrame:
+                  layout: str = DAY_LAYOUT, missing: str = "error") -> DataFrame:
     """Rows of one day by event time. ``strict`` also reads the next day's directory, where logs
-    delivered past midnight lie."""
+    delivered past midnight lie, and needs both unless ``missing`` is ``skip``."""
     last = (date.fromisoformat(day) + timedelta(days=1 if strict else 0)).isoformat()
-    return read_json_logs(spark, root, product, day, last, schema, unquoted, layout).where(on_day(time, day))
+    return read_json_logs(spark, root, product, day, last, schema, unquoted, layout, missing).where(on_day(time, day))
 
 
 def read_delimited_events(spark: SparkSession, path: str | list[str],
