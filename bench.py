@@ -22,6 +22,7 @@ HEADLINE = (
     "score_devices", "rollup_new", "rollup_active", "client_rollups", "event_counts", "engagement",
     "star_daily", "top_per_group_month", "times_in_top", "user_item_score", "user_profile",
     "recommend_similar", "recommend_by_category", "diff_tables", "upsert",
+    "sessions_incremental", "replace_range", "stream_new_users",
 )
 
 

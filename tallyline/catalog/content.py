@@ -11,7 +11,7 @@ from tallyline.plans import daily
 from tallyline.session import scratch
 from tallyline.sinks import tables as sinks
 from tallyline.sources.streams import parse_messages
-from tallyline.streaming.channel_counts import stream_channel_counts
+from tallyline.streaming.channel_counts import start_channel_counts, stream_channel_counts
 
 _EV = """ev AS (SELECT event_id, ts, uid, CASE event_type WHEN 'view' THEN 'recreate_click' WHEN 'click' THEN 'video_click'
   WHEN 'purchase' THEN 'share' WHEN 'signup' THEN 'comments' ELSE 'search' END AS eventid, CAST(k AS VARCHAR) AS acc,
@@ -623,6 +623,19 @@ def channel_counts_stream(v):
     return v.spark.table(name).select("channel_code", F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "count")
 
 
+@query("stream_channel_counts_append", _WINDOWS.replace("GROUP BY channel, s", """
+WHERE s + INTERVAL 20 MINUTE <= (SELECT max(ts) FROM log) GROUP BY channel, s"""))
+def channel_counts_append(v):
+    """In append mode a window comes out once the watermark has passed its end."""
+    message = F.to_json(F.struct(F.col("uid").alias("aid"), F.col("channel").alias("channel_code"),
+                                 F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("create_time")))
+    folder = scratch(v.spark, "channel_append")
+    v.log.select(message.alias("value")).write.mode("overwrite").text(f"{folder}/in")
+    name = folder.rsplit("/", 1)[-1].replace("-", "_")
+    start_channel_counts(parse_messages(v.spark.readStream.text(f"{folder}/in")), f"{folder}/checkpoint", "append", "memory", name).awaitTermination()
+    return v.spark.table(name).select("channel_code", F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "count")
+
+
 @query("batch_channel_counts", _WINDOWS)
 def channel_counts_batch(v):
     return stream_channel_counts(v.visit_ad).select("channel_code", F.col("window.start").alias("window_start"),
@@ -717,6 +730,39 @@ def label_isp(v):
     return dims.label_isp(v.table("orders").select("o_orderkey", (F.col("o_orderkey") % 6 + 46000).cast("int").alias("isp_code")))
 
 
+PRODUCTS = {"view": "Reader", "click": "Player", "purchase": "Shop", "signup": "Account"}
+
+
+@query("label_product", """
+SELECT event_type AS id, CASE event_type WHEN 'view' THEN 'Reader' WHEN 'click' THEN 'Player' WHEN 'purchase' THEN 'Shop' WHEN 'signup' THEN 'Account' END AS name,
+  count(*) AS n FROM log GROUP BY event_type""")
+def label_product(v):
+    """Events per product; apps that the table lacks keep a null name."""
+    counts = v.log.groupBy(F.col("event_type").alias("id")).agg(F.count("*").alias("n"))
+    return counts.join(dims.dim_product(v.spark, PRODUCTS), "id", "left").select("id", "name", "n")
+
+
+@query("clean_rows", """
+SELECT event_id, CASE WHEN k % 5 < 2 THEN 'unknown' ELSE 'c' || k END AS name, CASE WHEN k % 3 = 1 THEN 1 ELSE 2 END AS isroot,
+  CASE WHEN k % 2 = 1 THEN 1 ELSE 2 END AS gp, CASE WHEN k % 2 = 1 THEN 1 ELSE 0 END AS havaapn,
+  CASE WHEN k % 8 BETWEEN 1 AND 5 THEN k % 8 ELSE 0 END AS path, CASE WHEN k % 4 = 0 THEN 9 ELSE k END AS extra, 7 AS added,
+  CASE k % 7 WHEN 0 THEN '4G' WHEN 1 THEN '3G' WHEN 2 THEN '2G' WHEN 3 THEN 'WIFI' ELSE 'unknown' END AS link
+FROM log WHERE k % 9 > 1 AND length('net' || k) <= 4""")
+def clean_rows(v):
+    """Row filters and fills: missing and over-long texts, flags, defaults, columns that older logs lack."""
+    k = F.col("k")
+    text = lambda c: c.cast("string")
+    free = (F.when(k % 7 == 0, "mobile 4G").when(k % 7 == 1, "3Gx").when(k % 7 == 2, "2G").when(k % 7 == 3, "WIFI 5").otherwise("cable"))
+    rows = v.log.select(
+        "event_id", F.when(k % 5 == 0, "").when(k % 5 == 1, None).otherwise(F.concat(F.lit("c"), text(k))).alias("name"),
+        F.when(k % 9 == 0, None).when(k % 9 == 1, "").otherwise("x").alias("needed"), F.concat(F.lit("net"), text(k)).alias("limited"),
+        text(k % 3).alias("isroot"), text(k % 2).alias("gp"), text(k % 2).alias("havaapn"), text(k % 8).alias("path"),
+        F.when(k % 4 > 0, k).alias("extra"), clean.network_from_text(free).alias("link"))
+    kept = clean.normalize_flags(clean.require_non_empty(rows, ["needed"], {"limited": 4}))
+    filled = clean.add_optional_column(clean.add_optional_column(clean.default_unknown(kept, ["name"]), "extra", 9), "added", 7)
+    return filled.select("event_id", "name", "isroot", "gp", "havaapn", "path", "extra", "added", "link")
+
+
 @query("clean_functions", """
 SELECT event_id, CASE WHEN k % 7 = 0 THEN '4G' WHEN k % 7 = 1 THEN '3G' WHEN k % 7 = 2 THEN '2G' WHEN k % 7 = 3 THEN '0WIFI' WHEN k % 7 = 4 THEN '1GPRS'
     ELSE '-Unknown' END AS network_key,

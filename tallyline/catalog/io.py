@@ -107,14 +107,17 @@ def replace_range(v):
     return v.spark.read.parquet(path).select("stat_date", "event_type", "n")
 
 
-@query("replace_partition", f"c AS ({_COUNTS_SQL}) SELECT * FROM c WHERE stat_date BETWEEN 20240109 AND 20240110")
+@query("replace_partition", f"c AS ({_COUNTS_SQL}) SELECT stat_date, event_type, CASE WHEN stat_date = 20240130 THEN n + 100 ELSE n END AS n "
+                            "FROM c WHERE stat_date > 20240110")
 def replace_partition(v):
-    """Days are stored one after the other, each keeping two days."""
+    """All days are stored at once; then one is replaced, twice, and those twenty days older go."""
     path = scratch(v.spark, "partition")
     counts = _daily_counts(v)
-    for day in (20240107, 20240108, 20240109, 20240110, 20240110):
-        sinks.replace_partition(counts.where(F.col("stat_date") == day), path, day, keep_days=2)
-    return sources.read_partition(v.spark, path, 20240101, 20240131).select("stat_date", "event_type", "n")
+    counts.write.partitionBy("stat_date").parquet(path)
+    last = counts.where("stat_date = 20240130")
+    for more in (7, 100):
+        sinks.replace_partition(last.withColumn("n", F.col("n") + more), path, 20240130, keep_days=20)
+    return sources.read_partition(v.spark, path, 20240101, 20241231).select("stat_date", "event_type", "n")
 
 
 @query("publish_snapshot", NEW_USERS_SQL)

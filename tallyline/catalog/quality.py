@@ -483,7 +483,9 @@ def best_network(v):
     n = F.col("l_linenumber")
     log = _lines(v, "l_linenumber").select("uuid", F.when(n == 1, "WIFI").when(n == 2, "2G").when(n == 3, "3G").when(n == 4, "4G")
                                            .otherwise("other").alias("link_type"), F.col("t").alias("create_time"))
-    return devices.best_network(None, log, _fact_devices(v))
+    people = _fact_devices(v)
+    stored = devices.best_network(None, log.where("create_time < '1995-06-01'"), people)
+    return devices.best_network(stored, log.where("create_time >= '1995-06-01'"), people)
 
 
 @query("device_flags", _LINES + """,
@@ -722,3 +724,21 @@ SELECT app_key, year(born) AS the_year, CASE WHEN month(born) <= 6 THEN 1 ELSE 2
   month(born) AS month_of_year, count(*) AS fact_count FROM cl GROUP BY ALL""")
 def client_calendar(v):
     return rollup.client_rollups(_rollup_clients(v), dims.dim_date(v.spark, "2024-01-01", "2024-12-31"))["calendar"]
+
+
+# Two names for one set, a set in another order and a column named twice.
+_RULE_TEXT = """
+l_1 channel_code
+l_2 area
+l_3 channel_code,area
+l_4 channel_code
+l_5 area,channel_code
+l_6 area,area
+"""
+
+
+@query("rollup_rules", _as_cte(NEW_USERS_SQL, "nu") + _sets_sql(
+    "nu", [("l_1", ["channel_code"]), ("l_2", ["area"]), ("l_3", ["channel_code", "area"]), ("l_4", ["channel_code"]),
+           ("l_5", ["area", "channel_code"]), ("l_6", ["area"])], ["channel_code", "area"]))
+def rollup_rules(v):
+    return rollup.rollup_new(merge.merge_new_users(None, v.visit_ad), rollup.parse_rules(_RULE_TEXT))

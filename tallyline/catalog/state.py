@@ -38,7 +38,9 @@ SELECT uid AS udid, event_type AS app_key, channel AS clnt, last_version AS vers
   's' || last_k AS sdkver, 's' || k AS init_sdkver, k % 6 AS app_path, {ts_text('ts')} AS create_time,
   {ts_text('last_ts')} AS update_time, {day_int('ts')} AS create_date FROM b""")
 def merge_clients(v):
-    return merge.merge_clients(None, v.clients)
+    """A stored table of the first half, then the second half as a log."""
+    stored = merge.merge_clients(None, v.clients.where("create_time < '2024-01-16'"))
+    return merge.merge_clients(stored, v.clients.where("create_time >= '2024-01-16'"))
 
 
 @query("client_flags", _CLIENTS + f"""
@@ -88,7 +90,8 @@ SELECT b.uid AS uuid, 'd' || b.k AS device_id, b.channel AS customer_id,
 FROM b JOIN n ON b.user_id = n.user_id""")
 def merge_devices_sdk(v):
     rows = v.sdk_devices.drop("city", "os_version", "rom_size")
-    merged = merge.merge_devices_sdk(None, rows)
+    stored = merge.merge_devices_sdk(None, rows.where("create_time < '2024-01-16'"))
+    merged = merge.merge_devices_sdk(stored, rows.where("create_time >= '2024-01-16'"))
     return merged.select("uuid", "device_id", "customer_id", "network", "have_vpn", "imsi", "wifi_mac",
                          "phone_no", "isp_code", "create_time", "update_time")
 
@@ -111,8 +114,9 @@ SELECT b.uid AS uuid, b.channel AS customer_id, 'd' || b.last_k AS device_id,
   'os' || os_k AS os_version, CAST(rom_k - 20 AS BIGINT) AS rom_size, {ts_text('b.ts')} AS create_time,
   {ts_text('b.last_ts')} AS update_time FROM b JOIN n ON b.user_id = n.user_id""")
 def merge_devices_rich(v):
-    return merge.merge_devices_rich(None, v.sdk_devices.drop("isp_code"), ["uuid"], RICH_POLICY,
-                                    network="network")
+    rows = v.sdk_devices.drop("isp_code")
+    stored = merge.merge_devices_rich(None, rows.where("create_time < '2024-01-16'"), ["uuid"], RICH_POLICY, network="network")
+    return merge.merge_devices_rich(stored, rows.where("create_time >= '2024-01-16'"), ["uuid"], RICH_POLICY, network="network")
 
 
 @query("merge_app_versions", _FIRST_LAST + """,
@@ -127,7 +131,54 @@ def merge_app_versions(v):
                        F.concat(F.lit("name"), F.col("user_id").cast("string")).alias("username"),
                        F.col("channel").alias("customer_id"), F.col("version").alias("app_version"),
                        (F.col("k") % 2).alias("os_type"), F.col("ts").alias("visit_time"))
-    return merge.merge_app_versions(None, log)
+    stored = merge.merge_app_versions(None, log.where("visit_time < '2024-01-16'"))
+    return merge.merge_app_versions(stored, log.where("visit_time >= '2024-01-16'"))
+
+
+# Raw rows whose keys the merges accept; the creation and the update time order them differently.
+_RAW = """r AS (SELECT *, ts + INTERVAL 1 HOUR * k AS up FROM log WHERE event_id % 11 > 2 AND event_id % 13 <> 0)"""
+
+
+@query("raw_client_merge", _RAW + f"""
+SELECT uid AS udid, event_type AS app_key, arg_min(channel, ts) AS clnt, arg_max(version, up) AS version, arg_min(version, ts) AS init_version,
+  's' || arg_max(k, up) AS sdkver, 's' || arg_min(k, ts) AS init_sdkver,
+  arg_min(CASE WHEN k % 8 BETWEEN 1 AND 5 THEN k % 8 ELSE 0 END, ts) AS app_path, {ts_text('min(ts)')} AS create_time,
+  {ts_text('max(up)')} AS update_time, {day_int('min(ts)')} AS create_date FROM r GROUP BY uid, event_type""")
+def raw_client_merge(v):
+    """From raw log to client table, in two runs."""
+    log = v.visit_fad
+    stored = merge.merge_clients(None, merge.fad_client_log(log.where("createtime < '2024-01-16'")))
+    return merge.merge_clients(stored, merge.fad_client_log(log.where("createtime >= '2024-01-16'"), full=True))
+
+
+@query("raw_device_merge", _RAW + f"""
+SELECT uid AS udid, '46000' || arg_min(k, ts) FILTER (k % 3 = 2) AS imsi, 'm' || arg_min(k, ts) AS model, arg_min(channel, ts) AS clnt,
+  CASE max(CASE WHEN k % 4 = 0 THEN 3 WHEN k % 4 = 1 THEN 2 ELSE 1 END) WHEN 3 THEN '4G' WHEN 2 THEN 'WIFI' ELSE 'Unknown' END AS network,
+  CASE WHEN arg_min(k, ts) % 2 = 1 THEN 1 ELSE 2 END AS is_root, CASE WHEN arg_min(k, ts) % 3 = 1 THEN 1 ELSE 2 END AS has_gplay,
+  arg_min(CASE WHEN k % 5 = 0 THEN -1 ELSE k END, ts) AS rom, substr(repeat('ua' || arg_min(k, ts), 80), 1, 200) AS ua,
+  {ts_text('min(ts)')} AS create_time, {ts_text('max(up)')} AS update_time FROM r GROUP BY uid""")
+def raw_device_merge(v):
+    """From raw log to device table, the late half first."""
+    log = v.visit_fad
+    late = merge.merge_devices(None, merge.fad_device_log(log.where("createtime >= '2024-01-16'")))
+    merged = merge.merge_devices(late, merge.fad_device_log(log.where("createtime < '2024-01-16'")))
+    return merged.select("udid", "imsi", "model", "clnt", "network", "is_root", "has_gplay", F.coalesce("rom", F.lit(-1)).alias("rom"), "ua",
+                         "create_time", "update_time")
+
+
+@query("raw_sdk_merge", f"""
+r AS (SELECT * FROM log WHERE event_id % 7 > 1)
+SELECT uid AS uuid, 'd' || arg_min(k, ts) AS device_id, arg_min(channel, ts) AS customer_id, max(k % 2) AS have_vpn,
+  CASE max(CASE WHEN k % 5 = 0 THEN 3 WHEN k % 5 = 1 THEN 2 ELSE 1 END) WHEN 3 THEN '4G' WHEN 2 THEN 'WIFI' ELSE 'Unknown' END AS network,
+  '4600' || arg_min(k, ts) FILTER (k % 4 > 1) AS imsi, 'mac' || arg_min(k, ts) FILTER (k % 2 = 0) AS wifi_mac,
+  coalesce(CASE WHEN length('4600' || arg_min(k, ts) FILTER (k % 4 > 1)) >= 5
+    THEN CAST(substr('4600' || arg_min(k, ts) FILTER (k % 4 > 1), 1, 5) AS INTEGER) END, 0) AS isp_code,
+  {ts_text('min(ts)')} AS create_time, {ts_text('max(ts)')} AS update_time FROM r GROUP BY uid""")
+def raw_sdk_merge(v):
+    log = v.visit_sdk
+    stored = merge.merge_devices_sdk(None, merge.sdk_device_log(log.where("createtime < '2024-01-16'")))
+    merged = merge.merge_devices_sdk(stored, merge.sdk_device_log(log.where("createtime >= '2024-01-16'")))
+    return merged.select("uuid", "device_id", "customer_id", "have_vpn", "network", "imsi", "wifi_mac", "isp_code", "create_time", "update_time")
 
 
 def _refresh_inputs(v):

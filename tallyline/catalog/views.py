@@ -55,6 +55,39 @@ class Views:
             F.col("ts").alias("create_time"), F.col("ts").alias("update_time"),
             F.date_format("ts", "yyyyMMdd").cast("int").alias("create_date"))
 
+    @cached_property
+    def visit_fad(self) -> DataFrame:
+        """Raw rows with missing, empty and over-long keys, updated in another order than created."""
+        k, n = F.col("k"), F.col("event_id")
+        text = lambda p: F.concat(F.lit(p), k.cast("string"))
+        return self.log.select(
+            F.when(n % 11 == 0, None).when(n % 11 == 1, "").when(n % 11 == 2, F.repeat(F.lit("x"), 80)).otherwise(F.col("uid")).alias("udid"),
+            text("d").alias("deviceid"), F.when(k % 3 == 0, "").when(k % 3 == 1, "NULL").otherwise(text("46000")).alias("imsi"),
+            text("imei").alias("imei"), F.lit("v").alias("vender"), text("m").alias("model"), F.lit("9").alias("osVersion"),
+            F.lit("android").alias("platform"), text("a").alias("androidid"), F.lit("op").alias("operator"),
+            F.when(k % 4 == 0, "4G").when(k % 4 == 1, "Wifi").when(k % 4 == 2, "").otherwise("Unknown").alias("network"),
+            F.lit("src").alias("src"), F.lit("mac").alias("mac"), F.col("event_type").alias("apppkg"),
+            F.when(n % 13 == 0, F.repeat(F.lit("c"), 60)).otherwise(F.col("channel")).alias("clnt"),
+            (k % 2).cast("string").alias("isroot"), (k % 3).cast("string").alias("gp"), F.lit("g").alias("gaid"),
+            F.when(k % 5 == 0, "many").otherwise(k.cast("string")).alias("rom"), F.lit("en").alias("lang"),
+            F.repeat(text("ua"), 80).alias("ua"), k.cast("string").alias("cityid"), F.lit("c").alias("country"),
+            F.col("version").alias("appversion"), text("s").alias("sdkver"), (k % 8).cast("string").alias("path"),
+            F.col("ts").alias("createtime"), F.timestamp_add("HOUR", k, F.col("ts")).alias("updatetime"))
+
+    @cached_property
+    def visit_sdk(self) -> DataFrame:
+        """Raw sdk rows, some without a device."""
+        k, n = F.col("k"), F.col("event_id")
+        text = lambda p: F.concat(F.lit(p), k.cast("string"))
+        plain = ("appkey", "platform", "imei", "androidid", "baseband", "language", "resolution", "modulename", "cpu", "devicename",
+                 "osVersion", "cameras", "phoneno", "city", "region", "country")
+        return self.log.select(
+            F.when(n % 7 == 0, None).when(n % 7 == 1, "").otherwise(F.col("uid")).alias("uuid"), text("d").alias("deviceid"),
+            F.col("channel").alias("customid"), F.when(k % 5 == 0, "4G").when(k % 5 == 1, "WIFI").otherwise("x").alias("network"),
+            (k % 2).cast("string").alias("havaapn"), F.when(k % 4 == 0, "").when(k % 4 == 1, "null").otherwise(text("4600")).alias("imsi"),
+            F.when(k % 2 == 0, text("mac")).alias("wifimac"), k.cast("long").alias("exttotalsize"), k.cast("long").alias("romtotalsize"),
+            F.when(k % 2 == 0, "1").alias("uidtype"), F.col("ts").alias("createtime"), *[F.lit(c).alias(c) for c in plain])
+
     @cached_property
     def devices(self) -> DataFrame:
         """Device rows with unusable values among the good ones."""

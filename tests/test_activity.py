@@ -214,3 +214,25 @@ def test_device_fact_bounds_and_default(rows):
     got = devices.device_fact(dev, log, F.count_distinct("low_power"), "n", where=F.col("low_power").between(1, 100))
     assert table(got, "uuid", "n", "stat_date") == [("u", "2", "2024-01-03"), ("v", "0", "")]
     assert table(devices.device_fact(dev, log, F.sum("low_power"), "n", default=None), "uuid", "n") == [("u", "308"), ("v", "")]
+
+
+def test_rules_that_share_a_set_each_get_their_rows(rows):
+    df = rows("aid string, c string, d string", [("1", "x", "p"), ("2", "x", "q"), ("3", "y", "q"), (None, "y", "q")])
+    got = table(rollup.rollup_new(df, rollup.parse_rules("l_1 c\nl_2 c\nl_3 c,d\nl_4 d,c\nl_5 d,d")))
+    one = [("x", "", "2"), ("y", "", "1")]
+    two = [("x", "p", "1"), ("x", "q", "1"), ("y", "q", "1")]
+    want = [(r, *v) for r, vs in (("l_1", one), ("l_2", one), ("l_3", two), ("l_4", two), ("l_5", [("", "p", "1"), ("", "q", "2")])) for v in vs]
+    assert got == sorted(want)
+
+
+def test_stacked_device_signals(rows):
+    active = rows("uuid string, boottime int, screen_on int, battery int, time_diff double, active_date int",
+                  [("a", 5, 1, 90, 0.0, 20240105), ("a", 9, 3, 90, 1900.0, 20240106), ("a", 99, 99, 1, None, 20240106), ("a", 99, 9, 2, 5.0, 20231201),
+                   ("b", 1, 1, None, -9000.0, 20240106)])
+    at = "2024-01-06"
+    stations = rows("uuid string, stationcode long, createtime timestamp", [("a", 7, at), ("a", 7, at), ("a", 0, at), ("c", 9, at), ("a", 8, "2023-01-01")])
+    apps = rows("uuid string, app_pkgname string, createtime timestamp", [("a", "x", at), ("a", "y", at), ("", "x", at), ("b", None, at)])
+    clients = rows("uuid string, customer_id string, create_date int", [("a", "c1", 1), ("b", "c2", 2), ("c", "c3", 3)])
+    got = devices.device_signals(clients, devices.stack_device_signals(active, stations, apps, apps.where("app_pkgname = 'x'"), apps, "2024-01-08", 7))
+    columns = ("uuid", "customer_id", "create_date", "runtime", "unlock_cnt", "battery_cnt", "etime_cnt", "station_cnt", "account_cnt", "install_cnt", "appuse_cnt")
+    assert table(got, *columns) == [("a", "c1", "1", "9", "3", "1", "1", "1", "2", "1", "2"), ("b", "c2", "2", "1", "1", "0", "1", "0", "0", "0", "0")]

@@ -25,7 +25,7 @@ def test_json_logs_of_a_date_range(spark, tmp_path):
     put(str(tmp_path / "2024-01-01/ad/a.json"), '{"aid":"1","create_time":"2024-01-01 10:00:00"}', "not json")
     put(str(tmp_path / "2024-01-03/ad/a.json"), '{aid:"3",area:"x"}')
     put(str(tmp_path / "2024-01-04/ad/a.json"), '{"aid":"4"}')
-    df = logs.read_json_logs(spark, str(tmp_path), "ad", "2024-01-01", "2024-01-03", "visit_ad", unquoted=True)
+    df = logs.read_json_logs(spark, str(tmp_path), "ad", "2024-01-01", "2024-01-03", "visit_ad", unquoted=True, missing="skip")
     assert table(df.where("aid IS NOT NULL"), "aid", "area", "ip") == [("1", "", ""), ("3", "x", "")]
     with pytest.raises(FileNotFoundError):
         logs.read_json_logs(spark, str(tmp_path), "ad", "2025-01-01", "2025-01-02", "visit_ad")
@@ -188,3 +188,40 @@ def test_kafka_source_needs_its_connector(spark):
     from pyspark.errors import AnalysisException
     with pytest.raises(AnalysisException):
         streams.read_kafka_json(spark, "localhost:1", "t")
+
+
+def test_missing_log_days(spark, tmp_path):
+    from tallyline.sources import logs
+    for day in ("2024-01-01", "2024-01-03"):
+        spark.createDataFrame([(day,)], "a string").write.json(f"{tmp_path}/{day}/p")
+    read = lambda **o: logs.read_json_logs(spark, str(tmp_path), "p", "2024-01-01", "2024-01-03", "a string", **o)
+    with pytest.raises(FileNotFoundError, match="2024-01-02"):
+        read()
+    assert sorted(r.a for r in read(missing="skip").collect()) == ["2024-01-01", "2024-01-03"]
+    with pytest.raises(FileNotFoundError):
+        logs.read_json_logs(spark, str(tmp_path), "p", "2025-01-01", "2025-01-02", "a string", missing="skip")
+    with pytest.raises(ValueError):
+        read(missing="ignore")
+
+
+def test_missing_late_half_of_a_day(spark, tmp_path):
+    from tallyline.sources import logs
+    spark.createDataFrame([("2024-01-01 10:00:00",)], "createtime string").write.json(f"{tmp_path}/2024-01-01/p")
+    day = lambda **o: logs.read_day_logs(spark, str(tmp_path), "p", "2024-01-01", "createtime timestamp", **o)
+    with pytest.raises(FileNotFoundError):
+        day()
+    assert day(missing="skip").count() == day(strict=False).count() == 1
+
+
+def test_only_one_machine_may_do_without_a_shared_folder():
+    from types import SimpleNamespace as Fake
+
+    from tallyline.session import checkpoint_dir
+
+    def session(master, shared=None):
+        conf = Fake(get=lambda key, default=None: shared or default)
+        return Fake(sparkContext=Fake(master=master, getConf=lambda: conf), conf=Fake(get=lambda key, default=None: default))
+    assert checkpoint_dir(session("local[4]")) and checkpoint_dir(session("yarn", "hdfs://x/y")) == "hdfs://x/y"
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]", "k8s://https://host"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            checkpoint_dir(session(master))

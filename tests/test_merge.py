@@ -152,3 +152,12 @@ def test_distinct_users_ignore_null_users(rows):
     df = rows("k string, u string, e string", [("a", "1", "x"), ("a", "1", "y"), ("a", "2", "x"), ("a", None, "x"), ("b", "1", None)])
     got = distinct_users(df, ["k"], "u", {"n": F.lit(True), "y": F.col("e") == "y"})
     assert table(got) == [("a", "2", "1"), ("b", "1", "0")]
+
+
+def test_rows_without_a_key_are_no_client_and_no_device(rows):
+    log = rows("udid string, app_key string, clnt string, version string, init_version string, create_time timestamp, update_time timestamp, network string, imsi string",
+               [(u, a, "c", "1", "1", "2024-01-01", "2024-01-02", "4G", "1") for u, a in ((None, "a"), ("", "a"), ("u1", "a"), ("u1", ""), ("u1", None), ("u1", "b"))])
+    clients = merge.merge_clients(None, log.drop("network", "imsi"))
+    assert table(clients, "udid", "app_key") == [("u1", "a"), ("u1", "b")]
+    assert table(merge.merge_clients(clients, log.drop("network", "imsi")), "udid", "app_key") == [("u1", "a"), ("u1", "b")]
+    assert table(merge.merge_devices(None, log), "udid") == [("u1",)]

@@ -29,6 +29,35 @@ def test_time_filter_reaches_the_scan(spark, tmp_path):
     assert "GreaterThanOrEqual(ts" in text and "LessThan(ts" in text
 
 
+@pytest.mark.parametrize("kind", ["date", "string"])
+def test_click_window_reaches_the_scan(spark, tmp_path, kind):
+    from tallyline.operators.recommend import item_users, user_item_score
+    path = str(tmp_path / "clicks")
+    spark.sql(f"SELECT 'u' AS device_id, id AS info_id, 'share' AS event_name, CAST(date_add(DATE '2024-01-01', CAST(id AS INT)) AS {kind}) AS click_date, "
+              "1 AS click_count FROM range(40)").write.parquet(path)
+    clicks = spark.read.parquet(path)
+    scores = user_item_score(clicks, item_users(clicks), {"share": 1.0}, "2024-01-21", days=10)
+    assert scores.count() == 10
+    assert "GreaterThanOrEqual(click_date,2024-01-11)" in plan(scores) and "LessThan(click_date,2024-01-21)" in plan(scores)
+
+
+def test_signal_window_reaches_the_scan(spark, tmp_path):
+    from tallyline.operators.scoring import signal_counts
+    path = str(tmp_path / "links")
+    spark.sql("SELECT 'u' AS uuid, 'c' AS customer_id, CAST(id AS STRING) AS link_type, CAST(20240100 + id AS INT) AS create_date FROM range(1, 31)").write.parquet(path)
+    counts = signal_counts({"link": spark.read.parquet(path)}, "2024-01-20", days=5)
+    assert [tuple(r) for r in counts.collect()] == [("u", 5)]
+    assert "GreaterThanOrEqual(create_date,20240115)" in plan(counts) and "LessThan(create_date,20240120)" in plan(counts)
+
+
+@pytest.mark.parametrize("name, most", [("score_devices", 4), ("device_signals", 3)])
+def test_signals_are_read_once(spark, name, most):
+    df = catalog.queries()[name](spark, SF)
+    df.collect()
+    text = plan(df)
+    assert text[:text.index("Initial Plan")].count("Scan parquet") <= most
+
+
 def test_partition_filter_prunes(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(10).selectExpr("id", "CAST(20240100 + id AS INT) AS stat_date").write.partitionBy("stat_date").parquet(path)
