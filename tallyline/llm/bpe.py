@@ -28,8 +28,9 @@ from tallyline.llm.pretoken import pretokens
 
 LONGEST = 512
 SLICE_CHARS = 8 << 20
+SLICE_IDS = 1 << 20
 BUCKETS = (2, 3, 4, 5, 6, 7, 8, 10, 12, 14, 16, 20, 24, 32, 48, 64, 96, 128, 192, 256, 384, LONGEST)
-CELLS = 1 << 22            # of a matrix
+CELLS = 1 << 19            # of a matrix
 NONE = np.int32(2**31 - 1)  # rank of a pair that doesn't merge
 
 _VOCABULARIES: dict[int, Vocabulary] = {}
@@ -246,7 +247,7 @@ def _decoder(definition, ids: int, out: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(definition.value)
         for batch in batches:
-            for part in _slices(batch, ids, SLICE_CHARS):
+            for part in _slices(batch, ids, SLICE_IDS):
                 column = part.column(ids)
                 ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False))])
                 flat, stop = vocabulary.decode_rows(column.flatten().to_numpy(zero_copy_only=False).astype(np.int64),
