@@ -26,13 +26,13 @@ from pyspark.sql import functions as F
 from tallyline.llm.common import saved
 from tallyline.llm.components import components
 
-TREES = 8
+TREES = 10
 LEAF = 2000          # vectors of a leaf at most, after the last round
 SAMPLE = 20_000      # vectors that a round's trees are fitted on
 NODE_SAMPLE = 2_000  # of each leaf that is split again
 LEAST = 24           # sampled vectors that a node is split by
 SPILL = 0.05         # on either side of a cut, for unit vectors
-SHARE = 0.15         # of a node that may spill on either side
+SHARE = 0.03         # of a node that may spill on either side
 
 
 def _unit(rows: list, size: int) -> np.ndarray:
@@ -191,7 +191,7 @@ def _leaves(vectors: DataFrame, size: int, trees: int, leaf: int, seed: int) ->
     total = vectors.count()
     order = F.xxhash64("vec", F.lit(seed))
     sample = _unit([r[0] for r in vectors.orderBy(order).select("embedding").limit(SAMPLE).collect()], size)
-    grown = [Tree(sample, total / max(1, len(sample)), leaf // 2, [seed, t]) for t in range(trees)]
+    grown = [Tree(sample, total / max(1, len(sample)), leaf * 2 // 3, [seed, t]) for t in range(trees)]
     sent = vectors.sparkSession.sparkContext.broadcast((grown, size))
     filed = saved(vectors.select("vec", "embedding").mapInArrow(_file_all(sent), "vec long, leaf long"), "leaves")
     for deeper in range(1, 64):
@@ -201,7 +201,7 @@ def _leaves(vectors: DataFrame, size: int, trees: int, leaf: int, seed: int) ->
         inside = filed.join(full, "leaf")
         sampled = (inside.where(F.pmod(F.xxhash64("vec", "leaf", F.lit(deeper)), F.col("n")) < NODE_SAMPLE)
                    .join(vectors.select("vec", "embedding"), "vec"))
-        fitted = saved(sampled.groupBy("leaf").applyInPandas(_split_leaf(size, deeper, leaf // 2, seed), "leaf long, tree binary"),
+        fitted = saved(sampled.groupBy("leaf").applyInPandas(_split_leaf(size, deeper, leaf * 2 // 3, seed), "leaf long, tree binary"),
                        "splits")
         again = (inside.select("vec", "leaf").join(fitted, "leaf").join(vectors.select("vec", "embedding"), "vec")
                  .select("vec", "embedding", "leaf", "tree").sortWithinPartitions("leaf")
@@ -223,7 +223,7 @@ def near_duplicates(table: DataFrame, least: float = 0.9, trees: int = TREES, le
     Other columns are ignored.
     """
     v = F.col("embedding")
-    rows = table.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("embedding"))
+    rows = table.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("embedding"))
     limit = F.lit(float("inf"))
     good = (F.coalesce(F.forall(v, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < limit)), F.lit(False))
             & F.coalesce(F.exists(v, lambda c: c != 0), F.lit(False)))
@@ -231,9 +231,8 @@ def near_duplicates(table: DataFrame, least: float = 0.9, trees: int = TREES, le
                                    F.lit(True).alias("kept"))
     rows = rows.where(good)
     same = rows.groupBy("embedding").agg(F.min("vec_id").alias("first"), F.count("*").alias("copies"))
-    # A vector goes by its smallest id; the few without any by a hash.
-    vectors = saved(same.select(F.coalesce("first", F.xxhash64("embedding")).alias("vec"), "first", "embedding", "copies"),
-                    "vectors")
+    # Written once, so that the numbers stay as they are.
+    vectors = saved(same.select(F.monotonically_increasing_id().alias("vec"), "first", "embedding", "copies"), "vectors")
     size = vectors.agg(F.max(F.size("embedding"))).first()[0]
     if size is None:
         return bad
