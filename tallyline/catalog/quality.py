@@ -221,16 +221,44 @@ s AS (SELECT ad AS ad_id, uid AS device_id, arg_min(res, ts) AS res_id, min(ts)
   count(*) AS n FROM p GROUP BY ALL)"""
 
 
-def _stage_sql(event: str, stage: str) -> str:
-    return _PACKED + f""",
-q AS (SELECT uid, ts, city, net, ver, 'r' || (k % 20) AS res FROM b WHERE e = '{event}'
-  UNION ALL SELECT uid, ts, city, net, ver, 'r' || ((k + 7) % 20) FROM b WHERE e = '{event}'),
+# The send facts of the first half are stored; of the second half only unseen ads of a device are new.
+_CUT = "2024-01-16"
+_PACKED_STORED = _PACKED[:_PACKED.index("s AS (SELECT ad")] + f"""
+g AS (SELECT ad AS ad_id, uid AS device_id, ts >= TIMESTAMP '{_CUT}' AS late, arg_min(res, ts) AS res_id, min(ts) AS t,
+  arg_max(city, ts) FILTER (city > 0) AS city_id, max(net) AS nettype, arg_min(ver, ts) FILTER (ver IS NOT NULL) AS version,
+  count(*) AS n FROM p GROUP BY ALL),
+s AS (SELECT * EXCLUDE (late) FROM g WHERE NOT late OR NOT EXISTS (
+  SELECT 1 FROM g f WHERE NOT f.late AND f.ad_id = g.ad_id AND f.device_id = g.device_id))"""
+
+
+def _stage_sql(event: str, stage: str, packed: str = _PACKED, rows: str = "true") -> str:
+    return packed + f""",
+q AS (SELECT uid, ts, city, net, ver, 'r' || (k % 20) AS res FROM b WHERE e = '{event}' AND {rows}
+  UNION ALL SELECT uid, ts, city, net, ver, 'r' || ((k + 7) % 20) FROM b WHERE e = '{event}' AND {rows}),
 c AS (SELECT res, uid, min(ts) AS t, arg_max(city, ts) FILTER (city > 0) AS city_id, max(net) AS nettype,
   arg_min(ver, ts) FILTER (ver IS NOT NULL) AS version, count(*) AS n FROM q GROUP BY ALL)
 SELECT s.ad_id, s.device_id, {day_int('s.t')} AS send_date, {day_int('c.t')} AS create_date, hour(c.t) AS create_hour,
   c.city_id, c.nettype, c.version, c.n AS {stage}_count FROM c JOIN s ON c.res = s.res_id AND c.uid = s.device_id"""
 
 
+def _stored_ad_events(v):
+    log = _packed_log(v)
+    sent = funnel.ad_events(log.where(f"create_time < '{_CUT}'"))["send"]
+    return funnel.ad_events(log.where(f"create_time >= '{_CUT}'"), sent)
+
+
+@query("ad_events_send_stored", _PACKED_STORED + f"""
+SELECT ad_id, device_id, res_id, {day_int('t')} AS create_date, hour(t) AS create_hour, city_id, nettype, version,
+  n AS send_count FROM s""")
+def ad_events_send_stored(v):
+    return _stored_ad_events(v)["send"]
+
+
+@query("ad_events_show_stored", _stage_sql("click", "show", _PACKED_STORED, f"ts >= TIMESTAMP '{_CUT}'"))
+def ad_events_show_stored(v):
+    return _stored_ad_events(v)["show"]
+
+
 @query("ad_events_send", _PACKED + f"""
 SELECT ad_id, device_id, res_id, {day_int('t')} AS create_date, hour(t) AS create_hour, city_id, nettype, version,
   n AS send_count FROM s""")
@@ -275,6 +303,27 @@ def api_ad_status(v):
     return funnel.api_ad_status(_api_log(v))
 
 
+# Of the first half, only ads that were sent there are stored, and clicks only where the ad was shown.
+@query("api_ad_status_stored", f"""
+s AS (SELECT uid, 'i' || (k % 25) AS ad, {day_int('ts')} AS d, 'url' || k AS apiurl, 'click' || k AS clickurl, channel,
+  'imei' || k AS imei, 't' || k AS title FROM log WHERE event_type IN ('view', 'signup')
+  QUALIFY row_number() OVER (PARTITION BY uid, k % 25 ORDER BY d DESC, 'url' || k DESC) = 1),
+early AS (SELECT DISTINCT uid, 'i' || (k % 25) AS ad FROM log WHERE event_type IN ('view', 'signup') AND ts < TIMESTAMP '{_CUT}'),
+h AS (SELECT uid, 'i' || (unnest([k, k + 3]) % 25) AS ad, event_type AS e, {day_int('ts')} AS d, ts < TIMESTAMP '{_CUT}' AS first FROM log
+      WHERE event_type IN ('click', 'purchase')),
+g AS (SELECT uid, ad, first, max(d) FILTER (e = 'click') AS sd, max(d) FILTER (e = 'purchase') AS cd FROM h GROUP BY ALL),
+w AS (SELECT uid, ad, max(sd) AS sd, max(cd) AS cd FROM (
+  SELECT uid, ad, sd, CASE WHEN sd IS NOT NULL THEN cd END AS cd FROM g JOIN early USING (uid, ad) WHERE first
+  UNION ALL SELECT uid, ad, sd, cd FROM g WHERE NOT first) GROUP BY ALL)
+SELECT s.uid AS androidid, s.ad AS ad_id, apiurl, clickurl, channel AS custom_id, imei, title, 'x' AS adtype,
+  CASE WHEN sd IS NOT NULL AND cd IS NOT NULL THEN 3 WHEN sd IS NOT NULL THEN 2 ELSE 1 END AS ad_status,
+  d AS create_date, sd AS show_date, CASE WHEN sd IS NOT NULL THEN cd END AS click_date
+FROM s LEFT JOIN w ON s.uid = w.uid AND s.ad = w.ad""")
+def api_ad_status_stored(v):
+    log = _api_log(v)
+    return funnel.api_ad_status(log.where(f"create_time >= '{_CUT}'"), funnel.api_ad_status(log.where(f"create_time < '{_CUT}'")))
+
+
 # --- upgrades --------------------------------------------------------------------------------
 
 def _versions_log(v):

@@ -11,7 +11,7 @@ from tallyline.functions.packed import explode_packed
 from tallyline.operators.merge import prefer_mobile
 from tallyline.operators.skew import bucketed_lag
 
-# Reply types of an ad in funnel order.
+# Reply types of an ad in funnel order, and the columns of a send row.
 REPLY_STAGES = {1: "show", 2: "click", 3: "install", 4: "close", 5: "uninstall"}
 _SEND_COLUMNS = ["adkey", "adverid", "position", "app_key", "clnt", "city_id", "send_time"]
 

@@ -105,6 +105,7 @@ def _alarm(rates: DataFrame, col: str, op: str, limit: float, min_new: int | Non
 
 # Direction and limit in percent of the four ratio alarms.
 RATIO_LIMITS = {"wifi": (">", 95), "vpn": (">", 50), "phone": ("<", 1), "unlock": ("<", 2)}
+# Codes of the largest mobile operator.
 MOBILE_CODES = (46000, 46002, 46007)
 
 

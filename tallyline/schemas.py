@@ -11,6 +11,7 @@ def _schema(spec: str) -> T.StructType:
 
 _STRINGS = "{} string".format
 
+# Names and types of the raw log fields.
 # name -> DDL text; kept as DDL so that it can be read without a session
 LOGS = {
     "visit_ad": "aid string, channel_code string, area string, ip string, create_time timestamp",
