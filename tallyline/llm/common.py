@@ -7,7 +7,14 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.session import checkpoint_dir
+from tallyline.session import checkpoint_dir, tune
+
+
+def text_session(spark: SparkSession) -> SparkSession:
+    """The settings of the library, and smaller batches between Spark and Python: a text is a thousand
+    times the size of the numbers that the default of 10,000 rows is meant for."""
+    tune(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1500")
+    return spark
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,3 +45,22 @@ def free_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+def sample_rows(df: DataFrame, n: int, total: int | None = None) -> DataFrame:
+    """About ``n`` rows at most, picked by a hash of all their columns, the same ones each time.
+
+    Rows are thinned before they are ordered, so what reaches the driver follows ``n`` and not the
+    number of tasks, and equal texts under different ids are picked apart.
+    """
+    total = df.count() if total is None else total
+    mark = F.xxhash64(*df.columns)
+    if total > n:
+        df = df.where(F.pmod(mark, F.lit(1 << 30)) < F.lit(int(min(1.0, (n + 3 * n ** 0.5) / total) * (1 << 30))))
+    return df.orderBy(mark).limit(n)
+
+
+def dealt(df: DataFrame, *cols: str) -> DataFrame:
+    """Repartition by columns into the session's number of shuffle partitions: groups that are small
+    in bytes but long to work on would otherwise be gathered into few tasks."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *cols)

@@ -26,7 +26,7 @@ from tallyline.llm.common import free_name, saved
 
 WINDOW = 10
 BLOCK_BYTES = 16 << 20
-SHARD_BYTES = 24 << 20
+SHARD_BYTES = 8 << 20
 # Bytes of words are digits, letters (lower-cased) and all of other code points than ASCII.
 _WORDS = bytes(b if b in range(0x30, 0x3A) or b in range(0x61, 0x7B) or b > 0x7F
                else b + 32 if b in range(0x41, 0x5B) else 0x20 for b in range(256))

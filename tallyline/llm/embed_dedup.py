@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.llm.common import saved
+from tallyline.llm.common import dealt, sample_rows, saved
 from tallyline.llm.components import components
 
 TREES = 10
@@ -189,8 +189,7 @@ def _compare(size: int, least: float):
 def _leaves(vectors: DataFrame, size: int, trees: int, leaf: int, seed: int) -> DataFrame:
     """(vec, leaf) of every vector in every tree, no leaf above ``leaf`` vectors."""
     total = vectors.count()
-    order = F.xxhash64("vec", F.lit(seed))
-    sample = _unit([r[0] for r in vectors.orderBy(order).select("embedding").limit(SAMPLE).collect()], size)
+    sample = _unit([r[0] for r in sample_rows(vectors.select("embedding", "vec"), SAMPLE, total).select("embedding").collect()], size)
     grown = [Tree(sample, total / max(1, len(sample)), leaf * 2 // 3, [seed, t]) for t in range(trees)]
     sent = vectors.sparkSession.sparkContext.broadcast((grown, size))
     filed = saved(vectors.select("vec", "embedding").mapInArrow(_file_all(sent), "vec long, leaf long"), "leaves")
@@ -240,7 +239,7 @@ def near_duplicates(table: DataFrame, least: float = 0.9, trees: int = TREES, le
     homes = filed.groupBy("vec").agg(F.sort_array(F.collect_set("leaf")).alias("leaves"))
     members = (vectors.select("vec", "embedding", "copies").join(homes, "vec")
                .withColumn("leaf", F.explode("leaves")))
-    found = saved(members.groupBy("leaf").applyInPandas(_compare(size, least), "vec long, links long, root long"), "links")
+    found = saved(dealt(members, "leaf").groupBy("leaf").applyInPandas(_compare(size, least), "vec long, links long, root long"), "links")
     counts = found.groupBy("vec").agg(F.sum("links").alias("links"))
     stars = components(found.where("vec != root").select("vec", "root"), "vec", "root").withColumnRenamed("node", "vec")
     rooted = (vectors.join(counts, "vec", "left").join(stars, "vec", "left")

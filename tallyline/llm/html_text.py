@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyline.llm.common import sample_rows
+
 SAMPLE = 300             # pages that the labeller is trained on
 SAMPLE_BYTES = 64 << 10  # of a page in the sample at most
 PATH, WORDS = 1024, 1024  # hash slots
@@ -402,8 +404,8 @@ def extract(pages: DataFrame, labeller: Labeller | None = None) -> DataFrame:
     """
     spark = pages.sparkSession
     if labeller is None:
-        fit = pages.where(F.octet_length("html").between(1, SAMPLE_BYTES)).select("html")
-        labeller = train([r[0] for r in fit.orderBy(F.xxhash64("html"), "html").limit(SAMPLE).collect()])
+        fit = pages.where(F.octet_length("html").between(1, SAMPLE_BYTES)).select("html", "page_id", "url")
+        labeller = train([r[0] for r in sample_rows(fit, SAMPLE).select("html").collect()])
     sent = spark.sparkContext.broadcast(labeller)
     found = pages.select("page_id", "url", "html").mapInArrow(_extract(sent, 2), "page_id long, url string, text string")
     return found.withColumn("n_chars", F.length("text").cast("long"))

@@ -29,6 +29,7 @@ LANGUAGES = 200
 WORDS = 30_000
 GRAMS = 20_000
 LONGEST = 5
+SLICE_CHARS = 4 << 20
 UNKNOWN = "und"
 _WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
@@ -149,11 +150,11 @@ def _top(counts: DataFrame, key: str, per: list[str], keep: int) -> DataFrame:
 def train(docs: DataFrame, sample: int = SAMPLE, words: int = WORDS, grams: int = GRAMS) -> Model:
     """Learn from rows with ``text`` and ``lang``. Rows with a null of either say nothing; without
     any, the model knows no language and predicts ``und``."""
-    rows = docs.where("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang")
+    rows = docs.where("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang", "doc_id")
     n = rows.count()
-    picked = rows
-    if n > sample:
-        picked = rows.where(F.pmod(F.xxhash64("text", F.lit(11)), F.lit(1 << 30)) < F.lit(int(sample / n * (1 << 30))))
+    if n > sample:  # by a hash that copies of a text don't share
+        rows = rows.where(F.pmod(F.xxhash64("text", "doc_id"), F.lit(1 << 30)) < F.lit(int(sample / n * (1 << 30))))
+    picked = rows.select("text", "lang")
     shares = dict(picked.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect())
     counts = saved(picked.mapInArrow(_count_words, "lang string, word string, n long")
                    .groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
@@ -172,7 +173,7 @@ def _predict(sent, text: int):
             column = batch.column(text)
             for i in range(batch.num_rows + 1):
                 n = len(column[i].as_py() or "") if i < batch.num_rows else 0
-                if i == batch.num_rows or (i > start and size + n > 16 << 20):
+                if i == batch.num_rows or (i > start and size + n > SLICE_CHARS):
                     part = batch.slice(start, i - start)
                     langs, scores = model.predict(part.column(text).to_pylist())
                     yield pa.RecordBatch.from_arrays([*part.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())],

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tallyline.llm.common import free_name, saved, text_key
 
-PASSES = 4
+PASSES = 6
 DIVISOR = 4       # a line begins a chunk, or ends one, once in so many
 LONG_LINE = 50    # words above which a line is a passage by itself
 _MASK = (1 << 64) - 1

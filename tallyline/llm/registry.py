@@ -8,8 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm.common import read
-from tallyline.session import tune
+from tallyline.llm.common import read, text_session
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -18,7 +17,7 @@ ORACLES: dict[str, str] = {}
 def query(name: str, sql: str | None = None):
     def add(build: Callable[[SparkSession, str], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return build(tune(spark), sf_dir)
+            return build(text_session(spark), sf_dir)
         QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql.strip()

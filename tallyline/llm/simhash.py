@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyline.llm.common import free_name, saved, text_key
+from tallyline.llm.common import dealt, free_name, saved, text_key
 from tallyline.llm.components import components
 
 SEED = 42
@@ -109,7 +109,7 @@ def _links(prints: DataFrame, most: int) -> DataFrame:
     index = prints.select("fp", F.explode(lists).alias("list"))
     sizes = index.groupBy("list").agg(F.count("*").alias("size")).where("size > 1")
     index = saved(index.join(sizes, "list"), "simhash-index")
-    light = index.where(F.col("size") <= LIST).groupBy("list").applyInPandas(_compare(most), "a long, b long")
+    light = dealt(index.where(F.col("size") <= LIST), "list").groupBy("list").applyInPandas(_compare(most), "a long, b long")
     bits = F.array(F.lit(0).cast("long"), *[F.lit(1 << i if i < 63 else -(1 << 63)).cast("long") for i in range(64)])
     turned = (index.where(F.col("size") > LIST).select("fp").distinct()
               .select("fp", F.explode(bits).alias("bit"))

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm.common import shared_path
+from tallyline.llm.common import dealt, shared_path
 
 SPLIT = 32 << 20
 READ = 1 << 20
@@ -238,7 +238,7 @@ def read(spark: SparkSession, folder: str, split: int = SPLIT, with_payload: boo
     ranges = (found.select("path", F.posexplode(F.sequence(F.lit(0).cast("long"), F.col("length") - 1, F.lit(split).cast("long")))
                            .alias("i", "start"))
               .select("path", "start", (F.col("start") + split).alias("end")))
-    return ranges.repartition(F.col("path"), F.col("start")).mapInArrow(_reader(with_payload), _RECORD)
+    return dealt(ranges, "path", "start").mapInArrow(_reader(with_payload), _RECORD)
 
 
 def round_trip(pages: DataFrame, least: int = 0) -> DataFrame:
