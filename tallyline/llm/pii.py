@@ -60,8 +60,11 @@ FORMS = [
     ("card", regex.compile(r"(?a)(?<![\d+.-])\d(?:[ -]?\d){12,18}(?!\d|[.-]\d)")),
     ("phone", regex.compile(r"(?a)(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{1,4}\)[ .-]?)?\d{2,5}(?:[ .-]?\d{2,5}){1,4}(?!\w|[.-]\d)")),
 ]
-# No entity is found in a text without one of these; the pattern runs in Spark's own engine.
-NEED = rf"@|[0-9]{{2}}|[0-9][ .-][0-9]|[0-9A-Fa-f]:|[0-9A-Fa-f]{{2}}-|(?i:{SECRET_WORDS})|AKIA|ASIA|gh[pousr]_|sk-|{_TITLE}|{_INTRO}"
+# No entity is found in a text without one of these. Spark's own engine looks for them in all texts, so
+# each alternative begins with characters that are rare: a secret needs its colon or equals sign, a
+# title its capital, and the introductions are searched for as they stand.
+_CAPITALS = "".join(sorted({t[0] for t in (*TITLES_MALE, *TITLES_FEMALE, *TITLES_OTHER)}))
+NEED = (rf"[@:=]|[0-9]{{2}}|[0-9][ .-][0-9]|[0-9A-Fa-f]{{2}}-|AKIA|ASIA|gh[pousr]_|sk-|(?=[{_CAPITALS}])(?:{_TITLE})")
 
 
 def _script(text: str) -> str:
@@ -223,7 +226,10 @@ def render(kind: str, mention: str, stand_in: str) -> str:
 
 
 def _needed(text: str = "text") -> Column:
-    return F.coalesce(F.col(text).rlike(NEED), F.lit(False))
+    found = F.col(text).rlike(NEED)
+    for words in INTRODUCTIONS:
+        found = found | F.col(text).contains(words)
+    return F.coalesce(found, F.lit(False))
 
 
 def _entities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -33,7 +33,7 @@ def test_clean_texts(text):
     ("меня зовут Анна", "given-n"), ("г-жа Анна Иванова", "given-f"), ("Frau Müller", "family"), ("tel 476-555-5473", "phone")])
 def test_kinds(text, kind):
     assert find(text)[0][2] == kind
-    assert re.search(pii.NEED, text)  # the filter in front lets it pass
+    assert re.search(pii.NEED, text) or any(i in text for i in pii.INTRODUCTIONS)  # the filter in front lets it pass
 
 
 def test_surrogates_keep_what_the_entity_is():
