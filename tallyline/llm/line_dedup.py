@@ -1,11 +1,13 @@
-"""Passages of several lines that stand in the corpus more than once, found by content-defined chunks.
+"""Passages of several lines that stand in the corpus more than once, found by chunks that only content defines.
 
-A rolling hash over the hashes of neighbouring lines decides where one chunk of a document ends and
-the next begins, so the same passage is cut alike wherever it stands, whatever was inserted before
-it. Boundaries are drawn a few times with independent hashes; a passage that one of them merges
-with a neighbour of its own is whole under another. Chunks are counted over the whole corpus by
-hash, chunks that occur once are forgotten, and the texts of the others are brought together by
-hash: only if all bytes agree are all occurrences but the first removed.
+Every line that isn't blank and the next such line make a chunk, with the blank lines between them,
+whatever stands before and after. A passage of any length that is repeated anywhere is the union of
+such pairs, so it is found as a whole. Blank lines at the edges of a passage go by larger chunks: a
+rolling hash over the hashes of neighbouring lines decides where one ends and the next begins, a few
+times with independent hashes; of these only the ones that begin or end in a blank line add anything
+to the pairs. Chunks are counted over the whole corpus by hash, chunks that occur once are
+forgotten, and the texts of the others are brought together by hash: only if all bytes agree are all
+occurrences but the first removed.
 
 What is shuffled: a hash and a place for each chunk, the documents once to fetch the bytes of
 repeated chunks, and once to remove lines. Counts and comparisons are aggregations that combine
@@ -46,6 +48,20 @@ def _cuts(hashes: np.ndarray, seed: int) -> np.ndarray:
     return out
 
 
+def _pairs(lines: list[str], hashes: np.ndarray, filled: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Each line that isn't blank with the next such line. In a run of equal pairs the second overlaps
+    the first, which may have to stay; there the three lines together make the chunk."""
+    at = np.flatnonzero(filled).tolist()
+    of = hashes[filled].tolist()
+    same = False  # whether the pair before equals the one before it
+    for k in range(len(at) - 1):
+        start, end = at[k], at[k + 1] + 1
+        before, same = same, (k > 0 and of[k - 1] == of[k] == of[k + 1] and lines[at[k - 1]:start + 1] == lines[start:end])
+        if same and not before:
+            start = at[k - 1]
+        yield start, end - start
+
+
 def chunks(text: str, passes: int = PASSES, long_line: int = LONG_LINE) -> list[tuple[int, int]]:
     """First line and number of lines of every chunk that can count as a passage: two or more lines
     that aren't blank, or one of more than ``long_line`` words, which is always a chunk."""
@@ -54,6 +70,7 @@ def chunks(text: str, passes: int = PASSES, long_line: int = LONG_LINE) -> list[
     filled = np.fromiter((bool(x.strip()) for x in lines), bool, len(lines))
     long = np.fromiter((x.count(" ") >= long_line and len(x.split()) > long_line for x in lines), bool, len(lines))
     found = {(i, 1) for i in np.flatnonzero(long).tolist()}
+    found.update(_pairs(lines, hashes, filled))
     before = np.concatenate([[0], np.cumsum(filled)])
     for seed in range(passes):
         cut = _cuts(hashes, seed)
@@ -61,7 +78,7 @@ def chunks(text: str, passes: int = PASSES, long_line: int = LONG_LINE) -> list[
         cut[1:] |= long[:-1]
         start = np.flatnonzero(cut)
         end = np.append(start[1:], len(lines))
-        ok = before[end] - before[start] > 1
+        ok = (before[end] - before[start] > 1) & ~(filled[start] & filled[end - 1])  # else it is a union of pairs
         found.update(zip(start[ok].tolist(), (end - start)[ok].tolist()))
     return sorted(found)
 
@@ -145,11 +162,13 @@ def dedup_lines(docs: DataFrame, passes: int = PASSES, long_line: int = LONG_LIN
     occurrence in the corpus (by ``doc_id``, then place), and ``n_chars``, if there, counted anew.
     ``report`` adds ``n_lines`` of the text given and ``n_removed``.
 
-    Lines end at \\n and count byte for byte. A passage is a chunk of two or more lines that aren't
-    blank, or a line of more than ``long_line`` words; single shorter lines stay however often they
-    occur. Null and empty texts stay as they are; a document that is all repeats ends up empty. Rows
-    that repeat both id and text count as one document and are treated alike; an id with other
-    texts, and rows without id, are documents of their own. An empty table gives an empty result.
+    Lines end at \\n and count byte for byte. A passage is two or more lines that aren't blank, with
+    the blank lines between them, or a line of more than ``long_line`` words; single shorter lines
+    stay however often they occur. A passage goes as a whole if each two neighbouring lines of it
+    stood together before, be it in different places. Null and empty texts stay as they are; a
+    document that is all repeats ends up empty. Rows that repeat both id and text count as one
+    document and are treated alike; an id with other texts, and rows without id, are documents of
+    their own. An empty table gives an empty result.
     """
     spans = find_repeated(docs.select("doc_id", "text"), passes, long_line)
     key, found = free_name(docs, "text_hash"), free_name(docs, "spans")

@@ -109,3 +109,37 @@ def test_long_lines_count_alone(documents, long_line):
     rows = [(1, "a\none two three four\nb"), (2, "c\none two three four\nd")]
     out = {r.doc_id: r.text for r in dedup_lines(documents(rows), long_line=long_line).collect()}
     assert out == {1: rows[0][1], 2: "c\nd" if long_line == 3 else rows[1][1]}
+
+
+@pytest.mark.parametrize("copies", [2, 40])
+@pytest.mark.parametrize("length", [2, 3, 5, 8, 12])
+def test_passages_of_any_length_go_whole(length, copies):
+    """By length and number of copies: every line of a repeated passage is in a chunk that each copy has."""
+    rng = random.Random(length * 100 + copies)
+    for _ in range(20):
+        passage = [sentence(rng) for _ in range(length)]
+        left = 0
+        seen = set()
+        for k in range(copies):
+            lines = [sentence(rng) for _ in range(rng.randrange(4))] + passage + [sentence(rng) for _ in range(rng.randrange(4))]
+            spans = [("\n".join(lines[s:s + n]), s, n) for s, n in chunks("\n".join(lines))]
+            gone = {i for body, s, n in spans if body in seen for i in range(s, s + n)}
+            left += sum(line in passage and i not in gone for i, line in enumerate(lines)) if k else 0
+            seen.update(body for body, _, _ in spans)
+        assert left == 0
+
+
+def test_short_passages_go_whole(documents):
+    rng = random.Random(5)
+    two, three = [sentence(rng) for _ in range(2)], ["", sentence(rng), "", " ", sentence(rng), sentence(rng), ""]
+    rows = [(i, "\n".join([sentence(rng), *(two if i % 2 else three), sentence(rng)])) for i in range(8)]
+    out = {r.doc_id: r.text.split("\n") for r in dedup_lines(documents(rows)).collect()}
+    for i, t in rows:
+        lines = t.split("\n")
+        assert [x for x in out[i] if x.strip()] == ([x for x in lines if x.strip()] if i < 2 else [lines[0], lines[-1]])
+
+
+def test_overlapping_pairs_leave_the_first(documents):
+    rows = [(1, "x\nsame\nsame\nsame\ny"), (2, "p\nsame\nsame\nsame\nq"), (3, "same\n" * 4 + "z"), (4, "other\n" * 5 + "w")]
+    out = {r.doc_id: r.text for r in dedup_lines(documents(rows)).collect()}
+    assert out == {1: rows[0][1], 2: "p\nq", 3: "z", 4: "other\nother\nw"}
