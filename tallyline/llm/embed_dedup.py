@@ -7,7 +7,10 @@ united. Many trees, each with cuts of its own, leave a close pair apart only if
 
 The trees of a round are fitted on a bounded sample and small enough to send to the tasks; all
 vectors are then filed by them. Leaves that hold more vectors than ``LEAF`` are fitted and split
-again, each from a sample of its own, until none is too large. No pair leaves a task: a leaf counts
+again, each from a sample of its own, until none is too large. Where vectors have so many near ones
+that no leaf could hold them, cuts are chosen by the sampled links that they part; if all cuts would
+part too many, the leaf is dense: it stays whole, is dealt into blocks of bounded size, and all
+pairs of blocks are compared, each by one group. No pair leaves a task: a leaf counts
 each vector's links and gives one link per vector to the smallest vector that it reaches there. A
 pair that shares several leaves is counted in the first of them only, which a leaf can tell since
 every vector brings the list of all its leaves. Equal vectors are one vector with a count.
@@ -33,6 +36,12 @@ NODE_SAMPLE = 2_000  # of each leaf that is split again
 LEAST = 24           # sampled vectors that a node is split by
 SPILL = 0.05         # on either side of a cut, for unit vectors
 SHARE = 0.03         # of a node that may spill on either side
+PROBES = 1024        # sampled vectors of a node whose links are looked at
+CUT_LINKS = 0.1      # of the links of vectors with many that one cut may part
+KEPT_LINKS = 0.5     # of these links that all cuts on the way to a leaf keep together at least
+PEEL = 0.02          # of these links that may be parted to set one group apart
+SURE = 200           # sampled vectors that tell that a leaf is dense
+DENSE = 1 << 62      # in the id of a leaf that isn't split
 
 
 def _unit(rows: list, size: int) -> np.ndarray:
@@ -46,18 +55,42 @@ def _unit(rows: list, size: int) -> np.ndarray:
 
 class Tree:
     """Splits fitted on a sample: direction, lower and upper edge of the overlap, and two children
-    per node; a child below zero is leaf ``-child - 1``."""
+    per node; a child below zero is leaf ``-child - 1``. ``dense`` has the leaves above ``leaf``
+    vectors that no cut splits without parting too many pairs at or above ``least``."""
 
-    def __init__(self, sample: np.ndarray, share: float, leaf: int, seed: list[int]):
+    def __init__(self, sample: np.ndarray, share: float, leaf: int, seed: list[int], least: float = 0.9):
         rng = np.random.default_rng(seed)
-        self.direction, self.edges, self.children, self.leaves = [], [], [], 0
-        self.root = self._grow(sample, share, leaf, rng)
+        self.direction, self.edges, self.children, self.leaves, self.dense, self.least = [], [], [], 0, [], least
+        self.root = self._grow(sample, share, leaf, rng, 1.0)
 
-    def _grow(self, x: np.ndarray, share: float, leaf: int, rng) -> int:
-        """share: vectors for each sampled one."""
+    def _leaf(self, dense: bool = False) -> int:
+        if dense:
+            self.dense.append(self.leaves)
+        self.leaves += 1
+        return -self.leaves
+
+    @staticmethod
+    def _edges(p: np.ndarray, cut: float) -> tuple[float, float]:
+        at = np.searchsorted(p, cut) / len(p)
+        return max(cut - SPILL, np.quantile(p, max(0.0, at - SHARE))), min(cut + SPILL, np.quantile(p, min(1.0, at + SHARE)))
+
+    def _grow(self, x: np.ndarray, share: float, leaf: int, rng, kept: float) -> int:
+        """share: vectors for each sampled one; kept: of the links in dense places, by the cuts so far."""
         if len(x) * share <= leaf or len(x) < LEAST:
-            self.leaves += 1
-            return -self.leaves
+            return self._leaf()
+        probes = x[np.linspace(0, len(x) - 1, min(len(x), PROBES)).astype(int)]
+        links = probes @ probes.T >= self.least
+        np.fill_diagonal(links, False)
+        degree = links.sum(1)
+        many = degree * (len(x) / len(probes) * share) >= leaf / 4
+        links = (links & (many[:, None] | many)).astype(np.float32)
+        total = links.sum() / 2
+
+        def parted(r: np.ndarray, low: float, high: float) -> float:
+            q = probes @ r
+            left, right = q < low, q >= high
+            return float(left @ links @ right) / total if left.any() and right.any() else 1.0
+
         best = None
         for _ in range(6):
             r = rng.standard_normal(x.shape[1])
@@ -65,12 +98,28 @@ class Tree:
             p = np.sort(x @ r)
             for cut in np.quantile(p, np.linspace(0.35, 0.65, 13)):
                 low, high = np.searchsorted(p, (cut - SPILL, cut + SPILL))
-                if best is None or high - low < best[0]:
-                    best = high - low, r, cut, p
-        _, r, cut, p = best
-        at = np.searchsorted(p, cut) / len(p)
-        low = max(cut - SPILL, np.quantile(p, max(0.0, at - SHARE)))
-        high = min(cut + SPILL, np.quantile(p, min(1.0, at + SHARE)))
+                loss = parted(r, *self._edges(p, cut)) if total else 0.0
+                if best is None or (loss, high - low) < best[:2]:
+                    best = loss, high - low, r, cut, p
+        if total and (best[0] > CUT_LINKS or kept * (1 - best[0]) < KEPT_LINKS):
+            # Set the group around the vector with the most links apart, if it stands by itself.
+            best = None
+            r = probes[links[np.argmax(degree)] > 0].mean(0)
+            r /= np.linalg.norm(r)
+            p = np.sort(x @ r)
+            for cut in np.linspace(p[0], p[-1], 41)[1:-1]:
+                edges = self._edges(p, cut)
+                loss = parted(r, *edges)
+                low, high = np.searchsorted(p, edges)
+                if loss <= PEEL and kept * (1 - loss) >= KEPT_LINKS and min(low, len(p) - high) * share >= leaf / 4:
+                    low, high = np.searchsorted(p, (cut - SPILL, cut + SPILL))
+                    if best is None or (loss, high - low) < best[:2]:
+                        best = loss, high - low, r, cut, p
+            if best is None:  # a small sample leaves it to the next round
+                return self._leaf(share <= 1 or len(x) >= SURE)
+        loss, _, r, cut, p = best
+        kept *= 1 - loss
+        low, high = self._edges(p, cut)
         me = len(self.children)
         self.direction.append(r)
         self.edges.append((low, high))
@@ -82,11 +131,11 @@ class Tree:
             self.edges[me] = (low, high)
             half = np.argsort(q, kind="stable")
             left, right = x[half[:len(x) // 2]], x[half[len(x) // 2:]]
-        self.children[me] = (self._grow(left, share, leaf, rng), self._grow(right, share, leaf, rng))
+        self.children[me] = (self._grow(left, share, leaf, rng, kept), self._grow(right, share, leaf, rng, kept))
         return me
 
     def file(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and the leaf of each; a row may be in several."""
+        """Rows and the leaf of each, with DENSE if it is; a row may be in several."""
         rows, leaves, todo = [], [], [(self.root, np.arange(len(x)))]
         while todo:
             node, at = todo.pop()
@@ -94,7 +143,7 @@ class Tree:
                 continue
             if node < 0:
                 rows.append(at)
-                leaves.append(np.full(len(at), -node - 1))
+                leaves.append(np.full(len(at), -node - 1 | (DENSE if -node - 1 in self.dense else 0), np.int64))
                 continue
             p, (low, high), (left, right) = x[at] @ self.direction[node], self.edges[node], self.children[node]
             todo += [(left, at[p < high]), (right, at[p >= low])]
@@ -121,12 +170,12 @@ def _file_all(sent):
     return run
 
 
-def _split_leaf(size: int, deeper: int, full: int, seed: int):
+def _split_leaf(size: int, deeper: int, full: int, seed: int, least: float):
     """One leaf's sampled vectors -> the tree that splits it, pickled, under the leaf's id."""
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         import pickle
         x = _unit(group["embedding"].tolist(), size)
-        tree = Tree(x, float(group["n"].iloc[0]) / len(x), full, [seed, key[0] & 0xFFFFFFFF, key[0] >> 32, deeper])
+        tree = Tree(x, float(group["n"].iloc[0]) / len(x), full, [seed, key[0] & 0xFFFFFFFF, key[0] >> 32, deeper], least)
         return pd.DataFrame({"leaf": [key[0]], "tree": [pickle.dumps(tree)]})
     return run
 
@@ -145,7 +194,8 @@ def _file_again(size: int, deeper: int):
                 r, low = tree.file(_unit(batch.column(1).slice(a, b - a).to_pylist(), size))
                 # A deeper leaf keeps its tree in the upper bits; the rest is a digest of its way down.
                 way = (int(leaf[a]) * 0x9E3779B97F4A7C15 + deeper) & ((1 << 64) - 1)
-                new = (int(leaf[a]) >> 48 << 48) | (1 << 47) | (((np.uint64(way) ^ (low.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
+                dense, low = low & DENSE, low & ~DENSE
+                new = dense | (int(leaf[a]) >> 48 << 48) | (1 << 47) | (((np.uint64(way) ^ (low.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
                                                                 >> np.uint64(17)).astype(np.int64))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a).take(pa.array(r)), pa.array(new)],
                                                  names=["vec", "leaf"])
@@ -153,6 +203,7 @@ def _file_again(size: int, deeper: int):
 
 
 def _compare(size: int, least: float):
+    """Links of one leaf or, if it is dense, of two of its blocks or inside one."""
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         if len(group) < 2:
             return pd.DataFrame({"vec": [], "links": [], "root": []}).astype("int64")
@@ -164,6 +215,9 @@ def _compare(size: int, least: float):
             linked[i:i + 512] = x[i:i + 512] @ x.T >= least
         linked |= linked.T
         np.fill_diagonal(linked, False)
+        if key[1] != key[2]:  # links inside a block are the block's own
+            block = group["block"].to_numpy()
+            linked &= block[:, None] != block
         a, b = np.nonzero(linked)
         root = np.arange(len(x))
         while len(a):
@@ -186,21 +240,38 @@ def _compare(size: int, least: float):
     return run
 
 
-def _leaves(vectors: DataFrame, size: int, trees: int, leaf: int, seed: int) -> DataFrame:
-    """(vec, leaf) of every vector in every tree, no leaf above ``leaf`` vectors."""
+def _blocks(members: DataFrame, leaf: int) -> DataFrame:
+    """The members of every leaf by the groups to compare: (a, b), the blocks of a pair, and the own
+    ``block``. A leaf that isn't dense is one block; a dense one has blocks of half a leaf's vectors,
+    and each row goes to all pairs of its block. A dense leaf whose vectors share an earlier dense
+    leaf has nothing to add and is left out."""
+    dense = members.where(F.col("leaf") >= DENSE)
+    first = F.array_min(F.filter("leaves", lambda x: x >= DENSE))
+    sizes = (dense.groupBy("leaf").agg(F.count("*").alias("n"), F.min(first).alias("low"), F.max(first).alias("high"))
+             .where("low <> high OR low = leaf").select("leaf", F.ceil(F.col("n") / max(1, leaf // 2)).alias("blocks")))
+    dealt_out = (dense.join(sizes, "leaf").withColumn("block", F.pmod(F.xxhash64("vec"), "blocks"))
+                 .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+                 .withColumn("a", F.least("block", "other")).withColumn("b", F.greatest("block", "other")).drop("blocks", "other"))
+    zero = F.lit(0).cast("long")
+    whole = members.where(F.col("leaf") < DENSE).select("*", zero.alias("block"), zero.alias("a"), zero.alias("b"))
+    return whole.unionByName(dealt_out)
+
+
+def _leaves(vectors: DataFrame, size: int, trees: int, leaf: int, seed: int, least: float) -> DataFrame:
+    """(vec, leaf) of every vector in every tree, no leaf above ``leaf`` vectors unless it is dense."""
     total = vectors.count()
     sample = _unit([r[0] for r in sample_rows(vectors.select("embedding", "vec"), SAMPLE, total).select("embedding").collect()], size)
-    grown = [Tree(sample, total / max(1, len(sample)), leaf * 2 // 3, [seed, t]) for t in range(trees)]
+    grown = [Tree(sample, total / max(1, len(sample)), leaf * 2 // 3, [seed, t], least) for t in range(trees)]
     sent = vectors.sparkSession.sparkContext.broadcast((grown, size))
     filed = saved(vectors.select("vec", "embedding").mapInArrow(_file_all(sent), "vec long, leaf long"), "leaves")
     for deeper in range(1, 64):
-        full = filed.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") > leaf)
+        full = filed.groupBy("leaf").agg(F.count("*").alias("n")).where((F.col("n") > leaf) & (F.col("leaf") < DENSE))
         if full.isEmpty():
             break
         inside = filed.join(full, "leaf")
         sampled = (inside.where(F.pmod(F.xxhash64("vec", "leaf", F.lit(deeper)), F.col("n")) < NODE_SAMPLE)
                    .join(vectors.select("vec", "embedding"), "vec"))
-        fitted = saved(sampled.groupBy("leaf").applyInPandas(_split_leaf(size, deeper, leaf * 2 // 3, seed), "leaf long, tree binary"),
+        fitted = saved(sampled.groupBy("leaf").applyInPandas(_split_leaf(size, deeper, leaf * 2 // 3, seed, least), "leaf long, tree binary"),
                        "splits")
         again = (inside.select("vec", "leaf").join(fitted, "leaf").join(vectors.select("vec", "embedding"), "vec")
                  .select("vec", "embedding", "leaf", "tree").sortWithinPartitions("leaf")
@@ -235,11 +306,12 @@ def near_duplicates(table: DataFrame, least: float = 0.9, trees: int = TREES, le
     size = vectors.agg(F.max(F.size("embedding"))).first()[0]
     if size is None:
         return bad
-    filed = _leaves(vectors, size, trees, leaf, seed)
+    filed = _leaves(vectors, size, trees, leaf, seed, least)
     homes = filed.groupBy("vec").agg(F.sort_array(F.collect_set("leaf")).alias("leaves"))
     members = (vectors.select("vec", "embedding", "copies").join(homes, "vec")
                .withColumn("leaf", F.explode("leaves")))
-    found = saved(dealt(members, "leaf").groupBy("leaf").applyInPandas(_compare(size, least), "vec long, links long, root long"), "links")
+    groups = _blocks(members, leaf)
+    found = saved(dealt(groups, "leaf", "a", "b").groupBy("leaf", "a", "b").applyInPandas(_compare(size, least), "vec long, links long, root long"), "links")
     counts = found.groupBy("vec").agg(F.sum("links").alias("links"))
     stars = components(found.where("vec != root").select("vec", "root"), "vec", "root").withColumnRenamed("node", "vec")
     rooted = (vectors.join(counts, "vec", "left").join(stars, "vec", "left")

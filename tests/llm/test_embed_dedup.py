@@ -102,3 +102,24 @@ def test_a_tree_files_every_vector():
 def test_other_thresholds(spark, least):
     rows = clustered(np.random.default_rng(6), 300, 60, 0.05)
     assert rows_of(near_duplicates(frame(spark, rows), least=least)) == brute(rows, least)
+
+
+@pytest.mark.parametrize("n, others", [(1000, 0), (600, 600)])
+def test_groups_of_several_times_a_leaf_are_exact(spark, n, others):
+    """Near copies that no leaf can hold keep all their links."""
+    rng = np.random.default_rng(8)
+    rows = clustered(rng, n, 1, 0.045) + [(n + k, e) for k, e in clustered(rng, others, max(1, others // 3), 0.02)]
+    got, want = rows_of(near_duplicates(frame(spark, rows), leaf=150)), brute(rows)
+    assert all(g[1] <= w[1] for g, w in zip(got, want))
+    in_group = {str(k) for k in range(n)}
+    assert [g for g in got if g[0] in in_group] == [w for w in want if w[0] in in_group]
+    assert recall(got, want) > 0.999
+
+
+def test_groups_that_stand_apart_are_split_off():
+    rng = np.random.default_rng(9)
+    x = np.array([e for _, e in clustered(rng, 4000, 4, 0.01)])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    tree = Tree(x, 1.0, 1300, [1])
+    rows, leaves = tree.file(x)
+    assert set(rows.tolist()) == set(range(4000)) and not tree.dense and np.bincount(leaves).max() < 1300
