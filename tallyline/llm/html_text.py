@@ -39,8 +39,9 @@ CELLS = 1 << 14          # blocks that are labelled together
 BLOCKS = frozenset("""address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset
 figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html label legend li main menu nav ol optgroup option p
 pre section select summary table tbody td tfoot th thead tr ul""".split())
-HIDDEN_TEXT = "script|style|noscript|template|svg|math|iframe|object|head|title"
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+RAW = frozenset("script style title".split())  # run to their end tag or else to the end of the page
+HIDDEN_TEXT = RAW | frozenset("noscript template svg math iframe object".split())  # the others hide nothing without an end tag
+VOID = frozenset("area base br col embed head hr img input link meta param source track wbr".split())  # a head may lack its end tag
 # Containers and words of class names that say what a block is.
 MAIN = frozenset("article main".split())
 OTHER = frozenset("nav header footer aside form button select menu dialog".split())
@@ -64,9 +65,12 @@ INSIDE = ["div.ad", "div.ads", "aside", "div.promo", "div.newsletter p", "div.sh
           "section.comments p", "div.comment p", "footer", "header", "nav ul li", "div.advert p", "div.comments div.comment p"]
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<hidden>" + HIDDEN_TEXT + r")(?=[\s/>])[^>]*>.*?(?:</(?P=hidden)\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:\"[^\"<]*\"|'[^'<]*'|[^>\"'])*)>"
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)(?P<rest2>[^>]*)>|<[!?/][^>]*>", re.S | re.I)
+_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in HIDDEN_TEXT}
+# A slash that ends a value without quotes belongs to the value.
+_SELF_CLOSED = re.compile(r"""<\w+(?:\s(?:.*[\s"'])?[^\s=>"'/]*)?/>""", re.S)
 _NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 _SLOTS: dict[str, int] = {}
@@ -99,12 +103,14 @@ def _names(tag: str, rest: str) -> list[str]:
 
 def blocks(page: str) -> list[Block]:
     """The leaf blocks of a page in order, character references decoded and white space made one.
-    Scripts, styles, the head and comments hold no text. Tags that were not closed end with the
+    Scripts, styles, titles and comments hold no text, nor do drawings, frames and objects that were
+    closed. Text in the head belongs to the body, as in HTML. Tags that were not closed end with the
     element around them, a paragraph with the next one."""
     out: list[Block] = []
     stack: list[tuple[str, list[str]]] = []
     parts: list[str] = []
     linked = at = links = 0
+    endless: set[str] = set()  # elements without text that have no end tag from here on
 
     def add(text: str) -> None:
         nonlocal linked
@@ -125,13 +131,22 @@ def blocks(page: str) -> list[Block]:
             parts.clear()
         linked = 0
 
-    for m in _TOKEN.finditer(page):
+    while m := _TOKEN.search(page, at):
         add(page[at:m.start()])
         at = m.end()
         tag = m["tag"] or m["tag2"]
         if tag is None:
             continue
         tag = tag.lower()
+        if tag in HIDDEN_TEXT and not (m["end"] or m["end2"]):
+            if tag not in RAW and _SELF_CLOSED.fullmatch(m[0]):
+                continue
+            end = None if tag in endless else _END[tag].search(page, at)
+            if end or tag in RAW:
+                at = end.end() if end else len(page)
+            else:
+                endless.add(tag)
+            continue
         block = tag in BLOCKS
         if tag == "br":
             parts.append(" ")

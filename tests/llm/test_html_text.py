@@ -109,3 +109,26 @@ def test_gradients():
             down = loss()
             flat[i] = old
             assert abs((up - down) / 2e-3 - g[name].reshape(-1)[i]) < 2e-3
+
+
+@pytest.mark.parametrize("page", [
+    "<html><head><title>t</title><style>s</style><meta charset=x><body><p>one</p><p>two</p></body></html>",  # no </head>
+    "<html><head><title>t</title><script>s</script><p>one</p><p>two</p>",  # no </head>, no body
+    "<head><title>t</title></head><p>one</p><svg viewBox='0 0 1 1' /><p>two</p>",
+    "<p>one</p><svg/><p>two</p><svg><text>s</text></svg>",
+    "<p>one</p><object data='a>b' hidden/><iframe src=\"x\" /><math /><p>two</p>",
+    "<p>one</p><iframe src=http://x/>s</iframe><p>two</p>",  # the slash belongs to the address
+    "<p>one</p><svg><p>two</p>", "<p>one</p><object><p>two</p>", "<p>one</p><template><noscript><p>two</p>",  # never closed
+    "<p>one</p><SVG><text>s</text></svg ><p>two</p><script>s <p>s</p>",
+])
+def test_what_is_left_open_hides_nothing_else(page):
+    assert [b.text for b in blocks(page)] == ["one", "two"]
+
+
+def test_an_open_head_is_on_no_way():
+    closed, left_open = (blocks(f"<html><head><title>t</title>{end}<body><p>x</p>") for end in ("</head>", ""))
+    assert closed == left_open
+
+
+def test_many_tags_without_end_take_no_long():
+    assert len(blocks("<svg><p>x</p>" * 20000)) == 20000
