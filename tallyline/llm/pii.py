@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -47,6 +48,9 @@ _TITLE = "|".join(regex.escape(t) for t in sorted((*TITLES_MALE, *TITLES_FEMALE,
 _INTRO = "|".join(regex.escape(t) for t in INTRODUCTIONS)
 _PERSON = regex.compile(rf"(?<![\p{{L}}])(?:(?P<title>{_TITLE})\.?|(?:{_INTRO}))[ \t]+(?P<name>(?:{_NAME})(?:[ \t]+(?:{_NAME})){{0,2}})")
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+_GROUP = r"[0-9A-Fa-f]{1,4}"
+_SHORT_IPV6 = (rf"(?:{_GROUP}(?::{_GROUP}){{0,6}})?::(?:(?:{_GROUP}:){{0,5}}(?:{_OCTET}\.){{3}}{_OCTET}|{_GROUP}(?::{_GROUP}){{0,6}})?"
+               rf"|(?:{_GROUP}:){{6}}(?:{_OCTET}\.){{3}}{_OCTET}")
 # In the order of precedence where two overlap.
 FORMS = [
     ("email", regex.compile(r"[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+")),
@@ -55,6 +59,7 @@ FORMS = [
     ("iban", regex.compile(r"(?a)(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")),
     ("mac", regex.compile(r"(?a)(?<![0-9A-Fa-f:-])(?:[0-9A-Fa-f]{2}([:-]))(?:[0-9A-Fa-f]{2}\1){4}[0-9A-Fa-f]{2}(?![0-9A-Fa-f:-])")),
     ("ipv6", regex.compile(r"(?a)(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])")),
+    ("ipv6", regex.compile(rf"(?a)(?<!\w)(?<![0-9A-Fa-f:]:)(?:{_SHORT_IPV6})(?!\w|:[0-9A-Fa-f:]|\.\d)")),
     ("ip", regex.compile(rf"(?a)(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)")),
     ("ssn", regex.compile(r"(?a)(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])")),
     ("card", regex.compile(r"(?a)(?<![\d+.-])\d(?:[ -]?\d){12,18}(?!\d|[.-]\d)")),
@@ -86,7 +91,13 @@ def plain(kind: str, text: str) -> str | None:
         return digits
     if kind == "iban":
         return text.replace(" ", "")
-    if kind in ("email", "mac", "ipv6") or kind.startswith(("given", "family")):
+    if kind == "ipv6":
+        try:
+            number = int(ipaddress.IPv6Address(text))
+        except ValueError:
+            return None
+        return ":".join(f"{number >> k & 0xFFFF:x}" for k in range(112, -1, -16)) if number else None
+    if kind in ("email", "mac") or kind.startswith(("given", "family")):
         return text.lower()
     return text
 
@@ -191,7 +202,8 @@ def surrogate(key: bytes, kind: str, form: str, attempt: int = 0) -> str:
     if kind == "mac":
         return form[0] + "2" + "".join(draw.of("0123456789abcdef") if c not in ":-" else c for c in form[2:])
     if kind == "ipv6":
-        return ":".join("".join(draw.of("0123456789abcdef") for _ in part) for part in form.split(":"))
+        # Zero groups stay, so that it can be written as short; where that leaves too few, all are drawn.
+        return ":".join(part if part == "0" and attempt < 8 else f"{0x1000 + draw.below(0xF000):x}" for part in form.split(":"))
     if kind.startswith(("given", "family")):
         return "".join(p if p in "-'’" else _name(draw, kind, p) for p in regex.split(r"([-'’])", form))
     return draw.like(form)
@@ -217,7 +229,12 @@ def render(kind: str, mention: str, stand_in: str) -> str:
         source = iter(c for c in stand_in if c.isalnum())
         out = "".join(next(source, "") if c.isalnum() else c for c in mention)
         return out.upper() if kind == "mac" and mention.isupper() else out
-    if kind in ("email", "ipv6") or kind.startswith(("given", "family")):
+    if kind == "ipv6":
+        full = all(len(g) == 4 for g in mention.split(":"))
+        out = ipaddress.IPv6Address(stand_in)
+        out = out.compressed if "::" in mention else out.exploded if full else stand_in
+        return out.upper() if mention.isupper() else out
+    if kind == "email" or kind.startswith(("given", "family")):
         if mention.isupper():
             return stand_in.upper()
         if mention[:1].isupper():

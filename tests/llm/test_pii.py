@@ -117,3 +117,21 @@ def test_table_keeps_no_entity(table):
         assert not real & {plain(k, out[i].text[a:b]) for a, b, k, _ in find(out[i].text)}
         if not find(t):
             assert out[i].text == t
+
+
+@pytest.mark.parametrize("text", ["2001:db8::1", "see 2001:DB8::1.", "addr:2001:db8::1, x", "2001:db8::1: x", "[2001:db8:0:0:0:0:0:1]:80",
+                                  "2001:0db8:0000:0000:0000:0000:0000:0001"])
+def test_spellings_of_an_ipv6_address_are_one_entity(text):
+    [(a, b, kind, form)] = find(text)
+    assert (kind, form) == ("ipv6", "2001:db8:0:0:0:0:0:1")
+    stand_in = surrogate(b"k", kind, form)
+    written = render(kind, text[a:b], stand_in)
+    assert plain(kind, written) == stand_in != form and ("::" in written) == ("::" in text)
+    assert [x[2:] for x in find(text[:a] + written + text[b:])] == [(kind, stand_in)]
+
+
+def test_short_ipv6_forms():
+    assert [x[2] for x in find("::1 fe80::a%eth0 2001:db8::/32 ::ffff:192.0.2.1 1:2:3:4:5:6:192.0.2.1")] == ["ipv6"] * 5
+    for text in ("std::vector a :: b", "1::2::3", "x::begin", "::", "1:2:3:4:5:6:7:8::9"):
+        assert not any(x[2] == "ipv6" for x in find(text)), text
+    assert surrogate(b"k", "ipv6", "0:0:0:0:0:0:0:1", 8).count("0:") < 7  # few short ones: then all groups are drawn
