@@ -147,15 +147,32 @@ def _top(counts: DataFrame, key: str, per: list[str], keep: int) -> DataFrame:
     return counts.withColumn("place", F.row_number().over(place)).where(F.col("place") <= keep)
 
 
+def _wanted(counts: dict[str, int], sample: int) -> dict[str, float]:
+    """The share of each language's rows to learn from: one share for all, but more of a language that
+    would have less than an even part of half the sample, about ``sample`` rows together."""
+    even = sample / 2 / max(1, len(counts))
+    low, high = 0.0, 1.0
+    for _ in range(60):
+        share = (low + high) / 2
+        if sum(max(min(n, even), share * n) for n in counts.values()) > sample:
+            high = share
+        else:
+            low = share
+    return {lang: max(min(n, even) / n, low) for lang, n in counts.items()}
+
+
 def train(docs: DataFrame, sample: int = SAMPLE, words: int = WORDS, grams: int = GRAMS) -> Model:
     """Learn from rows with ``text`` and ``lang``. Rows with a null of either say nothing; without
-    any, the model knows no language and predicts ``und``."""
+    any, the model knows no language and predicts ``und``. Of more than ``sample`` rows about so many
+    are learnt from, with a part of them for every language however rare; how common languages are is
+    taken from all rows. Languages beyond the ``LANGUAGES`` most frequent aren't learnt."""
     rows = docs.where("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang", "doc_id")
     n = rows.count()
+    shares = dict(rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect())
     if n > sample:  # by a hash that copies of a text don't share
-        rows = rows.where(F.pmod(F.xxhash64("text", "doc_id"), F.lit(1 << 30)) < F.lit(int(sample / n * (1 << 30))))
+        wanted = F.create_map(*(F.lit(x) for lang, share in _wanted(shares, sample).items() for x in (lang, int(share * (1 << 30)))))
+        rows = rows.where(F.pmod(F.xxhash64("text", "doc_id"), F.lit(1 << 30)) < F.try_element_at(wanted, F.col("lang")))
     picked = rows.select("text", "lang")
-    shares = dict(picked.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect())
     counts = saved(picked.mapInArrow(_count_words, "lang string, word string, n long")
                    .groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
     totals = {r[0]: r[1] for r in counts.groupBy("lang").agg(F.sum("n")).collect()} if shares else {}

@@ -84,3 +84,21 @@ def test_filter_keeps_columns_and_known_texts(labelled):
     gone = labelled.count() - kept.count()
     assert gone == 3  # null, empty, no letters
     assert {r.score for r in kept.collect()} == {"x"}
+
+
+def test_a_rare_language_is_in_the_sample(spark):
+    rows = [(k, f"alpha beta gamma w{k}", "common") for k in range(3000)] + [(3000 + k, "omega psi chi", "rare") for k in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = train(docs, sample=30)
+    assert model.langs == ["common", "rare"] and sum(model.predict(["omega psi chi chi"])[0] == [lang] for lang in model.langs) == 1
+    assert model.predict(["omega psi chi", "alpha beta"])[0] == ["rare", "common"]
+    assert 0.99 < float(1 - 2.718281828 ** model.prior[1]) < 1  # as common as it is in all rows
+
+
+def test_sample_by_language():
+    from tallyline.llm.langid import _wanted
+    counts = {"a": 90_000, "b": 40_000, "c": 300, "d": 1}
+    wanted = _wanted(counts, 20_000)
+    assert wanted["c"] == wanted["d"] == 1 and wanted["a"] == wanted["b"]
+    assert abs(sum(wanted[k] * n for k, n in counts.items()) - 20_000) < 1
+    assert max(abs(x - 0.2) for x in _wanted({"a": 50_000, "b": 50_000}, 20_000).values()) < 1e-6  # common ones: one share, as it was
