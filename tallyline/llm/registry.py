@@ -142,3 +142,51 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyline.llm.html_text import extract
     return extract(read(spark, sf_dir, "pages"))
+
+
+# CRC-32 of the digits of an id, by the table of its 256 remainders.
+_OP13 = """
+WITH RECURSIVE crc_step AS (
+  SELECT i, 0 AS k, CAST(i AS BIGINT) AS r FROM range(256) t(i)
+  UNION ALL
+  SELECT i, k + 1, CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END FROM crc_step WHERE k < 8),
+crc_table AS (SELECT list(r ORDER BY i) AS t FROM crc_step WHERE k = 8),
+t AS (
+  SELECT conv_id, md5(concat(strlen(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) AS code,
+         len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS words, turn
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+  SELECT conv_id, list(code ORDER BY turn NULLS FIRST, code) AS codes, list(words ORDER BY turn NULLS FIRST, code) AS words
+  FROM t GROUP BY conv_id),
+h AS (
+  SELECT c.*, xor(list_reduce(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+         lambda a, b: xor(tab[xor(a, b) % 256 + 1], a >> 8), CAST(4294967295 AS BIGINT)), 4294967295) % 4 AS h
+  FROM c, (SELECT t AS tab FROM crc_table)),
+r AS (
+  SELECT h.conv_id, list_concat(coalesce(b.codes[1:h], []), h.codes[h + 1:]) AS codes,
+         list_concat(coalesce(b.words[1:h], []), h.words[h + 1:]) AS words
+  FROM h LEFT JOIN c b ON b.conv_id = h.conv_id - h.conv_id % 20),
+p AS (
+  SELECT conv_id, d AS depth, md5(array_to_string(codes[1:d], ',')) AS k, len(codes) = d AS is_end,
+         CASE WHEN d > 0 THEN md5(array_to_string(codes[1:d - 1], ',')) END AS up, CASE WHEN d > 0 THEN words[d] ELSE 0 END AS w
+  FROM r, unnest(range(0, len(codes) + 1)) AS x(d)),
+n AS (
+  SELECT k, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(w) AS own, max(up) AS up,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (is_end), '')) AS ends_sha256
+  FROM p GROUP BY k, depth),
+kids AS (SELECT up AS k, depth - 1 AS depth, count(*) AS n FROM n WHERE depth > 0 GROUP BY ALL),
+sub AS (
+  SELECT p.k, p.depth, sum(n.own) AS saved_tokens, count(*) FILTER (kids.n IS NULL) AS n_leaves
+  FROM n JOIN p ON p.conv_id = n.conv_id AND p.depth <= n.depth LEFT JOIN kids ON kids.k = n.k AND kids.depth = n.depth
+  GROUP BY p.k, p.depth)
+SELECT n.conv_id, n.depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(kids.n, 0) AS n_children, n_leaves,
+       CAST(saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM n JOIN sub ON sub.k = n.k AND sub.depth = n.depth LEFT JOIN kids ON kids.k = n.k AND kids.depth = n.depth
+LEFT JOIN n u ON u.k = n.up AND u.depth = n.depth - 1
+"""
+
+
+@query("op13_conversation_trie", _OP13)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyline.llm.conv_trie import numbered_turns, prefix_trie, with_shared_heads
+    return prefix_trie(with_shared_heads(numbered_turns(read(spark, sf_dir, "conversations"))))
