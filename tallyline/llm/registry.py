@@ -190,3 +190,31 @@ LEFT JOIN n u ON u.k = n.up AND u.depth = n.depth - 1
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyline.llm.conv_trie import numbered_turns, prefix_trie, with_shared_heads
     return prefix_trie(with_shared_heads(numbered_turns(read(spark, sf_dir, "conversations"))))
+
+
+_OP11 = """
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+b AS (
+  SELECT item_id, text, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+q AS (SELECT item_id, text, term, count(*) AS times FROM (SELECT item_id, text, unnest(w) AS term FROM b) GROUP BY ALL),
+g AS (SELECT count(*) AS n, sum(len(w))::BIGINT AS l FROM d WHERE len(w) > 0),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) GROUP BY ALL),
+wt AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(n) + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, g GROUP BY term),
+m AS (SELECT r, doc_id, 25 + (75 * len(w) * n) // l AS m FROM d, g WHERE len(w) > 0),
+s AS (
+  SELECT item_id, text, r, doc_id, CAST(sum(times * wt.w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM q JOIN tf USING (term) JOIN wt USING (term) JOIN m USING (r) GROUP BY ALL),
+k AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+  FROM s WHERE score > 0)
+SELECT * FROM k WHERE rank <= 10
+"""
+
+
+@query("op11_lexical_search", _OP11)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyline.llm.lexical import rank_documents
+    return rank_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
