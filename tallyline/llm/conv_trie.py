@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from tallyline.llm.common import dealt, saved
 
 STRETCH = 1024     # turns of a conversation that are numbered and hashed together
-LIGHT = 1000       # members of a node that a shard may always hold
+LIGHT = 64         # members of a node that a shard may always hold
 UPPER = 4096       # nodes above the shards, at most
 QUEUE = 100_000    # messages that a queue holds in memory
 RUNS = 32          # sorted runs of a queue before they are merged
