@@ -218,3 +218,22 @@ SELECT * FROM k WHERE rank <= 10
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tallyline.llm.lexical import rank_documents
     return rank_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+# All pairs: equal to the query as long as a query is compared with the whole table, as on small ones.
+_OP12 = """
+WITH v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+    AND list_bool_or(list_transform(embedding, lambda x: x <> 0))),
+s AS (SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.e, b.e) AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id
+      WHERE a.vec_id % 20 = 0),
+r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s)
+SELECT * FROM r WHERE rank <= 20
+"""
+
+
+@query("op12_nearest_neighbours", _OP12)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tallyline.llm.ann import nearest
+    return nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
