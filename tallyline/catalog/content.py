@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyline.catalog.registry import day_int, query, ts_text
 from tallyline.functions import clean, dates, packed
-from tallyline.operators import content, dims, ranking, recommend
+from tallyline.operators import content, dims, ranking, recommend, similar
 from tallyline.plans import daily
 from tallyline.session import scratch
 from tallyline.sinks import tables as sinks
@@ -468,6 +468,66 @@ def pair_similarity(v):
     return sims.select("a", "b", *[F.round(c, 6).alias(c) for c in ("dot", "cosine", "pearson")])
 
 
+_BASKETS = """
+li AS (SELECT l_orderkey AS id, l_partkey AS key, sum(l_quantity) AS w FROM lineitem GROUP BY ALL),
+sz AS (SELECT id, sqrt(sum(w * w)) AS size, list(key || ':' || w ORDER BY key) AS body FROM li GROUP BY id),
+rp AS (SELECT body, min(id) AS id, count(*) AS copies, any_value(size) AS size FROM sz GROUP BY body)"""
+
+
+def _baskets(v):
+    """What each order holds: parts as keys, quantities as weights."""
+    lines = v.table("lineitem").groupBy("l_orderkey", "l_partkey").agg(F.sum("l_quantity").alias("w"))
+    return lines.groupBy(F.col("l_orderkey").alias("id")).agg(F.map_from_entries(F.collect_list(F.struct("l_partkey", "w"))).alias("vector"))
+
+
+@query("similar_pairs", _BASKETS + """
+SELECT x.id AS a, y.id AS b, round(sum(x.w * y.w) / (rx.size * ry.size), 6) AS similarity, rx.copies AS copies_a, ry.copies AS copies_b
+FROM li x JOIN li y ON x.key = y.key AND x.id < y.id JOIN rp rx ON rx.id = x.id JOIN rp ry ON ry.id = y.id
+GROUP BY x.id, y.id, rx.size, ry.size, rx.copies, ry.copies HAVING sum(x.w * y.w) / (rx.size * ry.size) >= 0.7""", log=False)
+def similar_pairs(v):
+    """Orders that hold much the same."""
+    return similar.similar_pairs(_baskets(v), 0.7).withColumn("similarity", F.round("similarity", 6))
+
+
+@query("similar_pairs_pearson", _BASKETS + """,
+pr AS (SELECT x.id AS a, y.id AS b, count(*) AS n, sum(x.w) AS sx, sum(y.w) AS sy, sum(x.w * x.w) AS xx, sum(y.w * y.w) AS yy, sum(x.w * y.w) AS xy
+  FROM li x JOIN li y ON x.key = y.key AND x.id < y.id WHERE x.id IN (SELECT id FROM rp) AND y.id IN (SELECT id FROM rp) GROUP BY x.id, y.id),
+co AS (SELECT a, b, sqrt(abs(xx - sx * sx / n) * abs(yy - sy * sy / n)) AS den, xy - sx * sy / n AS num FROM pr WHERE n >= 2)
+SELECT a, b, round(num / den, 6) AS similarity, x.copies AS copies_a, y.copies AS copies_b FROM co JOIN rp x ON x.id = a JOIN rp y ON y.id = b
+WHERE den > 0 AND num / den >= 0.5""", log=False)
+def similar_pairs_pearson(v):
+    """Orders whose shared parts are bought in like proportions."""
+    return similar.similar_pairs(_baskets(v), 0.5, "pearson").withColumn("similarity", F.round("similarity", 6))
+
+
+_ITEM_VECTORS = """
+vc AS (SELECT p_partkey AS id, [length(p_type), p_size % 10 + 100, length(p_name) + 200] AS k, [p_size, 51 - p_size, p_size % 7 + 1] AS w FROM part),
+cl AS (SELECT id, k, w, min(id) OVER (PARTITION BY k, w) AS representative FROM vc)"""
+
+
+@query("vector_classes", _ITEM_VECTORS + " SELECT id, representative FROM cl", log=False)
+def vector_classes(v):
+    """Items with the same tags and weights."""
+    return similar.vector_classes(_item_vectors(v))
+
+
+def _item_vectors(v):
+    tags = recommend.item_tags(_items(v)).groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("tag_id", "weight"))).alias("vector"))
+    return tags
+
+
+@query("similar_pairs_tags", _ITEM_VECTORS + """,
+rp AS (SELECT id, any_value(k) AS k, any_value(w) AS w, any_value(n) AS copies FROM (SELECT *, count(*) OVER (PARTITION BY representative) AS n FROM cl)
+  WHERE id = representative GROUP BY id),
+en AS (SELECT id, copies, unnest(k) AS k, unnest(w)::DOUBLE AS w, sqrt(list_sum(list_transform(w, lambda x: x * x))) AS size FROM rp)
+SELECT x.id AS a, y.id AS b, round(sum(x.w * y.w) / any_value(x.size * y.size), 6) AS similarity,
+  any_value(x.copies) AS copies_a, any_value(y.copies) AS copies_b
+FROM en x JOIN en y ON x.k = y.k AND x.id < y.id GROUP BY x.id, y.id HAVING sum(x.w * y.w) / any_value(x.size * y.size) >= 0.995""", log=False)
+def similar_pairs_tags(v):
+    """Items with much the same tags: few tags, each with very many items, and many items alike."""
+    return similar.similar_pairs(_item_vectors(v), 0.995).withColumn("similarity", F.round("similarity", 6))
+
+
 NOW = "2024-01-04 00:00:00"
 
 
