@@ -17,11 +17,10 @@ from tallyline.functions.packed import format_pairs, parse_pairs
 from tallyline.functions.vectors import cosine, dot, pearson
 from tallyline.operators.skew import lookup, top_per_key
 
-# Users and items of one scoring block, about; users that are scored together inside it, and the
-# fewest users that are worth a task of their own.
+# Users and items of one scoring block, about, and the fewest users that are worth a task of their own.
 USER_BLOCK, ITEM_BLOCK = 50_000, 20_000
-SCORED_TOGETHER = 128
 LEAST_USERS = 500
+FIRST_READ = 64  # entries of all lists of a user that are read at first; each further read is twice as long
 
 
 def user_clicks(events: DataFrame, day: str | None = None, browse: str = "recreate_click") -> DataFrame:
@@ -153,6 +152,89 @@ def _block_tables(frames: Iterator[pd.DataFrame]) -> tuple[pd.DataFrame, ...]:
     return tuple(rows[rows["kind"] == k] for k in (0, 1, 2))
 
 
+class TagIndex:
+    """Items by tag, for the best items of one user after the other.
+
+    The list of a tag holds its items by falling share of the tag in the item's vector. A user's
+    lists are read from the end that adds most; what is read is scored in full, and reading stops
+    when no unread entry can lead to an item that beats the ``n``-th best, since an item that no
+    list has shown yet scores at most the sum of what the next entries add. ``scored`` counts the
+    items that were scored.
+    """
+
+    def __init__(self, ids: np.ndarray, times: np.ndarray, tags: list[np.ndarray], weights: list[np.ndarray]):
+        order = np.lexsort((-ids, -times))  # newest first, so that a smaller place wins a tie
+        self.ids, self.times, self.scored = ids[order], times[order], 0
+        sizes = np.array([len(tags[k]) for k in order], np.int64)
+        self.begin = np.concatenate([[0], np.cumsum(sizes)])
+        self.tag = np.concatenate([tags[k] for k in order]).astype(np.int64)
+        self.weight = np.concatenate([weights[k] for k in order]).astype(np.float64)
+        owner = np.repeat(np.arange(len(order)), sizes)
+        self.length = np.sqrt(np.bincount(owner, self.weight * self.weight, len(order)))
+        self.tags, self.number = np.unique(self.tag, return_inverse=True)
+        # A tag that an item has twice is one entry of the list.
+        entry, once = np.unique(owner * len(self.tags) + self.number, return_inverse=True)
+        owner, number = np.divmod(entry, max(1, len(self.tags)))
+        share = np.bincount(once, self.weight, len(entry)) / np.where(self.length > 0, self.length, 1)[owner]
+        listed = np.lexsort((owner, -share, number))
+        self.list_item, self.list_share = owner[listed], share[listed]
+        self.list_begin = np.searchsorted(number[listed], np.arange(len(self.tags) + 1))
+        self.taste = np.zeros(len(self.tags))  # the weights of the user at hand
+
+    def _score(self, items: np.ndarray) -> np.ndarray:
+        sizes = self.begin[items + 1] - self.begin[items]
+        at = np.arange(int(sizes.sum())) + np.repeat(self.begin[items] - (np.cumsum(sizes) - sizes), sizes)
+        self.scored += len(items)
+        return np.bincount(np.repeat(np.arange(len(items)), sizes), self.taste[self.number[at]] * self.weight[at], len(items))
+
+    def best(self, tags: np.ndarray, weights: np.ndarray, seen: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places and similarities of the ``n`` most similar items, best first; ``seen`` are places
+        that don't count."""
+        known = np.searchsorted(self.tags, tags)
+        met = self.tags[np.minimum(known, len(self.tags) - 1)] == tags
+        at, inverse = np.unique(known[met], return_inverse=True)
+        taste = np.bincount(inverse, weights[met], len(at))
+        size = np.sqrt((weights * weights).sum())
+        at, taste = at[taste != 0], taste[taste != 0]
+        none = np.zeros(0, np.int64), np.zeros(0)
+        if not len(at) or size == 0:
+            return none
+        self.taste[at] = taste
+        low, high = self.list_begin[at].copy(), self.list_begin[at + 1].copy()
+        step = max(1, FIRST_READ // len(at))
+        places, sims, gone = *none, np.sort(seen)
+        while True:
+            read = []
+            for k, t in enumerate(taste):
+                a, b = low[k], high[k]
+                if t > 0:
+                    read.append(self.list_item[a:min(b, a + step)])
+                    low[k] = min(b, a + step)
+                else:  # what weighs least or is negative in the item adds most
+                    read.append(self.list_item[max(a, b - step):b])
+                    high[k] = max(a, b - step)
+            fresh = np.setdiff1d(np.concatenate(read), gone)
+            gone = np.union1d(gone, fresh)
+            dots = self._score(fresh)
+            fresh, dots = fresh[dots > 0], dots[dots > 0]
+            places = np.concatenate([places, fresh])
+            sims = np.concatenate([sims, np.round(dots / (self.length[fresh] * size), 12)])
+            if len(places) > n:
+                kept = np.lexsort((places, -sims))[:n]
+                places, sims = places[kept], sims[kept]
+            more = low < high
+            if not more.any():
+                break
+            next_share = np.where(taste > 0, self.list_share[np.minimum(low, len(self.list_share) - 1)], self.list_share[high - 1])
+            reach = np.maximum(taste * next_share, 0)[more].sum() / size
+            if reach <= 0 or (len(places) == n and sims.min() > reach + 1e-9):
+                break
+            step *= 2
+        self.taste[at] = 0
+        order = np.lexsort((places, -sims))
+        return places[order], sims[order]
+
+
 def _score_block(n: int):
     """The best ``n`` unseen items for every user of a block; one partition is one pair of blocks."""
 
@@ -163,41 +245,25 @@ def _score_block(n: int):
         users, items, seen = _block_tables(iter([first, *frames]))
         if not len(users) or not len(items):
             return
-        # Newest first, so that a stable sort by similarity leaves ties in this order.
-        items = items.sort_values(["publish_us", "info_id"], ascending=False)
-        ids, times = items["info_id"].to_numpy(np.int64), items["publish_us"].to_numpy(np.int64)
-        owner = np.repeat(np.arange(len(items)), items["tag_ids"].str.len().to_numpy())
-        tag, weight = np.concatenate(items["tag_ids"].to_numpy()), np.concatenate(items["weights"].to_numpy())
-        lengths = np.sqrt(np.bincount(owner, weight * weight, minlength=len(items)))
-        order = np.argsort(tag, kind="stable")
-        tag, owner, weight = tag[order], owner[order], weight[order]
-        users = users.reset_index(drop=True)
-        place = pd.Series(np.arange(len(items)), index=ids)
-        row = pd.Series(users.index, index=users["device_id"])
-        met = pd.DataFrame({"row": seen["device_id"].map(row), "item": seen["info_id"].map(place)}).dropna().astype(np.int64)
-        met = met.sort_values("row")
-        for at in range(0, len(users), SCORED_TOGETHER):
-            some = users.iloc[at:at + SCORED_TOGETHER]
-            k = np.repeat(np.arange(len(some)), some["tag_ids"].str.len().to_numpy())
-            t, w = np.concatenate(some["tag_ids"].to_numpy()), np.concatenate(some["weights"].to_numpy())
-            lo, hi = np.searchsorted(tag, t, "left"), np.searchsorted(tag, t, "right")
-            counts = hi - lo
-            # The sparse product of user and item tags: all item entries that share a tag with a user.
-            hits = np.arange(counts.sum()) + np.repeat(lo - (np.cumsum(counts) - counts), counts)
-            cell = np.repeat(k, counts) * len(items) + owner[hits]
-            dots = np.bincount(cell, weight[hits] * np.repeat(w, counts), len(some) * len(items)).reshape(len(some), -1)
-            a, b = np.searchsorted(met["row"].to_numpy(), (at, at + len(some)))
-            dots[met["row"].to_numpy()[a:b] - at, met["item"].to_numpy()[a:b]] = 0
-            size = np.sqrt(np.bincount(k, w * w, len(some)))
-            sims = np.where(dots > 0, np.round(dots / (lengths * np.where(size > 0, size, 1)[:, None]), 12), 0)
-            least = np.partition(sims, -n, axis=1)[:, -n] if n < len(items) else np.zeros(len(some))
-            u, i = np.nonzero((dots > 0) & (sims >= least[:, None]))
-            best = np.lexsort((i, -sims[u, i], u))
-            u, i = u[best], i[best]
-            rank = np.arange(len(u)) - np.searchsorted(u, u)
-            u, i = u[rank < n], i[rank < n]
-            yield pd.DataFrame({"device_id": some["device_id"].to_numpy()[u], "info_id": ids[i], "similarity": sims[u, i],
-                                "publish_us": times[i]})
+        index = TagIndex(items["info_id"].to_numpy(np.int64), items["publish_us"].to_numpy(np.int64),
+                         items["tag_ids"].tolist(), items["weights"].tolist())
+        place = pd.Series(np.arange(len(index.ids)), index=index.ids)
+        met = pd.DataFrame({"user": seen["device_id"], "place": seen["info_id"].map(place)}).dropna()
+        met = {u: p.to_numpy(np.int64) for u, p in met.groupby("user")["place"]}
+        nothing, rows = np.zeros(0, np.int64), []
+
+        def found() -> pd.DataFrame:
+            at = np.concatenate([r[1] for r in rows])
+            return pd.DataFrame({"device_id": np.repeat([r[0] for r in rows], [len(r[1]) for r in rows]), "info_id": index.ids[at],
+                                 "similarity": np.concatenate([r[2] for r in rows]), "publish_us": index.times[at]})
+
+        for user, tags, weights in zip(users["device_id"], users["tag_ids"], users["weights"]):
+            rows.append((user, *index.best(tags.astype(np.int64), weights.astype(np.float64), met.get(user, nothing), n)))
+            if len(rows) == 1000:
+                yield found()
+                rows = []
+        if rows:
+            yield found()
 
     return run
 
@@ -224,7 +290,8 @@ def recommend_similar(profiles: DataFrame, active: DataFrame, items: DataFrame,
     and ``ITEM_BLOCK``. Each pair of blocks is one partition and is scored by one task, which keeps
     the best ``n`` items of a user; the winners of several item blocks are ranked again. What was
     seen goes to the one block pair it concerns. So no frequent tag and no long item list makes
-    pairs that have to be shuffled, nothing is collected, and no user or item is left out.
+    pairs that have to be shuffled, nothing is collected, and no user or item is left out. Inside a
+    block, :class:`TagIndex` scores the items that a user's tags lead to until no other can win.
     """
     spark = profiles.sparkSession
     latest = recent_items(items.where(F.size("tags") > 0), now, hours)

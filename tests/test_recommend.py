@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -58,6 +59,46 @@ def test_similar_items_match_brute_force(world, monkeypatch, item_block, user_bl
     assert lists == brute(users, items, seen, 7)
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_early_termination_is_exact(seed):
+    """Every user's best items as by scoring all of them: ties, negative weights, tags given twice."""
+    r = np.random.default_rng(seed)
+    m, n = 400, 10
+    tags = [r.integers(0, 15, r.integers(1, 5)) for _ in range(m)]
+    weights = [np.round(r.choice([-1, 1], len(t), p=[0.1, 0.9]) * r.integers(1, 6, len(t)), 1).astype(float) for t in tags]
+    ids, times = r.permutation(m).astype(np.int64), r.integers(0, 50, m)
+    index = recommend.TagIndex(ids, times, tags, weights)
+    for _ in range(60):
+        mine, liking = r.integers(0, 18, r.integers(1, 8)), np.round(r.normal(1, 1, 8), 1)
+        liking = liking[:len(mine)]
+        seen = r.choice(m, r.integers(0, 100), replace=False)
+        got, sims = index.best(mine, liking, seen, n)
+        hidden, scores = set(index.ids[seen]), []
+        for i in range(m):
+            dot = sum(w * x for t, w in zip(mine, liking) for u, x in zip(tags[i], weights[i]) if t == u)
+            size = math.sqrt((liking ** 2).sum()) * math.sqrt((weights[i] ** 2).sum())
+            if dot > 1e-12 and ids[i] not in hidden:
+                scores.append((-round(dot / size, 12), -times[i], -ids[i]))
+        want = sorted(scores)[:n]
+        assert index.ids[got].tolist() == [-i for _, _, i in want]
+        assert np.allclose(sims, [-s for s, _, _ in want], atol=1e-11)
+
+
+def test_few_items_are_scored():
+    """Twenty thousand items of five tags out of two thousand, users of fifty tags: what is scored
+    is a small part of users times items."""
+    r = np.random.default_rng(1)
+    m, users = 20_000, 40
+    popular = lambda k: np.unique((2000 * r.random(k) ** 2).astype(np.int64))
+    tags = [popular(5) for _ in range(m)]
+    index = recommend.TagIndex(np.arange(m), np.zeros(m, np.int64), tags, [r.random(len(t)) + 0.1 for t in tags])
+    for _ in range(users):
+        mine = popular(50)
+        index.best(mine, r.random(len(mine)) ** 4, np.zeros(0, np.int64), 100)
+    assert index.scored < 0.2 * users * m
+    print("scored", index.scored / (users * m))
+
+
 def test_block_counts():
     assert recommend._blocks(0, 0, 8) == (1, 1)
     assert recommend._blocks(10_000, 100, 8) == (8, 1) and recommend._blocks(900, 100, 8) == (1, 1)
