@@ -9,6 +9,7 @@ from tallyline.functions import clean, dates, packed
 from tallyline.operators import content, dims, ranking, recommend, similar
 from tallyline.plans import daily
 from tallyline.session import scratch
+from tallyline.sinks import bucketed
 from tallyline.sinks import tables as sinks
 from tallyline.sources.streams import parse_messages
 from tallyline.streaming.channel_counts import start_channel_counts, stream_channel_counts
@@ -742,6 +743,30 @@ def replace_into(v):
     return sinks.replace_into(*_state_tables(v), ["id"])
 
 
+def _bucketed_steps(v, *steps):
+    """A table kept by buckets of its id through key merges, each with a part of the new rows."""
+    path = scratch(v.spark, "keyed")
+    current, new = _state_tables(v)
+    table = bucketed.update_bucketed(v.spark, path, current, lambda stored, rows, co_located=False: rows, ["id"], 8)
+    for step in steps:
+        table = bucketed.update_bucketed(v.spark, path, new, step, ["id"], 8)
+    return table
+
+
+@query("upsert_bucketed", f"""c AS ({_CUR}), n AS ({_NEW})
+SELECT id, coalesce(n.a, c.a) AS a, coalesce(c.b, n.b) AS b FROM c FULL JOIN n USING (id)""", log=False)
+def upsert_bucketed(v):
+    """New keys first, then the values of known ones."""
+    return _bucketed_steps(v, lambda stored, rows, co_located: sinks.insert_ignore(stored, rows, ["id"]),
+                           lambda stored, rows, co_located: sinks.upsert(stored, rows, ["id"], ["a"]))
+
+
+@query("replace_into_bucketed", f"""c AS ({_CUR}), n AS ({_NEW})
+SELECT * FROM n UNION ALL SELECT * FROM c WHERE id NOT IN (SELECT id FROM n)""", log=False)
+def replace_into_bucketed(v):
+    return _bucketed_steps(v, lambda stored, rows, co_located: sinks.replace_into(stored, rows, ["id"]))
+
+
 @query("calendar_columns", f"""
 d AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS d FROM lineitem)
 SELECT {day_int('d')} AS id, year(d) AS the_year, CASE WHEN month(d) <= 6 THEN 1 ELSE 2 END AS half_year, quarter(d) AS the_quarter,

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from tallyline.catalog.registry import day_int, query, ts_text
 from tallyline.operators import activity, merge
 from tallyline.operators.fold import Policy
+from tallyline.session import scratch
+from tallyline.sinks import bucketed
 
 _FIRST_LAST = """f AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS a,
   row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS z FROM log),
@@ -43,6 +45,32 @@ def merge_clients(v):
     return merge.merge_clients(stored, v.clients.where("create_time >= '2024-01-16'"))
 
 
+def _in_buckets(v, runs, step, keys):
+    """A state table kept by buckets through several runs."""
+    path = scratch(v.spark, "state")
+    for log in runs:
+        table = bucketed.update_bucketed(v.spark, path, log, step, keys, 8)
+    return table
+
+
+@query("merge_new_users_bucketed", NEW_USERS_SQL)
+def merge_new_users_bucketed(v):
+    """Three logs, of which the last is an old one that comes again."""
+    log = v.visit_ad
+    runs = [log.where("create_time < '2024-01-16'"), log.where("create_time >= '2024-01-11'"), log.where("create_time < '2024-01-03'")]
+    return _in_buckets(v, runs, merge.merge_new_users, ["aid"])
+
+
+@query("merge_clients_bucketed", _CLIENTS + f"""
+SELECT uid AS udid, event_type AS app_key, channel AS clnt, last_version AS version, version AS init_version,
+  's' || last_k AS sdkver, 's' || k AS init_sdkver, k % 6 AS app_path, {ts_text('ts')} AS create_time,
+  {ts_text('last_ts')} AS update_time, {day_int('ts')} AS create_date FROM b""")
+def merge_clients_bucketed(v):
+    """A table with a key of two columns; the late half comes first."""
+    runs = [v.clients.where("create_time >= '2024-01-16'"), v.clients.where("create_time < '2024-01-16'")]
+    return _in_buckets(v, runs, merge.merge_clients, ["udid", "app_key"])
+
+
 @query("client_flags", _CLIENTS + f"""
 SELECT uid AS udid, event_type AS app_key, last_version AS version, version AS init_version,
   CASE WHEN last_version <> version THEN 1 ELSE 0 END AS is_upgrade,
@@ -77,7 +105,13 @@ def merge_devices_commutative(v):
     return merge.merge_devices(late, v.devices.where("create_time < '2024-01-10'"))
 
 
-@query("merge_devices_sdk", _FIRST_LAST + f""",
+@query("merge_devices_bucketed", _DEVICE_SQL)
+def merge_devices_bucketed(v):
+    runs = [v.devices.where("create_time >= '2024-01-10'"), v.devices.where("create_time < '2024-01-10'")]
+    return _in_buckets(v, runs, merge.merge_devices, ["udid"])
+
+
+_SDK_SQL = _FIRST_LAST + f""",
 n AS (SELECT user_id, max(CASE WHEN k % 5 = 0 THEN '4G' WHEN k % 5 = 1 THEN '2G' WHEN k % 5 = 2 THEN '1WIFI'
         ELSE '0Unknown' END) AS net, max(CASE WHEN k = 7 THEN 1 ELSE 0 END) AS vpn,
         arg_min(k, ts) FILTER (k % 4 >= 2) AS imsi_k, arg_min(k, ts) FILTER (k % 2 = 0) AS mac_k,
@@ -87,13 +121,24 @@ SELECT b.uid AS uuid, 'd' || b.k AS device_id, b.channel AS customer_id,
   '4600' || imsi_k AS imsi, 'mac' || mac_k AS wifi_mac, '139' || phone_k AS phone_no,
   coalesce(CASE WHEN length('4600' || imsi_k) >= 5 THEN CAST(substr('4600' || imsi_k, 1, 5) AS INTEGER) END, 0)
     AS isp_code, {ts_text('b.ts')} AS create_time, {ts_text('b.last_ts')} AS update_time
-FROM b JOIN n ON b.user_id = n.user_id""")
-def merge_devices_sdk(v):
+FROM b JOIN n ON b.user_id = n.user_id"""
+_SDK_COLUMNS = ["uuid", "device_id", "customer_id", "network", "have_vpn", "imsi", "wifi_mac", "phone_no", "isp_code", "create_time", "update_time"]
+
+
+def _sdk_halves(v):
     rows = v.sdk_devices.drop("city", "os_version", "rom_size")
-    stored = merge.merge_devices_sdk(None, rows.where("create_time < '2024-01-16'"))
-    merged = merge.merge_devices_sdk(stored, rows.where("create_time >= '2024-01-16'"))
-    return merged.select("uuid", "device_id", "customer_id", "network", "have_vpn", "imsi", "wifi_mac",
-                         "phone_no", "isp_code", "create_time", "update_time")
+    return rows.where("create_time < '2024-01-16'"), rows.where("create_time >= '2024-01-16'")
+
+
+@query("merge_devices_sdk", _SDK_SQL)
+def merge_devices_sdk(v):
+    early, late = _sdk_halves(v)
+    return merge.merge_devices_sdk(merge.merge_devices_sdk(None, early), late).select(_SDK_COLUMNS)
+
+
+@query("merge_devices_sdk_bucketed", _SDK_SQL)
+def merge_devices_sdk_bucketed(v):
+    return _in_buckets(v, _sdk_halves(v), merge.merge_devices_sdk, ["uuid"]).select(_SDK_COLUMNS)
 
 
 RICH_POLICY = Policy(first=("customer_id", "create_time"), last=("device_id", "update_time"),
@@ -101,7 +146,7 @@ RICH_POLICY = Policy(first=("customer_id", "create_time"), last=("device_id", "u
                      first_known=("imsi", "wifi_mac", "phone_no", "city", "rom_size"))
 
 
-@query("merge_devices_rich", _FIRST_LAST + f""",
+_RICH_SQL = _FIRST_LAST + f""",
 n AS (SELECT user_id, max(CASE WHEN k % 5 = 0 THEN '4G' WHEN k % 5 = 1 THEN '2G' WHEN k % 5 = 2 THEN '1WIFI'
         ELSE '0Unknown' END) AS net, max(CASE WHEN k = 7 THEN 1 ELSE 0 END) AS vpn,
         arg_min(k, ts) FILTER (k % 4 >= 2) AS imsi_k, arg_min(k, ts) FILTER (k % 2 = 0) AS mac_k,
@@ -112,7 +157,19 @@ SELECT b.uid AS uuid, b.channel AS customer_id, 'd' || b.last_k AS device_id,
   CASE WHEN net < '2' THEN substr(net, 2) ELSE net END AS network, vpn AS have_vpn,
   '4600' || imsi_k AS imsi, 'mac' || mac_k AS wifi_mac, '139' || phone_k AS phone_no, 'c' || city_k AS city,
   'os' || os_k AS os_version, CAST(rom_k - 20 AS BIGINT) AS rom_size, {ts_text('b.ts')} AS create_time,
-  {ts_text('b.last_ts')} AS update_time FROM b JOIN n ON b.user_id = n.user_id""")
+  {ts_text('b.last_ts')} AS update_time FROM b JOIN n ON b.user_id = n.user_id"""
+
+
+@query("merge_devices_rich_bucketed", _RICH_SQL)
+def merge_devices_rich_bucketed(v):
+    rows = v.sdk_devices.drop("isp_code")
+
+    def step(stored, log, co_located=False):
+        return merge.merge_devices_rich(stored, log, ["uuid"], RICH_POLICY, network="network", co_located=co_located)
+    return _in_buckets(v, [rows.where("create_time >= '2024-01-16'"), rows.where("create_time < '2024-01-16'")], step, ["uuid"])
+
+
+@query("merge_devices_rich", _RICH_SQL)
 def merge_devices_rich(v):
     rows = v.sdk_devices.drop("isp_code")
     stored = merge.merge_devices_rich(None, rows.where("create_time < '2024-01-16'"), ["uuid"], RICH_POLICY, network="network")

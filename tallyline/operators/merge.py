@@ -10,36 +10,45 @@ from pyspark.sql import functions as F
 from tallyline.functions.clean import (clip_text, has_text, isp_code, normalize_flags, rank_network,
                                        require_non_empty, unrank_network)
 from tallyline.functions.dates import date_int, day_gap
-from tallyline.operators.fold import Policy, fold, with_source
+from tallyline.operators.fold import Policy, fold, fold_into, with_source
 from tallyline.operators.skew import lookup
 
 NEW_USER = Policy(first=("channel_code", "init_area", "init_ip", "create_time"),
                   last=("area", "ip", "update_time"))
 
 
-def merge_new_users(current: DataFrame | None, log: DataFrame) -> DataFrame:
+def _merged(current: DataFrame | None, log: DataFrame, keys: Sequence[str], policy: Policy, co_located: bool) -> DataFrame:
+    if co_located and current is not None:
+        return fold_into(current, log, keys, policy)
+    return fold(with_source(current, log), list(keys), policy)
+
+
+def merge_new_users(current: DataFrame | None, log: DataFrame, co_located: bool = False) -> DataFrame:
     """One row per ``aid``: first channel, area, ip and time beside the latest area, ip and time.
 
     ``log`` holds aid, channel_code, area, ip, create_time; rows without aid, channel or time are
-    dropped. Merging a log twice changes nothing, and the order of logs does not matter.
+    dropped. Merging a log twice changes nothing, and the order of logs does not matter. In this and
+    the following merges ``co_located`` says that ``current`` is stored by buckets of the key
+    (``sinks.bucketed``) and shall be merged where it lies.
     """
     visits = log.select(
         "aid", "channel_code", F.col("area").alias("init_area"), "area",
         F.col("ip").alias("init_ip"), "ip", F.col("create_time").try_cast("timestamp").alias("create_time"),
         F.col("create_time").try_cast("timestamp").alias("update_time"))
-    rows = with_source(current, visits).dropna(subset=["aid", "channel_code", "create_time"])
-    return fold(rows, ["aid"], NEW_USER).withColumn("create_date", date_int("create_time"))
+    needed = ["aid", "channel_code", "create_time"]
+    visits, current = visits.dropna(subset=needed), None if current is None else current.dropna(subset=needed)
+    return _merged(current, visits, ["aid"], NEW_USER, co_located).withColumn("create_date", date_int("create_time"))
 
 
 def merge_clients(current: DataFrame | None, log: DataFrame,
                   keys: Sequence[str] = ("udid", "app_key"),
-                  last: Sequence[str] = ("version", "sdkver", "update_time")) -> DataFrame:
+                  last: Sequence[str] = ("version", "sdkver", "update_time"), co_located: bool = False) -> DataFrame:
     """One row per device and app: the latest ``last`` columns, the first of everything else. Rows
     without text in a key are no client's and are dropped."""
     log = require_non_empty(log, keys)
     latest = tuple(c for c in last if c in log.columns)
     first = tuple(c for c in log.columns if c not in keys and c not in latest)
-    return fold(with_source(current, log), list(keys), Policy(first=first, last=latest))
+    return _merged(current, log, keys, Policy(first=first, last=latest), co_located)
 
 
 def client_flags(df: DataFrame, as_of: str) -> DataFrame:
@@ -54,37 +63,38 @@ def client_flags(df: DataFrame, as_of: str) -> DataFrame:
 
 def merge_devices(current: DataFrame | None, log: DataFrame, key: str = "udid",
                   style: str = "fad", known: Sequence[str] = ("imsi",),
-                  flags: Sequence[str] = ()) -> DataFrame:
+                  flags: Sequence[str] = (), co_located: bool = False) -> DataFrame:
     """One row per device: first usable ``known`` values, best network, highest ``flags``, latest
     update time, the first of everything else.
 
     Rows without text in the key are no device's and are dropped. ``min``/``max`` aggregates combine
     before the shuffle, so this is at once the plain fold and its pairwise, order-free variant.
     """
-    rows = with_source(current, require_non_empty(log, [key])).withColumn("network", rank_network("network", style))
+    log = require_non_empty(log, [key]).withColumn("network", rank_network("network", style))
+    current = None if current is None else current.withColumn("network", rank_network("network", style))
     named = {key, "network", "update_time", *known, *flags}
     first = tuple(c for c in log.columns if c not in named)
     policy = Policy(first=first, last=("update_time",), first_known=tuple(known),
                     highest=("network", *flags), unknown=("null",))
-    return fold(rows, [key], policy).withColumn("network", unrank_network("network"))
+    return _merged(current, log, [key], policy, co_located).withColumn("network", unrank_network("network"))
 
 
-def merge_devices_sdk(current: DataFrame | None, log: DataFrame) -> DataFrame:
+def merge_devices_sdk(current: DataFrame | None, log: DataFrame, co_located: bool = False) -> DataFrame:
     """Device fold of the sdk logs: sticky vpn flag, first usable imsi, mac and phone number, and
     the operator code of the surviving imsi (the stored code where the imsi gives none)."""
     merged = merge_devices(current, log, key="uuid", style="sdk",
-                           known=("imsi", "wifi_mac", "phone_no"), flags=("have_vpn",))
+                           known=("imsi", "wifi_mac", "phone_no"), flags=("have_vpn",), co_located=co_located)
     return merged.withColumn("isp_code", F.coalesce(isp_code("imsi"), F.col("isp_code"), F.lit(0)))
 
 
 def merge_devices_rich(current: DataFrame | None, log: DataFrame, keys: Sequence[str],
                        policy: Policy, network: str | None = None,
-                       style: str = "sdk") -> DataFrame:
+                       style: str = "sdk", co_located: bool = False) -> DataFrame:
     """Device fold with a policy per column; ``network`` names a text column folded by rank."""
-    rows = with_source(current, log)
     if network:
-        rows = rows.withColumn(network, rank_network(network, style))
-    merged = fold(rows, list(keys), policy)
+        rank = lambda df: df.withColumn(network, rank_network(network, style))
+        log, current = rank(log), None if current is None else rank(current)
+    merged = _merged(current, log, keys, policy, co_located)
     return merged.withColumn(network, unrank_network(network)) if network else merged
 
 
