@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from tallyline.catalog.registry import day_int, query, ts_text
 from tallyline.catalog.state import ACTIVE_DAYS_SQL, BASE_DEVICES_SQL, DAILY_ACTIVE_SQL, NEW_USERS_SQL
-from tallyline.operators import activity, devices, dims, funnel, merge, retention, rollup, scoring
+from tallyline.operators import activity, bitmaps, devices, dims, funnel, merge, retention, rollup, scoring
 from tallyline.plans import daily
+from tallyline.session import scratch
+from tallyline.sinks import bucketed
 
 
 def _active(v):
@@ -22,18 +24,58 @@ def retention_by_day(v):
     return retention.retention_by_day(_active(v), v.base_devices)
 
 
-@query("retention_windows", ACTIVE_DAYS_SQL + f""",
+_WINDOWS_SQL = ACTIVE_DAYS_SQL + f""",
 w AS (SELECT d.channel AS c, d.v AS v, os, born, a.uid, date_diff('day', CAST(born AS DATE), a.d) AS g, a.d
       FROM a JOIN d USING (uid) WHERE born < TIMESTAMP '2024-01-04')
 SELECT c AS customer_id, v AS first_apk_version, os AS os_type, {day_int('born')} AS create_date,
   count(DISTINCT uid) FILTER (g = 0) AS new_user_count, count(DISTINCT uid) FILTER (g = 1) AS day_1_count,
   count(DISTINCT uid) FILTER (g > 0 AND g <= 7) AS day_7_count, count(DISTINCT uid) FILTER (g > 0 AND g <= 14) AS day_14_count,
   count(DISTINCT uid) FILTER (g > 0 AND g <= 30) AS day_30_count, count(DISTINCT uid) FILTER (g > 0 AND g <= 60) AS day_60_count
-FROM w GROUP BY c, v, os, {day_int('born')}""")
+FROM w GROUP BY c, v, os, {day_int('born')}"""
+
+
+@query("retention_windows", _WINDOWS_SQL)
 def retention_windows(v):
     return retention.retention_windows(_active(v), "2024-03-03")
 
 
+_COHORT = ["customer_id", "first_apk_version", "os_type", "create_date"]
+
+
+def _daily_bitmaps(v, rows, keys, splits, day):
+    """Bitmaps as they come in: every run numbers its new users, writes the bitmaps of its days, and
+    reads none of the days before."""
+    users, path = scratch(v.spark, "numbers"), scratch(v.spark, "bitmaps")
+    for low, high in zip(splits, splits[1:]):
+        run = rows.where((F.col(day) >= low) & (F.col(day) < high))
+        numbers = bitmaps.extend_dictionary(v.spark, users, run, "uuid", ["customer_id"])
+        bitmaps.user_bitmaps(run, numbers, keys, "uuid").write.mode("append").parquet(path)
+    return v.spark.read.parquet(path)
+
+
+@query("retention_windows_bitmap", _WINDOWS_SQL)
+def retention_windows_bitmap(v):
+    """Days in four runs; users that come later are numbered on."""
+    found = _daily_bitmaps(v, _active(v), [*_COHORT, "date_diff"], [20240101, 20240105, 20240112, 20240125, 20250101], "active_date")
+    return bitmaps.retention_from_bitmaps(found, "2024-03-03", (1, 7, 14, 30, 60), _COHORT)
+
+
+@query("active_windows_bitmap", f"""
+a AS (SELECT channel, uid, CAST(ts AS DATE) AS d FROM log),
+r AS (SELECT unnest([DATE '2024-01-08', DATE '2024-01-20', DATE '2024-01-31']) AS until)
+SELECT strftime(until, '%Y-%m-%d') AS until, channel AS customer_id, {', '.join(
+    f"count(DISTINCT uid) FILTER (d > until - {n} AND d <= until) AS days_{n}" for n in (1, 7, 14, 30, 60))} FROM a, r GROUP BY ALL""")
+def active_windows_bitmap(v):
+    """Users of the last 1 to 60 days per channel at three dates, from one set of daily bitmaps."""
+    rows = v.log.select(F.col("uid").alias("uuid"), F.col("channel").alias("customer_id"), F.date_format("ts", "yyyyMMdd").cast("int").alias("day"))
+    found = _daily_bitmaps(v, rows, ["customer_id", "day"], [20240101, 20240110, 20240121, 20250101], "day")
+    found = found.withColumn("day", F.to_date(F.col("day").cast("string"), "yyyyMMdd"))
+    dates = F.explode(F.array(*[F.lit(d).cast("date") for d in ("2024-01-08", "2024-01-20", "2024-01-31")]))
+    at = found.withColumn("until", dates)
+    gap = F.datediff("until", "day")
+    return bitmaps.distinct_from_bitmaps(at, ["until", "customer_id"], {f"days_{n}": (gap >= 0) & (gap < n) for n in (1, 7, 14, 30, 60)})
+
+
 def _alarm_active(v):
     """fact_active of the alarm jobs: one row per user and day with install and visit dates."""
     first = v.base_devices.select("uuid", "customer_id", F.to_date("create_time").alias("install_date"))
@@ -776,6 +818,38 @@ def client_calendar(v):
 
 
 # Two names for one set, a set in another order and a column named twice.
+def _days_with_redone_ones(rows, col, days):
+    """All days but the last three at once as the stored table, then those day by day: one with
+    half of its rows first, one with rows that belong to nobody, and both done again."""
+    wrong = rows.where((F.col(col) == days[0]) & F.col("aid").endswith("1"))
+    other = rows.where(F.col(col) == days[1]).withColumn("area", F.lit("wrong"))
+    return [(days[0], wrong), (days[1], other), (days[2], rows), (days[1], rows), (days[0], rows), (days[0], rows)]
+
+
+def _through_days(v, rows, rules, col, days):
+    path = scratch(v.spark, "rollup")
+    first = rows.where(~F.col(col).isin(days))
+    bucketed.write_bucketed(rollup.apply_delta(None, rollup.rollup_delta(rollup.finest_counts(first, rules, "aid"), None, rules)), path, ["group"], 8)
+    for day, some in _days_with_redone_ones(rows, col, days):
+        def step(stored, new, co_located=False):
+            return rollup.refresh_day(stored, new, rules, "aid", col, day, co_located)
+        table = bucketed.update_bucketed(v.spark, path, some, step, ["group"], 8)
+    return rollup.stored_counts(table)
+
+
+@query("rollup_new_refreshed", _as_cte(NEW_USERS_SQL, "nu") + _sets_sql("nu", daily.NEW_RULES, ["create_date", "channel_code", "area"]))
+def rollup_new_refreshed(v):
+    """A stored roll-up brought up to date by day, with days that are done again."""
+    return _through_days(v, merge.merge_new_users(None, v.visit_ad), daily.NEW_RULES, "create_date", [20240102, 20240103, 20240104])
+
+
+@query("rollup_active_refreshed", _as_cte(DAILY_ACTIVE_SQL, "da") + _sets_sql(
+    "da", daily.ACTIVE_RULES, ["active_date", "create_date", "date_diff", "channel_code", "area"]))
+def rollup_active_refreshed(v):
+    rows = activity.daily_active(v.visit_ad, merge.merge_new_users(None, v.visit_ad))
+    return _through_days(v, rows, daily.ACTIVE_RULES, "active_date", [20240128, 20240129, 20240130])
+
+
 _RULE_TEXT = """
 l_1 channel_code
 l_2 area
