@@ -8,11 +8,13 @@ from tallyline.catalog.registry import day_int, query, ts_text
 from tallyline.catalog.state import NEW_USERS_SQL
 from tallyline.operators import merge
 from tallyline.session import scratch
+from tallyline.sinks import ledger
 from tallyline.sinks import tables as sinks
-from tallyline.sources import logs
+from tallyline.sources import checked, logs
 from tallyline.sources import tables as sources
 from tallyline.sources.streams import read_file_messages
 from tallyline.streaming import new_users
+from tallyline.streaming.channel_counts import read_stored_counts, start_stored_counts
 
 _VISIT_SQL = f"""SELECT uid AS udid, event_type AS apppkg, channel AS clnt, version AS appversion, {ts_text('ts')} AS createtime FROM log"""
 
@@ -53,6 +55,70 @@ def split_by_event_date(v):
     return rows.groupBy("event_date").agg(F.count("*").alias("n"), F.count_distinct("udid").alias("users"))
 
 
+@query("rehome_files", f"""SELECT strftime(ts, '%Y-%m-%d') AS event_date, channel AS clnt, count(*) AS n, count(DISTINCT uid) AS users FROM log
+GROUP BY ALL""")
+def rehome_files(v):
+    """Files are delivered by halves and taken after each delivery; the last run finds nothing new."""
+    root, rows = scratch(v.spark, "rehome"), _visits(v)
+    for test in ("apppkg IN ('view', 'click')", "apppkg NOT IN ('view', 'click')", "false"):
+        rows.where(test).write.mode("append").json(f"{root}/in", timestampFormat=sinks.TIMESTAMP_TEXT)
+        for _ in range(2):
+            ledger.rehome_files(v.spark, f"{root}/in/*.json", f"{root}/out", _VISIT_SCHEMA)
+    found = ledger.read_rehomed(v.spark, f"{root}/out", _VISIT_SCHEMA)
+    return found.groupBy("event_date", "clnt").agg(F.count("*").alias("n"), F.count_distinct("udid").alias("users"))
+
+
+def _damaged(v):
+    """JSON lines of the log, some cut short, some with a text for a number, some without a user, some blank."""
+    n, k = F.col("event_id"), F.col("k")
+    line = F.to_json(F.struct(F.when(n % 10 != 3, F.col("uid")).alias("udid"), k.alias("k"), F.col("channel").alias("clnt")))
+    odd = F.to_json(F.struct(F.col("uid").alias("udid"), F.lit("many").alias("k")))
+    line = (F.when(n % 10 == 0, F.substring(line, 1, 12)).when(n % 10 == 1, odd).when(n % 10 == 2, "  ").otherwise(line))
+    path = scratch(v.spark, "damaged")
+    v.log.select(line.alias("value")).write.text(path)
+    return checked.read_checked(v.spark, path, "udid string, k int, clnt string", scratch(v.spark, "checked"), required=["udid"])
+
+
+@query("checked_good_rows", "SELECT uid AS udid, k, channel AS clnt FROM log WHERE event_id % 10 > 3")
+def checked_good_rows(v):
+    return _damaged(v).good
+
+
+@query("checked_bad_lines", """
+SELECT CASE event_id % 10 WHEN 3 THEN 'no udid' ELSE 'malformed' END AS reason, CASE event_id % 10
+  WHEN 0 THEN substr('{"udid":"' || uid || '","k":' || k || ',"clnt":"' || channel || '"}', 1, 12)
+  WHEN 1 THEN '{"udid":"' || uid || '","k":"many"}' ELSE '{"k":' || k || ',"clnt":"' || channel || '"}' END AS line
+FROM log WHERE event_id % 10 IN (0, 1, 3)""")
+def checked_bad_lines(v):
+    return _damaged(v).bad.select("reason", "line")
+
+
+@query("checked_counts", """SELECT count(*) AS lines, count(*) FILTER (event_id % 10 > 3) AS good, count(*) FILTER (event_id % 10 IN (0, 1, 3)) AS bad,
+  count(*) FILTER (event_id % 10 = 2) AS blank FROM log""")
+def checked_counts(v):
+    return _damaged(v).counts.groupBy().agg(*[F.sum(c).alias(c) for c in ("lines", "good", "bad", "blank")])
+
+
+@query("checked_events", "SELECT uid AS deviceid, k FROM log WHERE event_id % 5 > 0")
+def checked_events(v):
+    """Delimited lines of which every fifth has a column too few."""
+    path = scratch(v.spark, "shorttsv")
+    line = F.concat_ws("\t", "uid", F.col("k").cast("string"), "event_type")
+    v.log.select(F.when(F.col("event_id") % 5 == 0, F.col("uid")).otherwise(line).alias("value")).write.text(path)
+    return checked.read_checked(v.spark, path, "deviceid string, k int, kind string", scratch(v.spark, "checked"), "csv", sep="\t").good.drop("kind")
+
+
+@query("api_rejects", """SELECT CASE WHEN k % 5 = 0 THEN 'malformed' WHEN k % 5 = 1 THEN 'no method' ELSE 'unknown method' END AS reason, count(*) AS n
+FROM log WHERE k % 5 < 3 GROUP BY ALL""")
+def api_rejects(v):
+    k = F.col("k")
+    method = F.when(k % 5 == 2, "app.api.other.list").when(k % 5 > 2, "app.api.information.list")
+    line = F.to_json(F.struct(method.alias("Method"), F.col("uid").alias("UUID")))
+    found = checked.api_rejects(v.log.select(F.when(k % 5 == 0, F.concat(line, F.lit("}{"))).otherwise(line).alias("value")).withColumn(
+        "value", F.when(F.col("value").endswith("}{"), F.substring("value", 1, 8)).otherwise(F.col("value"))))
+    return found.groupBy("reason").agg(F.count("*").alias("n"))
+
+
 @query("read_delimited_events", "SELECT uid AS deviceid, event_type AS eventid, CAST(k AS VARCHAR) AS acc FROM log")
 def read_delimited_events(v):
     path = scratch(v.spark, "tsv")
@@ -177,3 +243,29 @@ def stream_new_users(v):
         if i == 0:
             new_users.compact_new_users(v.spark, f"{root}/out", "20240130")
     return new_users.read_new_users(v.spark, f"{root}/out")
+
+
+@query("stream_new_users_levels", NEW_USERS_SQL)
+def stream_new_users_levels(v):
+    """Many small batches, merged by levels of four while they come."""
+    root, log = scratch(v.spark, "levels"), v.visit_ad
+    message = F.to_json(F.struct("aid", "channel_code", "area", "ip", F.date_format("create_time", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("create_time")))
+    log.select(message.alias("value")).repartition(10).write.text(f"{root}/in")
+    new_users.stream_new_users(read_file_messages(v.spark, f"{root}/in", 1), f"{root}/out", f"{root}/checkpoint", fan=4).awaitTermination()
+    return new_users.read_new_users(v.spark, f"{root}/out")
+
+
+@query("stream_channel_counts_restarted", f"""
+w AS (SELECT channel, unnest([0, 1]) AS back, ts FROM log),
+x AS (SELECT channel, time_bucket(INTERVAL 5 MINUTE, ts) - back * INTERVAL 5 MINUTE AS s FROM w)
+SELECT channel AS channel_code, {ts_text('s')} AS window_start, {ts_text('s + INTERVAL 10 MINUTE')} AS window_end, count(*) AS "count" FROM x GROUP BY channel, s""")
+def stream_channel_counts_restarted(v):
+    """Three deliveries in time order, cut inside windows; the query ends after each and goes on from its checkpoint."""
+    root = scratch(v.spark, "restarted")
+    message = F.to_json(F.struct(F.col("uid").alias("aid"), F.col("channel").alias("channel_code"),
+                                 F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("create_time")))
+    cuts = ["2000-01-01", "2024-01-09 10:03:00", "2024-01-20 00:06:00", "2100-01-01"]
+    for low, high in zip(cuts, cuts[1:]):
+        v.log.where((F.col("ts") >= low) & (F.col("ts") < high)).select(message.alias("value")).write.mode("append").text(f"{root}/in")
+        start_stored_counts(read_file_messages(v.spark, f"{root}/in"), f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return read_stored_counts(v.spark, f"{root}/out")

@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from datetime import datetime, timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.operators.skew import top_per_key
@@ -87,12 +87,23 @@ def overwrite_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def replace_one(df: DataFrame, path: str, col: str) -> int:
+    """Write the partitions that ``df`` fills, and return how many rows it had."""
+    seen = Observation()
+    _write_partitions(df.observe(seen, F.count("*").alias("n")), path, col)
+    return int(seen.get["n"])
+
+
 def replace_partition(df: DataFrame, path: str, stat_date: int, keep_days: int | None = None,
                       col: str = "stat_date") -> None:
-    """Replace the partition of ``stat_date`` (yyyyMMdd) and drop those ``keep_days`` or more older."""
+    """Replace the partition of ``stat_date`` (yyyyMMdd) and drop those ``keep_days`` or more older.
+
+    The day is swapped when the write commits, so that a failed run leaves the old one; a day without
+    rows is removed after it.
+    """
     spark = df.sparkSession
-    target = f"{path}/{col}={stat_date}"
-    df.drop(col).write.mode("overwrite").parquet(target)
+    if not replace_one(df.withColumn(col, F.lit(stat_date)), path, col):
+        files.delete(spark, f"{path}/{col}={stat_date}")
     if keep_days is None:
         return
     oldest = datetime.strptime(str(stat_date), "%Y%m%d") - timedelta(days=keep_days)
@@ -160,7 +171,9 @@ def publish_channels(df: DataFrame, targets: Mapping[str, Mapping[str, Iterable[
 
 
 def split_by_event_date(df: DataFrame, path: str, time: str = "createtime", fmt: str = "json") -> None:
-    """Append log rows to the directory of their own event date.
+    """Append log rows to the directory of their own event date. A second run appends again; for
+    files that may be delivered twice there is ``sinks.ledger``. Rows without a time go to the
+    directory of a null date.
 
     Rows are balanced over files by date and size, so one hot day is written by many tasks and a
     late straggler day by one.
