@@ -26,10 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.llm.common import sample_rows
-
 SAMPLE = 300             # pages that the labeller is trained on
-SAMPLE_BYTES = 64 << 10  # of a page in the sample at most
+LEARNT = 64 << 10        # characters of a sampled page that are learnt from: as many at its start as at its end
+DEEPEST = 128            # open elements; one that is opened inside them takes the place of the last
 PATH, WORDS = 1024, 1024  # hash slots
 PATH_SIZE, WORD_SIZE, HIDDEN = 16, 8, 20
 STEPS, BATCH, LENGTH = 260, 48, 48
@@ -101,22 +100,25 @@ def _names(tag: str, rest: str) -> list[str]:
     return out
 
 
-def blocks(page: str) -> list[Block]:
-    """The leaf blocks of a page in order, character references decoded and white space made one.
+def blocks(page: str, hints: bool = True) -> list[Block]:
+    """The leaf blocks of a page in order, with the names of their containers if ``hints``, character references decoded and white space made one.
     Scripts, styles, titles and comments hold no text, nor do drawings, frames and objects that were
     closed. Text in the head belongs to the body, as in HTML. Tags that were not closed end with the
     element around them, a paragraph with the next one."""
     out: list[Block] = []
     stack: list[tuple[str, list[str]]] = []
+    opened: dict[str, int] = {}  # how often each tag and each name is open; names in the order of opening
+    named: dict[str, int] = {}
     parts: list[str] = []
-    linked = at = links = 0
+    linked = at = 0
     endless: set[str] = set()  # elements without text that have no end tag from here on
+    close = page.rfind(">") + 1  # no tag begins behind it
 
     def add(text: str) -> None:
         nonlocal linked
         if text:
             parts.append(html.unescape(text) if "&" in text else text)
-            if links:
+            if opened.get("a"):
                 linked += len(text)
 
     def flush() -> None:
@@ -124,18 +126,35 @@ def blocks(page: str) -> list[Block]:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                names = [n for _, own in stack for n in own]
                 last = next((tag for tag, _ in reversed(stack) if tag in BLOCKS), "")
-                path = dict.fromkeys([*names, "leaf " + last])
-                out.append(Block(text, tuple(_slot(n) % PATH for n in path), frozenset(names), linked))
+                out.append(Block(text, tuple(_slot(n) % PATH for n in [*named, "leaf " + last]), frozenset(named) if hints else frozenset(), linked))
             parts.clear()
         linked = 0
 
-    while m := _TOKEN.search(page, at):
+    def push(tag: str, own: list[str]) -> None:
+        if len(stack) >= DEEPEST:
+            pop(DEEPEST - 1)
+        stack.append((tag, own))
+        opened[tag] = opened.get(tag, 0) + 1
+        for n in own:
+            named[n] = named.get(n, 0) + 1
+
+    def pop(depth: int) -> None:
+        while len(stack) > depth:
+            tag, own = stack.pop()
+            opened[tag] -= 1
+            for n in own:
+                named[n] -= 1
+                if not named[n]:
+                    del named[n]
+
+    while m := _TOKEN.search(page, at, close):
         add(page[at:m.start()])
         at = m.end()
         tag = m["tag"] or m["tag2"]
         if tag is None:
+            if m[0].startswith("<!--") and not m[0].endswith("-->"):
+                at = len(page)
             continue
         tag = tag.lower()
         if tag in HIDDEN_TEXT and not (m["end"] or m["end2"]):
@@ -153,21 +172,21 @@ def blocks(page: str) -> list[Block]:
         if block:
             flush()
         if m["end"] or m["end2"]:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
+            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None) if opened.get(tag) else None
             if depth is not None and (block or all(t not in BLOCKS for t, _ in stack[depth:])):
-                del stack[depth:]
+                pop(depth)
         elif tag not in VOID:
             if block:  # a block ends an open paragraph, an item or cell one like it
                 for i in range(len(stack) - 1, -1, -1):
                     open_ = stack[i][0]
                     if open_ == "p" or open_ == tag and tag in ("li", "td", "th", "tr", "dd", "dt", "option"):
-                        del stack[i:]
+                        pop(i)
                         break
                     if open_ in BLOCKS:
                         break
-            stack.append((tag, _names(tag, m["rest"] or m["rest2"] or "")))
-        links = sum(t == "a" for t, _ in stack)
-    add(page[at:])
+            push(tag, _names(tag, m["rest"] or m["rest2"] or ""))
+    rest = page[at:]
+    add(rest[:rest.find("<!--")] if "<!--" in rest else rest)
     flush()
     return out
 
@@ -366,10 +385,21 @@ def _recombined(main: list[str], other: list[str], rng) -> tuple[list[Block], li
     return page, labels
 
 
-def train(pages: list[str], seed: int = 5) -> Labeller:
-    """Learn from html texts. Without any usable page the labeller learns from a few plain words."""
+def learnt(page: str) -> list[Block]:
+    """The blocks of a page that are learnt from: all, or of a long one those that begin and end it."""
+    found = blocks(page)
+    ends = np.cumsum([len(b.text) for b in found])
+    if not found or ends[-1] <= LEARNT:
+        return found
+    first, last = np.searchsorted(ends, LEARNT // 2), np.searchsorted(ends, ends[-1] - LEARNT // 2)
+    kept = [*found[:max(1, first)], *found[max(1, first, last):]]
+    return [Block(b.text[:LEARNT], b.path, b.names, b.linked) for b in kept]
+
+
+def train(sequences: list[list[Block]], seed: int = 5) -> Labeller:
+    """Learn from the blocks of pages. Without any the labeller learns from a few plain words."""
     rng = np.random.default_rng(seed)
-    sequences = [s for s in (blocks(p) for p in pages) if s]
+    sequences = [s for s in sequences if s]
     labels = [[hinted(b.names) for b in s] for s in sequences]
     main = [b.text for s, y in zip(sequences, labels) for b, k in zip(s, y) if k] or ["The text of an article.", "Another paragraph."]
     other = [b.text for s, y in zip(sequences, labels) for b, k in zip(s, y) if not k] or ["Home", "Contact", "Sign in"]
@@ -382,7 +412,7 @@ def train(pages: list[str], seed: int = 5) -> Labeller:
 
 
 def main_text(labeller: Labeller, pages: list[str | None]) -> list[str]:
-    found = [blocks(p) if p else [] for p in pages]
+    found = [blocks(p, hints=False) if p else [] for p in pages]
     chances = labeller.chances(Pages(found))
     out, at = [], 0
     for page in found:
@@ -409,18 +439,46 @@ def _extract(sent, column: int):
     return run
 
 
+_BLOCK = "mark long, place int, text string, path array<int>, names array<string>, linked long"
+
+
+def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for mark, page in zip(batch.column(0).to_pylist(), batch.column(1)):
+            found = learnt(page.as_py())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([mark] * len(found), pa.int64()), pa.array(range(len(found)), pa.int32()), pa.array([b.text for b in found], pa.string()),
+                 pa.array([b.path for b in found], pa.list_(pa.int32())), pa.array([sorted(b.names) for b in found], pa.list_(pa.string())),
+                 pa.array([b.linked for b in found], pa.int64())], names=["mark", "place", "text", "path", "names", "linked"])
+
+
+def sample_blocks(pages: DataFrame, n: int = SAMPLE) -> list[list[Block]]:
+    """The blocks of about ``n`` pages of any size, picked by a hash. Only hashes are ordered, pages
+    are read into blocks by the tasks, and of each at most ``LEARNT`` characters come to the driver."""
+    fit = pages.where(F.octet_length("html") > 0).select(F.xxhash64("html", "page_id", "url").alias("mark"), "html")
+    total = fit.count()
+    marks = fit.select("mark")
+    if total > n:
+        marks = marks.where(F.pmod("mark", F.lit(1 << 30)) < F.lit(int(min(1.0, (n + 3 * n ** 0.5) / total) * (1 << 30))))
+    chosen = [r[0] for r in marks.distinct().orderBy("mark").limit(n).collect()]
+    found: dict[int, dict[int, Block]] = {mark: {} for mark in chosen}
+    for r in fit.where(F.col("mark").isin(chosen)).mapInArrow(_sampled, _BLOCK).collect():
+        found[r.mark][r.place] = Block(r.text, tuple(r.path), frozenset(r.names), r.linked)  # a repeated row once
+    return [[page[k] for k in sorted(page)] for page in found.values()]
+
+
 def extract(pages: DataFrame, labeller: Labeller | None = None) -> DataFrame:
     """``page_id``, ``url``, ``text`` (main blocks joined by \\n) and ``n_chars`` of every row.
 
     A null or empty html, or one without main text, gives an empty text. Rows that repeat an id or
     an html each give a row, alike ones the same text; null ids and urls stay null. An empty table
-    gives an empty result. Other columns are ignored. Without a labeller one is trained on at most
-    ``SAMPLE`` of these pages.
+    gives an empty result. Other columns are ignored. Pages of any length and with any tags left
+    open are read in one pass, nested as deep as ``DEEPEST``. Without a labeller one is trained on
+    at most ``SAMPLE`` of these pages, whatever their size, and ``LEARNT`` characters of each.
     """
     spark = pages.sparkSession
     if labeller is None:
-        fit = pages.where(F.octet_length("html").between(1, SAMPLE_BYTES)).select("html", "page_id", "url")
-        labeller = train([r[0] for r in sample_rows(fit, SAMPLE).select("html").collect()])
+        labeller = train(sample_blocks(pages))
     sent = spark.sparkContext.broadcast(labeller)
     found = pages.select("page_id", "url", "html").mapInArrow(_extract(sent, 2), "page_id long, url string, text string")
     return found.withColumn("n_chars", F.length("text").cast("long"))
