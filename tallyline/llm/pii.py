@@ -15,6 +15,7 @@ not shuffled.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import hmac
 import ipaddress
@@ -53,7 +54,8 @@ _SHORT_IPV6 = (rf"(?:{_GROUP}(?::{_GROUP}){{0,6}})?::(?:(?:{_GROUP}:){{0,5}}(?:{
                rf"|(?:{_GROUP}:){{6}}(?:{_OCTET}\.){{3}}{_OCTET}")
 # In the order of precedence where two overlap.
 FORMS = [
-    ("email", regex.compile(r"[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+")),
+    # A run of letters is entered at its start only, or where the address before it ended.
+    ("email", regex.compile(r"(?:(?<![\p{L}\p{N}._%+-])|\G)[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)++")),
     ("secret", regex.compile(rf"(?i)(?<![a-z])(?:{SECRET_WORDS})[\"']?\s{{0,3}}[:=]\s{{0,3}}[\"']?(?P<it>[A-Za-z0-9+/_.~-]{{8,}}={{0,2}})")),
     ("secret", regex.compile(r"(?<![A-Za-z0-9])(?P<it>(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{30,}|sk-[A-Za-z0-9-]{20,})")),
     ("iban", regex.compile(r"(?a)(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")),
@@ -107,12 +109,15 @@ def find(text: str | None) -> list[tuple[int, int, str, str]]:
     if not text:
         return []
     found: list[tuple[int, int, str, str]] = []
-    taken: list[tuple[int, int]] = []
+    starts: list[int] = []  # of what is taken, in order, and the ends
+    ends: list[int] = []
 
     def take(a: int, b: int, kind: str) -> None:
         form = plain(kind, text[a:b])
-        if form and all(b <= x or a >= y for x, y in taken):
-            taken.append((a, b))
+        at = bisect.bisect_left(starts, b)
+        if form and (at == 0 or ends[at - 1] <= a):
+            starts.insert(at, a)
+            ends.insert(at, b)
             found.append((a, b, kind, form))
 
     for kind, pattern in FORMS:

@@ -135,3 +135,18 @@ def test_short_ipv6_forms():
     for text in ("std::vector a :: b", "1::2::3", "x::begin", "::", "1:2:3:4:5:6:7:8::9"):
         assert not any(x[2] == "ipv6" for x in find(text)), text
     assert surrogate(b"k", "ipv6", "0:0:0:0:0:0:0:1", 8).count("0:") < 7  # few short ones: then all groups are drawn
+
+
+def test_very_many_entities_and_long_runs():
+    """Linear in the length of a text: a quadratic search takes many minutes here."""
+    import time
+    start = time.perf_counter()
+    text = " ".join(f"u{k}@x{k}.com" for k in range(100_000))
+    found = find(text)
+    assert len(found) == 100_000 and all(text[a:b] == form and kind == "email" for a, b, kind, form in found)
+    assert find("a" * 300_000 + " x@") == [] and find("a." * 150_000 + "@") == []
+    assert time.perf_counter() - start < 60
+
+
+def test_addresses_that_follow_each_other():
+    assert [t[3] for t in find("a@b.c_d@e.fg x.y@z.co@q.de")] == ["a@b.c", "_d@e.fg", "x.y@z.co"]
