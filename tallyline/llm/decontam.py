@@ -92,10 +92,14 @@ def _edge(words: np.ndarray, order: np.ndarray, low, high, value, deep: int, rig
         high[open_[~up]] = mid[~up]
 
 
-def occurrences(words: np.ndarray, items: Items) -> tuple[np.ndarray, np.ndarray]:
+def occurrences(words: np.ndarray, items: Items) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places of windows in numbered words, where 0 stands between documents and for words that no
-    item has: the item suffix, and the place."""
-    none = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    item has: the first item suffix with that window, and the place; then for every item suffix the
+    first of its item that begins with the same window, or -1 if it has no place.
+
+    A window that an item repeats is expanded once, so that an item has at most one hit a place.
+    """
+    none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.full(len(items.item), -1, np.int64)
     if not len(items.item):
         return none
     inside = np.concatenate([[0], (words > 0).astype(np.int8), [0]])
@@ -121,10 +125,14 @@ def occurrences(words: np.ndarray, items: Items) -> tuple[np.ndarray, np.ndarray
         first = _edge(text, order, low[live], high[live], value, deep, False)
         high[live] = _edge(text, order, first, high[live], value, deep, True)
         low[live] = first
-    n = high - low
-    suffix = np.repeat(np.arange(len(n)), n)
-    hit = order[np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)]
-    return suffix, place[hit]
+    met = np.flatnonzero(high > low)
+    _, first, again = np.unique(items.item[met] * (len(order) + 1) + low[met], return_index=True, return_inverse=True)
+    like = none[2]
+    like[met] = met[first[again]]
+    once = met[np.sort(first)]
+    n = (high - low)[once]
+    hit = order[np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low[once], n)]
+    return np.repeat(once, n), place[hit], like
 
 
 def _matches(docs: list[list[bytes]], items: Items) -> list[list[dict] | None]:
@@ -134,19 +142,26 @@ def _matches(docs: list[list[bytes]], items: Items) -> list[list[dict] | None]:
     words = np.zeros(int(size.sum()), np.int64)
     for d, b in zip(docs, begin.tolist()):
         words[b:b + len(d)] = [get(w, 0) for w in d]
-    suffix, place = occurrences(words, items)
+    suffix, place, like = occurrences(words, items)
     out: list[list[dict] | None] = [None] * len(docs)
     if not len(suffix):
         return out
-    # Windows that follow each other in the item and in the text are one verbatim match.
-    item, offset = items.item[suffix], items.offset[suffix]
-    order = np.lexsort((place, place - offset, item))
-    item, offset, place = item[order], offset[order], place[order]
-    new = np.concatenate([[True], (np.diff(item) != 0) | (np.diff(place - offset) != 0) | (np.diff(place) != 1)])
-    first = np.flatnonzero(new)
-    n = np.diff(np.append(first, len(place))) - 1 + items.depth[item[first]]
-    doc = np.searchsorted(begin, place[first], side="right") - 1
-    for d, i, o, p, k in zip(doc.tolist(), item[first].tolist(), offset[first].tolist(), (place[first] - begin[doc]).tolist(), n.tolist()):
+    # Windows that follow each other in the item and in the text are one verbatim match. Of a window
+    # that the item repeats, a match goes on with the one that follows, and starts with the first.
+    order = np.lexsort((place, items.item[suffix]))
+    found, at, end = [], -2, -1  # first suffix and place, and number of windows; the last place and suffix of a match
+    for s, p in zip(suffix[order].tolist(), place[order].tolist()):
+        if p == at + 1 and end + 1 < len(like) and like[end + 1] == s:
+            found[-1][2] += 1
+            end += 1
+        else:
+            found.append([s, p, 1])
+            end = s
+        at = p
+    first, start, windows = np.array(found, np.int64).T
+    doc = np.searchsorted(begin, start, side="right") - 1
+    item, n = items.item[first], windows - 1 + items.depth[items.item[first]]
+    for d, i, o, p, k in zip(doc.tolist(), item.tolist(), items.offset[first].tolist(), (start - begin[doc]).tolist(), n.tolist()):
         if out[d] is None:
             out[d] = []
         out[d].append({"item_id": items.ids[i], "item_start": o, "doc_start": p, "n_words": k})
@@ -216,8 +231,9 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, te
 def summary(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """Per row of ``doc_id`` and ``text``: words, words inside windows of items, and the items."""
     found = find_matches(docs.select("doc_id", "text"), benchmark, window, keep_text=False)
-    hit = F.size(F.array_distinct(F.flatten(F.transform(
-        "matches", lambda m: F.sequence(m["doc_start"], m["doc_start"] + m["n_words"] - 1)))))
+    spans = F.array_sort(F.transform("matches", lambda m: F.struct(m["doc_start"].alias("a"), (m["doc_start"] + m["n_words"]).alias("b"))))
+    hit = F.aggregate(spans, F.struct(F.lit(0).alias("n"), F.lit(0).alias("end")), lambda x, m: F.struct(  # the union of the spans
+        (x["n"] + F.greatest(F.lit(0), m["b"] - F.greatest(m["a"], x["end"]))).alias("n"), F.greatest(x["end"], m["b"]).alias("end")))["n"]
     items = F.array_sort(F.array_distinct(F.filter(F.transform("matches", lambda m: m["item_id"]), lambda i: i.isNotNull())))
     found = found.select("doc_id", "n_words", hit.cast("long").alias("n_hit"), items.alias("items"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -53,7 +54,9 @@ def test_occurrences_match_a_scan():
     rng = np.random.default_rng(5)
     items = Items([(str(k), " ".join(f"w{x}" for x in rng.integers(0, 3, size))) for k, size in enumerate((2, 5, 14, 30, 1))], 4)
     text = rng.integers(0, len(items.number) + 1, 600)
-    got = set(zip(*(x.tolist() for x in occurrences(text, items))))
+    suffix, at, like = occurrences(text, items)
+    assert len(set(zip(items.item[suffix].tolist(), at.tolist()))) == len(at)
+    got = {(s, p) for first, p in zip(suffix.tolist(), at.tolist()) for s in np.flatnonzero(like == first).tolist()}
     want = set()
     for s, (item, place) in enumerate(zip(items.item.tolist(), items.place.tolist())):
         n = int(items.depth[item])
@@ -119,3 +122,17 @@ def test_empty_tables(documents, spark):
     assert rows_of(summary(documents([(1, "some words")]), items)) == brute([(1, "some words")], [])
     assert summary(documents([]), items).collect() == []
     assert remove_contaminated(documents([(1, "some words")]), items).count() == 1
+
+
+def test_repetitive_texts_are_covered_by_few_matches(documents, spark):
+    """An item of one repeated word in a document of a million of them: every place is hit, and what
+    is found grows with the document and not with its product with the item."""
+    texts = [(1, "la " * 1_000_000), (2, "la " * 9), (3, "x " + "la lo " * 50_000), (4, "la " * 1500 + "y " + "la " * 10)]
+    items = spark.createDataFrame([(1, "la " * 1000), (2, "la lo " * 400), (3, "la " * 10)], "item_id long, text string")
+    start = time.perf_counter()
+    rows = {r.doc_id: r for r in find_matches(documents(texts), items, keep_text=False).collect()}
+    assert time.perf_counter() - start < 90
+    assert sum(m.item_id == "1" for m in rows[1].matches) <= 1100 and rows[2].matches == []
+    assert all(m.n_words == 10 for m in rows[1].matches if m.item_id == "3")
+    got = {r.doc_id: (r.n_words, r.n_hit, r.n_items) for r in summary(documents(texts), items).collect()}
+    assert got == {1: (1_000_000, 1_000_000, 2), 2: (9, 0, 0), 3: (100_001, 100_000, 1), 4: (1511, 1510, 2)}
