@@ -63,16 +63,20 @@ def lookup(df: DataFrame, table: DataFrame, key: str | Sequence[str]) -> DataFra
     """Left join of a large ``df`` with a ``table`` that holds every ``key`` at most once.
 
     One pass over ``df`` and one shuffle: a partition that a hot key makes too large is split at
-    run time by the adaptive skew join (the row of ``table`` is then read by every split). Rows
+    run time by the adaptive skew join (the row of ``table`` is then read by every split), also where
+    ``table`` is an aggregate on the same key, which is shuffled once more for that. Rows
     without a key match nothing; they are spread by a hash of the row instead of meeting in the
     one partition of null.
     """
     keys = [key] if isinstance(key, str) else list(key)
     complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
-    spread = F.when(complete, 0).otherwise(F.pmod(F.xxhash64(*plain), F.lit(_NULL_SPREAD)).cast("int"))
+    # Always 0, but not a constant that the optimizer could drop from the join where a later filter
+    # rules out null: an aggregate on the keys would then share its stage with the join, unsplit.
+    zero = F.pmod(F.hash(*keys), F.lit(1))
+    spread = F.when(complete, zero).otherwise(F.pmod(F.xxhash64(*plain), F.lit(_NULL_SPREAD)).cast("int"))
     return (df.withColumn("_spread", spread)
-            .join(table.withColumn("_spread", F.lit(0)), [*keys, "_spread"], "left").drop("_spread")
+            .join(table.withColumn("_spread", zero), [*keys, "_spread"], "left").drop("_spread")
             .select(*df.columns, *[c for c in table.columns if c not in keys]))
 
 
