@@ -2,8 +2,8 @@
 
 Every round links each node's larger neighbours to its smallest one, then its smaller neighbours
 likewise, so that components turn into stars around their smallest node in about as many rounds as
-the logarithm of their size. Rounds are plain joins on a node, whose oversized partitions adaptive
-execution splits, and aggregations that combine before the shuffle. Each round is written, so that
+the logarithm of their size. Rounds are aggregations that combine before the shuffle and lookups in
+them, in stages of their own, so that adaptive execution can split the partition of a star's centre. Each round is written, so that
 plans stay short and a lost executor costs one round.
 """
 
@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.llm.common import saved
+from tallyline.operators.skew import lookup
 
 
 def _mark(links: DataFrame) -> tuple:
@@ -30,10 +31,10 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     while mark[0]:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = (both.where("v > u").join(least, "u").where("v != m")
+        large = (lookup(both.where("v > u"), least, "u").where("v != m")
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = (lookup(large, low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
         links = saved(small, "stars")
         after = _mark(links)

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from tallyline.llm.common import dealt, sample_rows, saved
 from tallyline.llm.components import components
+from tallyline.operators.skew import lookup
 
 TREES = 10
 LEAF = 2000          # vectors of a leaf at most, after the last round
@@ -268,7 +269,7 @@ def _leaves(vectors: DataFrame, size: int, trees: int, leaf: int, seed: int, lea
         full = filed.groupBy("leaf").agg(F.count("*").alias("n")).where((F.col("n") > leaf) & (F.col("leaf") < DENSE))
         if full.isEmpty():
             break
-        inside = filed.join(full, "leaf")
+        inside = lookup(filed, full, "leaf").where("n IS NOT NULL")
         sampled = (inside.where(F.pmod(F.xxhash64("vec", "leaf", F.lit(deeper)), F.col("n")) < NODE_SAMPLE)
                    .join(vectors.select("vec", "embedding"), "vec"))
         fitted = saved(sampled.groupBy("leaf").applyInPandas(_split_leaf(size, deeper, leaf * 2 // 3, seed, least), "leaf long, tree binary"),
@@ -318,7 +319,7 @@ def near_duplicates(table: DataFrame, least: float = 0.9, trees: int = TREES, le
               .select("vec", "first", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "vec").alias("root"),
                       "embedding"))
     least_id = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    answer = rooted.join(least_id, "root").select(
+    answer = lookup(rooted, least_id, "root").select(
         "embedding", (F.col("links") + F.col("copies") - 1).alias("n_links"), "component_id")
     out = rows.join(answer, "embedding").select("vec_id", "n_links", "component_id",
                                                 F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"))

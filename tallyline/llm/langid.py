@@ -19,10 +19,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.llm.common import free_name, saved
+from tallyline.operators.skew import top_per_key
 
 SAMPLE = 20_000
 LANGUAGES = 200
@@ -142,11 +143,6 @@ class Model:
         return langs, scores
 
 
-def _top(counts: DataFrame, key: str, per: list[str], keep: int) -> DataFrame:
-    place = Window.partitionBy(*per).orderBy(F.desc("n"), key)
-    return counts.withColumn("place", F.row_number().over(place)).where(F.col("place") <= keep)
-
-
 def _wanted(counts: dict[str, int], sample: int) -> dict[str, float]:
     """The share of each language's rows to learn from: one share for all, but more of a language that
     would have less than an even part of half the sample, about ``sample`` rows together."""
@@ -176,9 +172,10 @@ def train(docs: DataFrame, sample: int = SAMPLE, words: int = WORDS, grams: int
     counts = saved(picked.mapInArrow(_count_words, "lang string, word string, n long")
                    .groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
     totals = {r[0]: r[1] for r in counts.groupBy("lang").agg(F.sum("n")).collect()} if shares else {}
-    top = _top(counts.where("n > 1"), "word", ["lang"], words).select("lang", "word", "n").collect()
+    top = top_per_key(counts.where("n > 1"), ["lang"], [F.desc("n"), F.asc("word")], words).select("lang", "word", "n").collect()
     pieces = counts.mapInArrow(_count_grams, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    best = _top(pieces.withColumn("size", F.length("gram")), "gram", ["lang", "size"], grams).select("lang", "gram", "n").collect()
+    pieces = pieces.withColumn("size", F.length("gram"))
+    best = top_per_key(pieces, ["lang", "size"], [F.desc("n"), F.asc("gram")], grams).select("lang", "gram", "n").collect()
     return Model(shares, [tuple(r) for r in top], [tuple(r) for r in best], totals)
 
 

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from tallyline.llm.common import dealt, free_name, saved, text_key
 from tallyline.llm.components import components
+from tallyline.operators.skew import lookup
 
 SEED = 42
 LIST = 2048
@@ -108,7 +109,7 @@ def _links(prints: DataFrame, most: int) -> DataFrame:
     lists = F.array(*[F.shiftleft(part[i], 16).bitwiseOR(part[j]) + (k << 32) for k, (i, j) in enumerate(_PAIRS)])
     index = prints.select("fp", F.explode(lists).alias("list"))
     sizes = index.groupBy("list").agg(F.count("*").alias("size")).where("size > 1")
-    index = saved(index.join(sizes, "list"), "simhash-index")
+    index = saved(lookup(index, sizes, "list").where("size IS NOT NULL"), "simhash-index")
     light = dealt(index.where(F.col("size") <= LIST), "list").groupBy("list").applyInPandas(_compare(most), "a long, b long")
     bits = F.array(F.lit(0).cast("long"), *[F.lit(1 << i if i < 63 else -(1 << 63)).cast("long") for i in range(64)])
     turned = (index.where(F.col("size") > LIST).select("fp").distinct()
@@ -129,7 +130,7 @@ def _grouped(docs: DataFrame, size: int, most: int) -> DataFrame:
     stars = components(_links(first.select("fp"), most))
     rooted = first.join(stars.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return marked.join(rooted.join(least, "root").select("fp", "root", "component_id"), "fp")
+    return marked.join(lookup(rooted, least, "root").select("fp", "root", "component_id"), "fp")
 
 
 def near_duplicates(docs: DataFrame, size: int = 3, most: int = 2, id_col: str = "doc_id",
