@@ -23,6 +23,7 @@ HEADLINE = (
     "star_daily", "top_per_group_month", "times_in_top", "user_item_score", "user_profile",
     "recommend_similar", "recommend_by_category", "diff_tables", "upsert",
     "sessions_incremental", "replace_range", "stream_new_users",
+    "similar_pairs", "merge_new_users_bucketed", "rollup_new_refreshed", "active_windows_bitmap",
 )
 
 
