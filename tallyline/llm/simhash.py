@@ -2,25 +2,28 @@
 
 Two 64-bit fingerprints that differ in at most two bits differ in at most two of their eight
 bytes, so they share at least six positional bytes: that is the guaranteed minimum of the count
-filter. An inverted index of single positional bytes has lists of a 256th of all fingerprints,
-which is far too long to tally. Two differing bytes spoil at most two of the four byte pairs (0,1),
-(2,3), (4,5), (6,7), so any linked pair agrees on two whole byte pairs. The index therefore holds
-the intersections of four single-byte lists: six lists a fingerprint, each keyed by 32 bits. Within
-a list the shared positional bytes of every pair are tallied, pairs below six are dropped, and the
-rest are verified by their bits.
-
-Exact copies have one fingerprint, which enters the index once. A list of more than ``LIST``
-fingerprints is never paired off in one task: its members emit themselves with each single bit
-turned. Members of one such key lie within two bits of each other, any two within two bits share a
-key, and a key has at most 65 members, so the links are the same.
+filter. The inverted index has a list for each positional byte. All 2,048 of them are ordered by how
+many fingerprints have them, and each fingerprint's eight by that order, rarest first: of six or more
+that a pair shares, the first is among the first three of both, the second among the first four, and
+so on. So a fingerprint enters the lists of its three rarest bytes only; a list that is longer than
+``LIST`` is split by its members' next shared byte in that order, as often as it takes. Where the
+number of fingerprints says that the average list would be split, the index begins with intersections
+of two or more lists at once.
+
+Within a list the shared positional bytes of every pair are tallied, and only the pairs that reach six
+are verified by their bits. A list that five shared bytes leave longer than ``LIST`` is a dense group;
+its members emit themselves with each single bit turned. Members of one such key lie within two bits
+of each other, any two within two bits share a key, and a key has at most 65 members, so the links
+are the same. Exact copies have one fingerprint, which enters the index once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
+from math import comb
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -31,9 +34,10 @@ from tallyline.llm.components import components
 from tallyline.operators.skew import lookup
 
 SEED = 42
-LIST = 2048
+LIST = 256    # fingerprints of a list that are compared with each other
+DEEPEST = 5   # positional bytes that name a list, 11 bits each
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-_PAIRS = [(i, j) for i in range(4) for j in range(i + 1, 4)]
+_POSTING = pa.schema([("fp", pa.int64()), ("list", pa.int64()), ("last", pa.int8())])
 
 
 def _hashes(text: str, size: int) -> list[int]:
@@ -78,46 +82,131 @@ def _fingerprints(size: int):
     return run
 
 
-def _compare(most: int):
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        x = np.sort(group["fp"].to_numpy(np.int64)).view(np.uint64)
-        left, right = [], []
-        for i in range(0, len(x), 256):
-            other = x[i:i + 256, None] ^ x[None, :]
-            shared = (other.view(np.uint8).reshape(*other.shape, 8) == 0).sum(2)  # the tally of positional bytes
-            near = (shared >= 8 - most) & (np.bitwise_count(other) <= most)
-            a, b = np.nonzero(near)
-            left.append(a + i)
-            right.append(b)
-        a, b = np.concatenate(left), np.concatenate(right)
-        root = np.arange(len(x))
-        while True:  # the smallest member that can be reached within the list
-            low = root.copy()
-            np.minimum.at(low, a, root[b])
-            low = low[low]
-            if (low == root).all():
-                break
-            root = low
-        held = root != np.arange(len(x))
-        return pd.DataFrame({"a": x[held].view(np.int64), "b": x[root[held]].view(np.int64)})
+def _by_rarity(fps: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """Places in the order of rarity of each fingerprint's eight positional bytes, rarest first."""
+    held = fps.view(np.uint8).reshape(-1, 8).astype(np.int64) + 256 * np.arange(8)
+    return np.sort(order[held], axis=1)
+
+
+def _postings(order: np.ndarray, depth: int, most: int):
+    """The lists of each fingerprint that ``depth`` shared bytes name."""
+    picks = np.array(list(combinations(range(depth + most), depth)), np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps = batch.column(0).to_numpy()
+            tokens = _by_rarity(fps, order)
+            name = np.zeros((len(fps), len(picks)), np.int64)
+            for k in range(depth):
+                name = name << 11 | tokens[:, picks[:, k]]
+            last = np.tile(picks[:, -1].astype(np.int8), len(fps))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(fps, len(picks))), pa.array(name.ravel()), pa.array(last)], schema=_POSTING)
     return run
 
 
+def _split(order: np.ndarray, depth: int, most: int):
+    """From lists that ``depth`` bytes name to those with one more of the bytes behind their last."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps, name, last = (batch.column(c).to_numpy() for c in ("fp", "list", "last"))
+            tokens = _by_rarity(fps, order)
+            for k in range(1, depth + most + 1):
+                on = last < k
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(fps[on]), pa.array(name[on] << 11 | tokens[on, k]),
+                     pa.array(np.full(on.sum(), k, np.int8))], schema=_POSTING)
+    return run
+
+
+def tally(lists: np.ndarray, fps: np.ndarray, least: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows (left, right) of the same list whose fingerprints share ``least`` positional bytes or
+    more. Rows are ordered by list; pairs come by how far apart they stand."""
+    left, apart = np.arange(len(fps)), 1
+    while True:
+        left = left[left + apart < len(fps)]
+        left = left[lists[left] == lists[left + apart]]
+        if not len(left):
+            return
+        other = fps[left] ^ fps[left + apart]
+        shared = (other.view(np.uint8).reshape(-1, 8) == 0).sum(1)
+        kept = left[shared >= least]
+        yield kept, kept + apart
+        apart += 1
+
+
+def _linked(lists: np.ndarray, fps: np.ndarray, most: int) -> pa.RecordBatch:
+    """Each fingerprint with the first of its list that links of the list reach."""
+    ends: list[list[np.ndarray]] = [[], []]
+    for a, b in tally(lists, fps, 8 - most):
+        near = np.bitwise_count((fps[a] ^ fps[b]).view(np.uint64)) <= most
+        ends[0].append(a[near])
+        ends[1].append(b[near])
+    a, b = (np.concatenate(e) if e else np.zeros(0, np.int64) for e in ends)
+    root = np.arange(len(fps))
+    while True:
+        low = root.copy()
+        np.minimum.at(low, b, root[a])
+        np.minimum.at(low, a, root[b])
+        low = low[low]
+        if (low == root).all():
+            break
+        root = low
+    held = root != np.arange(len(fps))
+    return pa.RecordBatch.from_arrays([pa.array(fps[held]), pa.array(fps[root[held]])], names=["a", "b"])
+
+
+def _verified(most: int):
+    """Over rows (list, fp) ordered by list; a list that goes on in the next batch waits for it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lists = fps = np.zeros(0, np.int64)
+        for batch in batches:
+            lists = np.concatenate([lists, batch.column(0).to_numpy()])
+            fps = np.concatenate([fps, batch.column(1).to_numpy()])
+            whole = int(np.searchsorted(lists, lists[-1])) if len(lists) else 0
+            yield _linked(lists[:whole], fps[:whole], most)
+            lists, fps = lists[whole:], fps[whole:]
+        yield _linked(lists, fps, most)
+    return run
+
+
+def _rarity(prints: DataFrame) -> np.ndarray:
+    """For position * 256 + byte, the place of that positional byte among all by number of fingerprints."""
+    held = F.array(*[F.shiftrightunsigned("fp", 8 * i).bitwiseAND(255) + 256 * i for i in range(8)])
+    number = np.zeros(2048, np.int64)
+    for row in prints.select(F.explode(held).alias("byte")).groupBy("byte").count().collect():  # 2,048 at most
+        number[row["byte"]] = row["count"]
+    order = np.empty(2048, np.int64)
+    order[np.argsort(number, kind="stable")] = np.arange(2048)
+    return order
+
+
 def _links(prints: DataFrame, most: int) -> DataFrame:
     """Links between distinct fingerprints: enough of them to connect all that are linked."""
-    part = [F.shiftrightunsigned("fp", 16 * i).bitwiseAND(0xFFFF) for i in range(4)]
-    lists = F.array(*[F.shiftleft(part[i], 16).bitwiseOR(part[j]) + (k << 32) for k, (i, j) in enumerate(_PAIRS)])
-    index = prints.select("fp", F.explode(lists).alias("list"))
-    sizes = index.groupBy("list").agg(F.count("*").alias("size")).where("size > 1")
-    index = saved(lookup(index, sizes, "list").where("size IS NOT NULL"), "simhash-index")
-    light = dealt(index.where(F.col("size") <= LIST), "list").groupBy("list").applyInPandas(_compare(most), "a long, b long")
+    order, total, depth = _rarity(prints), prints.count(), 1
+    while depth < DEEPEST and total * comb(depth + most, depth) > LIST * comb(8, depth) * 256 ** depth:
+        depth += 1
+    schema = "fp long, list long, last byte"
+    index = prints.select("fp").mapInArrow(_postings(order, depth, most), schema)
+    links = prints.sparkSession.createDataFrame([], "a long, b long")
+    while True:
+        sizes = index.groupBy("list").agg(F.count("*").alias("size")).where("size > 1")
+        index = saved(lookup(index, sizes, "list").where("size IS NOT NULL"), "simhash-index")
+        short = dealt(index.where(F.col("size") <= LIST).select("list", "fp"), "list").sortWithinPartitions("list")
+        links = links.unionByName(short.mapInArrow(_verified(most), "a long, b long"))
+        long = index.where(F.col("size") > LIST)
+        if long.isEmpty():
+            return links
+        if depth == DEEPEST:
+            break
+        index = long.select("fp", "list", "last").mapInArrow(_split(order, depth, most), schema)
+        depth += 1
     bits = F.array(F.lit(0).cast("long"), *[F.lit(1 << i if i < 63 else -(1 << 63)).cast("long") for i in range(64)])
-    turned = (index.where(F.col("size") > LIST).select("fp").distinct()
-              .select("fp", F.explode(bits).alias("bit"))
+    turned = (long.select("fp").distinct().select("fp", F.explode(bits).alias("bit"))
               .select("fp", F.col("fp").bitwiseXOR(F.col("bit")).alias("key")))
-    heavy = (turned.groupBy("key").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
+    dense = (turned.groupBy("key").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
              .select(F.explode("fps").alias("a"), F.array_min("fps").alias("b")))
-    return light.unionByName(heavy)
+    return links.unionByName(dense)
 
 
 def _grouped(docs: DataFrame, size: int, most: int) -> DataFrame:

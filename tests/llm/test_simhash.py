@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -69,11 +70,7 @@ def _as_fps(spark, values):
     return spark.createDataFrame([(v - (1 << 64) if v >> 63 else v,) for v in values], "fp long")
 
 
-@pytest.mark.parametrize("limit", [2048, 3])
-def test_links_connect_what_two_bits_connect(spark, monkeypatch, limit):
-    """With long lists paired off, and with lists too long for that."""
-    monkeypatch.setattr(simhash, "LIST", limit)
-    rng = random.Random(limit)
+def near_values(rng):
     values = set()
     for _ in range(25):
         v = rng.getrandbits(64)
@@ -81,7 +78,15 @@ def test_links_connect_what_two_bits_connect(spark, monkeypatch, limit):
             values.add(v)
             for _ in range(rng.choice((1, 2, 3))):
                 v ^= 1 << rng.randrange(64)
-    values = sorted(values)
+    return sorted(values)
+
+
+@pytest.mark.parametrize("limit, deepest", [(256, 5), (12, 5), (2, 2), (1, 1)])
+def test_links_connect_what_two_bits_connect(spark, monkeypatch, limit, deepest):
+    """With lists of one byte, of split ones, and with dense groups that no byte splits further."""
+    monkeypatch.setattr(simhash, "LIST", limit)
+    monkeypatch.setattr(simhash, "DEEPEST", deepest)
+    values = near_values(random.Random(limit))
     signed = [v - (1 << 64) if v >> 63 else v for v in values]
     stars = {r.node: r.root for r in components(simhash._links(_as_fps(spark, values), 2)).collect()}
     groups = brute_groups([(s, v) for s, v in sorted(zip(signed, values))])
@@ -89,6 +94,61 @@ def test_links_connect_what_two_bits_connect(spark, monkeypatch, limit):
     assert [got[s] for s in sorted(signed)] == groups
 
 
+@pytest.mark.parametrize("most", [0, 1, 2])
+def test_lists_hold_every_near_pair_once_split(most):
+    """Begun at a depth or split down to it, the lists are the same, and each near pair shares one."""
+    rng = random.Random(most)
+    fps = np.array(near_values(rng), np.uint64).view(np.int64)
+    order = np.array(rng.sample(range(2048), 2048))
+    import pyarrow as pa
+
+    def lists_of(batch):
+        return {(f, n) for f, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())}
+    now = list(simhash._postings(order, 1, most)([pa.RecordBatch.from_arrays([pa.array(fps)], names=["fp"])]))
+    near = [(a, b) for a in fps.tolist() for b in fps.tolist() if a < b and (a ^ b).bit_count() <= most and (a ^ b) >= 0]
+    for depth in range(1, 6):
+        want = set().union(*map(lists_of, simhash._postings(order, depth, most)(
+            [pa.RecordBatch.from_arrays([pa.array(fps)], names=["fp"])])))
+        got = set().union(*map(lists_of, now))
+        assert got == want
+        of = {}
+        for f, n in got:
+            of.setdefault(f, set()).add(n)
+        assert all(of[a] & of[b] for a, b in near)
+        now = list(simhash._split(order, depth, most)(now))
+
+
+def test_count_filter_decides_what_is_verified():
+    rng = random.Random(4)
+    fps = np.array([rng.getrandbits(64) for _ in range(200)] + near_values(rng), np.uint64).view(np.int64)
+    lists = np.sort(np.array([rng.randrange(5) for _ in fps]))
+
+    def pairs(least):
+        return {(int(a), int(b)) for x, y in simhash.tally(lists, fps, least) for a, b in zip(x, y)}
+    every, kept = pairs(0), pairs(6)
+    assert every == {(a, b) for a in range(len(fps)) for b in range(a + 1, len(fps)) if lists[a] == lists[b]}
+    raw = [int(f).to_bytes(8, "little", signed=True) for f in fps]
+    assert kept == {(a, b) for a, b in every if sum(p == q for p, q in zip(raw[a], raw[b])) >= 6}
+    assert len(kept) < len(every) / 10
+    def near(a, b):
+        return bin(int.from_bytes(raw[a], "little") ^ int.from_bytes(raw[b], "little")).count("1") <= 2
+    assert {p for p in every if near(*p)} == {p for p in kept if near(*p)}  # the filter loses none
+    assert any(not near(*p) for p in kept)  # and verification still has something to refuse
+
+
+def test_a_list_may_run_over_batches():
+    import pyarrow as pa
+    lists = np.repeat(np.arange(40), np.random.default_rng(1).integers(1, 9, 40))
+    fps = np.arange(len(lists), dtype=np.int64) % 7
+
+    def links(size):
+        cut = [pa.RecordBatch.from_arrays([pa.array(lists[i:i + size]), pa.array(fps[i:i + size])], names=["list", "fp"])
+               for i in range(0, len(lists), size)]
+        return [r for b in simhash._verified(2)(iter(cut)) for r in b.to_pylist()]
+    assert links(1) == links(5) == links(1000) != []
+    assert list(simhash._verified(2)(iter([])))[0].num_rows == 0
+
+
 def test_components_of_a_long_path_and_repeats(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, 99), (99, 100), (100, 100), (7, 7), (None, 3)]
     rng = random.Random(2)
