@@ -4,11 +4,14 @@ Entities are found in each text by their form (addresses, numbers, keys) or by a
 title or an introduction). Each distinct entity of the corpus gets one surrogate, drawn from a keyed
 hash of its kind and its plain form, so mentions of one person or number stay the same wherever and
 however they are written. A surrogate keeps what kind of thing the entity is: digits stay digits in
-the same places, checksums stay right if they were, addresses keep their shape, names keep gender,
-script and case, and a family name is the same with and without the given name.
+the same places, checksums stay right, addresses keep their shape, names keep gender, script and
+case. A name is one entity whether a title, an introduction or a family name tells of it: whether it
+is given or family, and of a man or a woman, is settled by the documents of the corpus that say so.
+Numbers that fail the checksum of their kind (cards, IBANs) are no entities of it.
 
 Distinct entities must stay distinct. So surrogates are compared over the whole corpus, with each
-other and with all entities, and those that meet are drawn again until none do. Then they are joined
+other and with all entities, names of every kind together, and those that meet are drawn again until
+none do. Then they are joined
 back to the documents that need them; documents without any candidate pass by untouched and are
 not shuffled.
 """
@@ -89,10 +92,13 @@ def plain(kind: str, text: str) -> str | None:
         if not (8 if marked else 10) <= len(digits) <= 15:
             return None
         return ("+" if text.startswith("+") else "") + digits
-    if kind in ("card", "ssn"):
+    if kind == "card":  # 2 to 6 are what the networks' numbers begin with
+        return digits if digits[0] in "23456" and _luhn(digits) else None
+    if kind == "ssn":
         return digits
     if kind == "iban":
-        return text.replace(" ", "")
+        form = text.replace(" ", "")
+        return form if _iban_ok(form) else None
     if kind == "ipv6":
         try:
             number = int(ipaddress.IPv6Address(text))
@@ -104,6 +110,11 @@ def plain(kind: str, text: str) -> str | None:
     return text
 
 
+def entity_of(kind: str) -> str:
+    """What surrogates are one to one in: the kind, but ``name`` for all kinds of names."""
+    return "name" if kind.startswith(("given", "family")) else kind
+
+
 def find(text: str | None) -> list[tuple[int, int, str, str]]:
     """Start, end, kind and plain form of every entity, in order, none overlapping another."""
     if not text:
@@ -275,23 +286,45 @@ def _drawn(key: bytes):
     return run
 
 
+def _entity() -> Column:
+    """``entity_of`` the column ``kind``."""
+    kind = F.col("kind")
+    return F.when(kind.startswith("given") | kind.startswith("family"), "name").otherwise(kind)
+
+
+def _resolved(entities: DataFrame) -> DataFrame:
+    """One row (kind, form) for each entity. A name that more documents have as a family name than as
+    a given one is a family name; a given name is a man's or a woman's if more documents say so than
+    say the other, by title, and else neither."""
+    def said(kind: str) -> Column:
+        return F.count(F.when(F.col("kind") == kind, 1))
+    counted = entities.groupBy(_entity().alias("entity"), "form").agg(
+        said("given-m").alias("m"), said("given-f").alias("f"), said("given-n").alias("n"), said("family").alias("family"))
+    kind = (F.when(F.col("entity") != "name", F.col("entity"))
+            .when(F.col("family") > F.col("m") + F.col("f") + F.col("n"), "family")
+            .when(F.col("m") > F.col("f"), "given-m").when(F.col("f") > F.col("m"), "given-f").otherwise("given-n"))
+    return counted.select(kind.alias("kind"), "form")
+
+
 def stand_ins(entities: DataFrame, key: bytes) -> DataFrame:
-    """(kind, form) -> stand_in, one to one for each kind and never the form of an entity."""
+    """(entity, form) -> stand_in, one to one for each entity kind (``entity_of``) and never the form
+    of an entity of that kind. ``entities`` has a row (kind, form) for each document with the entity."""
     ddl = "kind string, form string, attempt int, stand_in string"
-    forms = entities.select("kind", "form").distinct()
-    drawn = saved(forms.withColumn("attempt", F.lit(0)).mapInArrow(_drawn(key), ddl), "stand-ins")
+
+    def draw(forms: DataFrame) -> DataFrame:
+        return forms.mapInArrow(_drawn(key), ddl).withColumn("entity", _entity())
+
+    same = ["entity", "form"]
+    drawn = saved(draw(_resolved(entities).withColumn("attempt", F.lit(0))), "stand-ins")
     while True:
-        first = drawn.groupBy("kind", "stand_in").agg(F.min(F.struct("attempt", "form")).alias("first"), F.count("*").alias("n"))
-        shared = (drawn.join(first.where("n > 1"), ["kind", "stand_in"]).where("form <> first.form")
-                  .select("kind", "form"))
-        real = drawn.join(drawn.select("kind", F.col("form").alias("stand_in")), ["kind", "stand_in"], "left_semi").select("kind", "form")
+        first = drawn.groupBy("entity", "stand_in").agg(F.min(F.struct("attempt", "form")).alias("first"), F.count("*").alias("n"))
+        shared = drawn.join(first.where("n > 1"), ["entity", "stand_in"]).where("form <> first.form").select(*same)
+        real = drawn.join(drawn.select("entity", F.col("form").alias("stand_in")), ["entity", "stand_in"], "left_semi").select(*same)
         again = saved(shared.unionByName(real).distinct(), "collisions")
         if again.isEmpty():
-            return drawn.select("kind", "form", "stand_in")
-        redrawn = (drawn.join(again, ["kind", "form"]).select("kind", "form", (F.col("attempt") + 1).alias("attempt"))
-                   .mapInArrow(_drawn(key), ddl))
-        drawn = saved(drawn.join(again, ["kind", "form"], "left_anti").select("kind", "form", "attempt", "stand_in")
-                      .unionByName(redrawn), "stand-ins")
+            return drawn.select(*same, "stand_in")
+        redrawn = draw(drawn.join(again, same).select("kind", "form", (F.col("attempt") + 1).alias("attempt")))
+        drawn = saved(drawn.join(again, same, "left_anti").unionByName(redrawn), "stand-ins")
 
 
 def _replace(text: int, known: int):
@@ -300,10 +333,10 @@ def _replace(text: int, known: int):
             texts, counts = [], []
             for value, given in zip(batch.column(text), batch.column(known)):
                 value = value.as_py()
-                table = {(g["kind"], g["form"]): g["stand_in"] for g in given.as_py() or ()}
+                table = {(g["entity"], g["form"]): g["stand_in"] for g in given.as_py() or ()}
                 parts, at, n = [], 0, 0
                 for a, b, kind, form in find(value) if table else ():
-                    parts += [value[at:a], render(kind, value[a:b], table[kind, form])]
+                    parts += [value[at:a], render(kind, value[a:b], table[entity_of(kind), form])]
                     at, n = b, n + 1
                 texts.append("".join([*parts, value[at:]]) if n else value)
                 counts.append(n)
@@ -325,8 +358,8 @@ def pseudonymize(docs: DataFrame, key: bytes, count_col: str = "n_entities") ->
     some = docs.where(_needed())
     entities = saved(some.select("doc_id", text_key().alias("key"), "text")
                      .mapInArrow(_entities, "doc_id long, key long, kind string, form string"), "entities")
-    known = (entities.join(stand_ins(entities, key), ["kind", "form"]).groupBy("doc_id", "key")
-             .agg(F.collect_set(F.struct("kind", "form", "stand_in")).alias(count_col))
+    known = (entities.withColumn("entity", _entity()).join(stand_ins(entities, key), ["entity", "form"]).groupBy("doc_id", "key")
+             .agg(F.collect_set(F.struct("entity", "form", "stand_in")).alias(count_col))
              .withColumnsRenamed({"doc_id": ids, "key": keys}))
     marked = some.withColumn(mark, text_key()).join(
         known, F.col("doc_id").eqNullSafe(F.col(ids)) & (F.col(mark) == F.col(keys)), "left").select(*docs.columns, count_col)

@@ -107,6 +107,47 @@ def test_collisions_are_drawn_again(spark, monkeypatch):
     assert len(got) == len(set(got.values())) == 12 and not set(got) & set(got.values())
 
 
+def test_a_name_is_one_entity_over_all_cues(documents):
+    """The cues differ, the stand-in does not; gender and role are what most documents say."""
+    rows = [(1, "Mr John Smith came."), (2, "my name is John, he said"), (3, "Dr. John called Mrs Smith"), (4, "Mr John Miller"),
+            (5, "Mrs Anna Smith"), (6, "my name is Anna"), (7, "Mr Kim Miller met Mrs Kim Smith"), (8, "my name is Miller")]
+    out = {r.doc_id: r.text for r in pseudonymize(documents(rows), KEY).collect()}
+    john, smith = re.match(r"Mr (\w+) (\w+) came", out[1]).groups()
+    anna, kim = out[5].split()[1], out[7].split()[1]
+    miller = out[4].split()[2]
+    assert out == {1: f"Mr {john} {smith} came.", 2: f"my name is {john}, he said", 3: f"Dr. {john} called Mrs {smith}",
+                   4: f"Mr {john} {miller}", 5: f"Mrs {anna} {smith}", 6: f"my name is {anna}",
+                   7: f"Mr {kim} {miller} met Mrs {kim} {smith}", 8: f"my name is {miller}"}
+    assert len({john, smith, anna, kim, miller}) == 5
+    assert john.endswith(("o", "an", "er")) and anna.endswith(("a", "ia", "ine"))
+    assert all(x.endswith(("son", "man", "ley", "ton")) for x in (smith, miller))
+
+
+def test_names_of_every_kind_are_told_apart(spark, monkeypatch):
+    """Two names that would get one stand-in do not, whatever kinds of names they are."""
+    def one(key, kind, form, attempt=0):
+        return f"x{attempt}"
+
+    def drawn(key):
+        def run(batches):
+            import pyarrow as pa
+            for b in batches:
+                out = [one(key, *(c[i].as_py() for c in b.columns)) for i in range(b.num_rows)]
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.string())], names=["kind", "form", "attempt", "stand_in"])
+        return run
+    monkeypatch.setattr(pii, "_drawn", drawn)
+    found = spark.createDataFrame([("given-m", "a"), ("family", "b"), ("given-f", "c"), ("given-n", "a"), ("secret", "d")],
+                                  "kind string, form string")
+    got = {(r.entity, r.form): r.stand_in for r in stand_ins(found, KEY).collect()}
+    assert set(got) == {("name", "a"), ("name", "b"), ("name", "c"), ("secret", "d")}
+    assert len({v for (e, _), v in got.items() if e == "name"}) == 3 and got["secret", "d"] == "x0"
+
+
+@pytest.mark.parametrize("text", ["order 1421201075424982 sent", "ref 9436 3466 1952 5194", "no 4111111111111112", "part AB12 CDEF 1234 5678"])
+def test_numbers_that_fail_their_check_stay(text):
+    assert find(text) == []
+
+
 def test_table_keeps_no_entity(table):
     docs = table("documents", "/root/testdata/sf0.01")
     before = {r.doc_id: r.text for r in docs.collect()}
