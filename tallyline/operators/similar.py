@@ -18,6 +18,7 @@ from tallyline.session import scratch
 
 BLOCK = 2000   # vectors of a key's list that meet another such block in one task
 SLACK = 1e-9   # for sums of doubles in another order
+FLOAT_SLACK = 1e-6  # for bounds of unit vectors from single-precision weights and lengths
 
 
 def _written(df: DataFrame, name: str) -> DataFrame:
@@ -51,59 +52,83 @@ def vector_classes(vectors: DataFrame) -> DataFrame:
 
 
 def _indexed(vectors: DataFrame, least: float, measure: str, shared: int) -> DataFrame:
-    """(key, id, weight, rest): the indexed keys of each vector.
+    """(key, id, rest, later0, later1, hot): the indexed keys of each vector; with cosine also ``weight``.
 
     Cosine: weights of the unit vector; ``rest`` is the length of what follows in key order, and a
     key is indexed while the part from it on has a bound of ``least`` or more, by its length or by
     the largest weight that any vector has for each of its keys. Pearson needs ``shared`` keys in
-    common and knows no bound beside that: ``rest`` is the number of keys that follow.
+    common and knows no bound beside that: ``rest`` is the number of keys that follow. ``later``
+    has a bit, by hash, for each key that follows: without a common bit two vectors share none of
+    these. Keys of more than ``BLOCK`` vectors are ``hot``. Reads ``vectors`` twice.
     """
-    size = F.sqrt(F.aggregate(F.map_values("vector"), F.lit(0.0), lambda acc, w: acc + w * w))
-    rows = vectors.select("id", F.explode("vector").alias("key", "weight"), *([size.alias("_size")] if measure == "cosine" else []))
+    rows = vectors.select("id", F.explode("vector").alias("key", "weight"))
     if measure == "cosine":
-        rows = rows.where(F.col("weight") != 0).withColumn("weight", F.col("weight") / F.col("_size")).drop("_size")
-    rows = _written(rows, "entries")
-    keys = rows.groupBy("key").agg(F.count("*").alias("_n"), F.max(F.abs("weight")).alias("_top")).where("_n > 1")
-    # A key that no other vector has adds nothing to any pair.
-    ranked = lookup(rows, _written(keys, "keys"), "key").where("_n IS NOT NULL")
-    # From the last key backwards, so that a running sum is that of the part from a key on.
-    back = Window.partitionBy("id").orderBy(F.desc("_n"), F.desc("key")).rowsBetween(Window.unboundedPreceding, 0)
+        length = F.sqrt(F.aggregate(F.map_values("vector"), F.lit(0.0), lambda acc, w: acc + w * w))
+        units = vectors.select(length.alias("_size"), F.explode("vector").alias("key", "weight")).where("weight != 0")
+        keys = units.groupBy("key").agg(F.count("*").alias("_n"), F.max(F.abs(F.col("weight") / F.col("_size"))).alias("_top"))
+        rows = rows.where("weight != 0")
+    else:
+        rows = rows.drop("weight")
+        keys = rows.groupBy("key").agg(F.count("*").alias("_n"))
+    ranked = lookup(rows, _written(keys.where("_n > 1"), "keys"), "key")
+    # From the last key backwards, so that a running sum is that of the part from a key on. A key that no other
+    # vector has adds nothing to any pair; it counts for the size and stands behind all others.
+    back = Window.partitionBy("id").orderBy(F.desc_nulls_last("_n"), F.desc("key"))
+    part = back.rowsBetween(Window.unboundedPreceding, 0)
+    slot = F.pmod(F.xxhash64("key"), F.lit(128))
+    for k in range(2):
+        bit = F.when(F.floor(slot / 64) == k, F.expr("shiftleft(1L, cast(pmod(xxhash64(key), 64L) as int))")).otherwise(F.lit(0).cast("long"))
+        found = F.bit_or(bit).over(back.rowsBetween(Window.unboundedPreceding, -1))
+        ranked = ranked.withColumn(f"later{k}", F.coalesce(found, F.lit(0).cast("long")))
+    known = ["key", "id", "later0", "later1", (F.col("_n") > BLOCK).alias("hot")]
     if measure == "cosine":
-        square = F.sum(F.col("weight") * F.col("weight")).over(back)
-        tops = F.sum(F.abs("weight") * F.col("_top")).over(back)
-        ranked = ranked.withColumns({"_square": square, "_tops": tops})
+        size = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(back.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+        ranked = ranked.withColumn("weight", F.col("weight") / size)
+        square = F.sum(F.col("weight") * F.col("weight")).over(part)
+        tops = F.sum(F.abs("weight") * F.col("_top")).over(part)
+        ranked = ranked.withColumns({"_square": square, "_tops": tops}).where("_n IS NOT NULL")
         bound = F.least(F.sqrt("_square"), F.col("_tops"))
         rest = F.sqrt(F.greatest(F.col("_square") - F.col("weight") * F.col("weight"), F.lit(0.0)))
-        return ranked.where(bound >= least - SLACK).select("key", "id", "weight", rest.alias("rest"))
-    ranked = ranked.withColumn("_left", F.count("*").over(back))
-    return ranked.where(F.col("_left") >= shared).select("key", "id", "weight", (F.col("_left") - 1).cast("double").alias("rest"))
+        return ranked.where(bound >= least - SLACK).select(*known, F.col("weight").cast("float").alias("weight"), rest.cast("float").alias("rest"))
+    ranked = ranked.withColumn("_left", F.count("*").over(part)).where("_n IS NOT NULL")
+    return ranked.where(F.col("_left") >= shared).select(*known, (F.col("_left") - 1).cast("int").alias("rest"))
 
 
 def candidate_pairs(vectors: DataFrame, least: float, measure: str = "cosine", shared: int = 2) -> DataFrame:
     """(a, b) with a < b: pairs of ``vectors`` (id, vector), all different, that may reach ``least``.
 
     Pairs are built by the join of the index with itself, and a pair whose bound at a shared key
-    (the product of the weights plus the product of the lengths that follow) is below the threshold
-    is dropped there, before any shuffle. A pair that reaches the threshold passes at the first key
-    that both share.
+    (the product of the weights plus, if they may share a key that follows, the product of the
+    lengths that follow) is below the threshold is dropped there, before any shuffle; with Pearson,
+    a pair that shares no key that follows. A pair that reaches the threshold passes at the first
+    key that both share.
     """
     index = _written(_indexed(vectors, least, measure, shared), "index")
-    lists = index.groupBy("key").agg(F.count("*").alias("_n")).where("_n > 1")
-    dealt = lookup(index, _written(lists.select("key", F.ceil(F.col("_n") / BLOCK).cast("int").alias("_blocks")), "lists"), "key")
-    dealt = dealt.where("_blocks IS NOT NULL").withColumn("_own", F.expr("cast(pmod(xxhash64(id), _blocks) as int)"))
+    carried = {"weight": "_w", "rest": "_r", "later0": "_p", "later1": "_q"}
 
-    def side(name: str, partner: str) -> DataFrame:
-        return dealt.select("key", F.col("id").alias(name), F.col("weight").alias(f"_w{name}"), F.col("rest").alias(f"_r{name}"),
-                            F.col("_own").alias(f"_{'i' if name == 'x' else 'j'}"), F.expr(partner))
+    def side(rows: DataFrame, name: str, *more: Column) -> DataFrame:
+        return rows.select("key", F.col("id").alias(name), *[F.col(c).alias(f"{short}{name}") for c, short in carried.items() if c in rows.columns], *more)
 
-    left, right = side("x", "explode(sequence(_own, _blocks - 1)) AS _j"), side("y", "explode(sequence(0, _own)) AS _i")
-    once = (F.col("_i") < F.col("_j")) | (F.col("x") < F.col("y"))  # inside a block by order, between blocks each way
+    meet = (F.col("_px").bitwiseAND(F.col("_py")) != 0) | (F.col("_qx").bitwiseAND(F.col("_qy")) != 0)
     if measure == "cosine":
-        bound: Column = F.abs(F.col("_wx") * F.col("_wy")) + F.col("_rx") * F.col("_ry") >= least - SLACK
+        double = lambda c: F.col(c).cast("double")
+        follow = F.when(meet, double("_rx") * double("_ry")).otherwise(0.0)
+        bound: Column = F.abs(double("_wx") * double("_wy")) + follow >= least - FLOAT_SLACK
     else:
-        bound = F.least("_rx", "_ry") + 1 >= shared
-    return (left.join(right, ["key", "_i", "_j"]).where(once & bound)
-            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+        bound = (F.least("_rx", "_ry") + 1 >= shared) & meet
+    few = index.where(~F.col("hot"))  # both sides are the same rows: one shuffle
+    pairs = side(few, "x").join(side(few, "y"), "key").where((F.col("x") < F.col("y")) & bound).select(F.col("x").alias("a"), F.col("y").alias("b"))
+
+    many = index.where("hot")
+    lists = many.groupBy("key").agg(F.count("*").alias("_n")).where("_n > 1")
+    dealt = lookup(many, _written(lists.select("key", F.ceil(F.col("_n") / BLOCK).cast("int").alias("_blocks")), "lists"), "key")
+    dealt = dealt.where("_blocks IS NOT NULL").withColumn("_own", F.expr("cast(pmod(xxhash64(id), _blocks) as int)"))
+    left = side(dealt, "x", F.col("_own").alias("_i"), F.expr("explode(sequence(_own, _blocks - 1)) AS _j"))
+    right = side(dealt, "y", F.col("_own").alias("_j"), F.expr("explode(sequence(0, _own)) AS _i"))
+    once = (F.col("_i") < F.col("_j")) | (F.col("x") < F.col("y"))  # inside a block by order, between blocks each way
+    hot = (left.join(right, ["key", "_i", "_j"]).where(once & bound)
+           .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
+    return pairs.unionByName(hot).distinct()
 
 
 def similar_pairs(vectors: DataFrame, least: float, measure: str = "cosine", shared: int = 2) -> DataFrame:

@@ -103,3 +103,16 @@ def test_a_hot_key_meets_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(similar, "BLOCK", 20)
     vectors = [(i, {1: 1.0 + i / 1000}) for i in range(200)]
     assert len(found(similar_pairs(frame(spark, vectors), 0.99))) == 200 * 199 // 2
+
+
+@pytest.mark.parametrize("measure", ["pearson", "cosine"])
+def test_vectors_that_share_one_key_are_no_candidates(spark, measure):
+    """Short vectors over few keys: hardly a pair is built that shares only the key at which it meets."""
+    r = random.Random(4)
+    vectors = [(i, {k: 1.0 + r.random() for k in r.sample(range(60), 4)}) for i in range(300)]
+    shared = {(a, b): len(va.keys() & vb.keys()) for a, va in vectors for b, vb in vectors if a < b}
+    pairs = {tuple(p) for p in candidate_pairs(frame(spark, vectors), 0.5, measure).collect()}
+    if measure == "pearson":
+        assert {p for p, n in shared.items() if n > 1} <= pairs
+    assert sum(shared[p] == 1 for p in pairs) < 0.1 * sum(n == 1 for n in shared.values())
+    assert {p[:2] for p in brute(vectors, 0.5, measure)} <= pairs
