@@ -16,11 +16,12 @@ from tallyline.functions.clean import has_text
 from tallyline.functions.packed import format_pairs, parse_pairs
 from tallyline.functions.vectors import cosine, dot, pearson
 from tallyline.operators.skew import lookup, top_per_key
+from tallyline.session import written
 
 # Users and items of one scoring block, about, and the fewest users that are worth a task of their own.
 USER_BLOCK, ITEM_BLOCK = 50_000, 20_000
 LEAST_USERS = 500
-FIRST_READ = 64  # entries of all lists of a user that are read at first; each further read is twice as long
+FIRST_READ = 2048  # entries of all lists of a user that are read at first, since a read has its price too; each further read is twice as long
 
 
 def user_clicks(events: DataFrame, day: str | None = None, browse: str = "recreate_click") -> DataFrame:
@@ -201,37 +202,36 @@ class TagIndex:
             return none
         self.taste[at] = taste
         low, high = self.list_begin[at].copy(), self.list_begin[at + 1].copy()
-        step = max(1, FIRST_READ // len(at))
-        places, sims, gone = *none, np.sort(seen)
+        step, up = max(1, FIRST_READ // len(at)), taste > 0
+        gone = np.zeros(len(self.ids), bool)
+        gone[seen] = True
+        places, sims = none
         while True:
-            read = []
-            for k, t in enumerate(taste):
-                a, b = low[k], high[k]
-                if t > 0:
-                    read.append(self.list_item[a:min(b, a + step)])
-                    low[k] = min(b, a + step)
-                else:  # what weighs least or is negative in the item adds most
-                    read.append(self.list_item[max(a, b - step):b])
-                    high[k] = max(a, b - step)
-            fresh = np.setdiff1d(np.concatenate(read), gone)
-            gone = np.union1d(gone, fresh)
+            # What weighs most in the item adds most; for a negative taste, what weighs least or is negative.
+            take = np.minimum(high - low, step)
+            first = np.where(up, low, high - take)
+            low, high = low + take * up, high - take * ~up
+            fresh = np.zeros(len(self.ids), bool)
+            fresh[self.list_item[np.arange(int(take.sum())) + np.repeat(first - (np.cumsum(take) - take), take)]] = True
+            fresh = np.flatnonzero(fresh & ~gone)
+            gone[fresh] = True
             dots = self._score(fresh)
             fresh, dots = fresh[dots > 0], dots[dots > 0]
             places = np.concatenate([places, fresh])
             sims = np.concatenate([sims, np.round(dots / (self.length[fresh] * size), 12)])
-            if len(places) > n:
-                kept = np.lexsort((places, -sims))[:n]
+            if len(places) > n:  # ties of the n-th stay
+                kept = sims >= np.partition(sims, len(sims) - n)[len(sims) - n]
                 places, sims = places[kept], sims[kept]
             more = low < high
             if not more.any():
                 break
-            next_share = np.where(taste > 0, self.list_share[np.minimum(low, len(self.list_share) - 1)], self.list_share[high - 1])
+            next_share = np.where(up, self.list_share[np.minimum(low, len(self.list_share) - 1)], self.list_share[high - 1])
             reach = np.maximum(taste * next_share, 0)[more].sum() / size
-            if reach <= 0 or (len(places) == n and sims.min() > reach + 1e-9):
+            if reach <= 0 or (len(places) >= n and sims.min() > reach + 1e-9):
                 break
             step *= 2
         self.taste[at] = 0
-        order = np.lexsort((places, -sims))
+        order = np.lexsort((places, -sims))[:n]
         return places[order], sims[order]
 
 
@@ -286,16 +286,17 @@ def recommend_similar(profiles: DataFrame, active: DataFrame, items: DataFrame,
     """The ``n`` unseen recent items most like each active user's profile.
 
     ``profiles`` (device_id, tags) and ``items`` (id, tags, publish_time) hold arrays of
-    (tag, weight). Users and items are counted first and dealt into blocks of about ``USER_BLOCK``
-    and ``ITEM_BLOCK``. Each pair of blocks is one partition and is scored by one task, which keeps
+    (tag, weight). Users and items are written and counted first and dealt into blocks of about
+    ``USER_BLOCK`` and ``ITEM_BLOCK``. Each pair of blocks is one partition and is scored by one task, which keeps
     the best ``n`` items of a user; the winners of several item blocks are ranked again. What was
     seen goes to the one block pair it concerns. So no frequent tag and no long item list makes
     pairs that have to be shuffled, nothing is collected, and no user or item is left out. Inside a
     block, :class:`TagIndex` scores the items that a user's tags lead to until no other can win.
     """
     spark = profiles.sparkSession
-    latest = recent_items(items.where(F.size("tags") > 0), now, hours)
+    latest = written(recent_items(items.where(F.size("tags") > 0), now, hours).select("id", "tags", "publish_time"), "items")
     people = profiles.where(F.size("tags") > 0).join(active_users(active, now, days), "device_id", "left_semi")
+    people = written(people.select("device_id", "tags"), "people")
     user_blocks, item_blocks = _blocks(people.count(), latest.count(), spark.sparkContext.defaultParallelism)
     ub, ib = F.pmod(F.xxhash64("device_id"), F.lit(user_blocks)), F.pmod(F.xxhash64("info_id"), F.lit(item_blocks))
     every_item_block = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(item_blocks - 1).cast("long")))

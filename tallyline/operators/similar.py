@@ -14,20 +14,13 @@ from pyspark.sql import functions as F
 
 from tallyline.functions.vectors import cosine, pearson
 from tallyline.operators.skew import lookup
-from tallyline.session import scratch
+from tallyline.session import written
 
 BLOCK = 2000   # vectors of a key's list that meet another such block in one task
 SLACK = 1e-9   # for sums of doubles in another order
 FLOAT_SLACK = 1e-6  # for bounds of unit vectors from single-precision weights and lengths
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    """A table that several jobs read: written to the shared folder, so that none repeats its work."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _classed(vectors: DataFrame) -> DataFrame:
     entries = F.array_sort(F.map_entries("vector"))
     return vectors.where(F.col("id").isNotNull() & F.col("vector").isNotNull()).select("id", entries.alias("entries"))
@@ -48,7 +41,7 @@ def vector_classes(vectors: DataFrame) -> DataFrame:
     """(id, representative): the smallest id with the same vector, for every id."""
     rows = _classed(vectors).withColumn("_h", F.xxhash64("entries"))
     least = rows.groupBy("_h", "entries").agg(F.min("id").alias("representative"))
-    return rows.join(_written(least, "classes"), ["_h", "entries"]).select("id", "representative")
+    return rows.join(written(least, "classes"), ["_h", "entries"]).select("id", "representative")
 
 
 def _indexed(vectors: DataFrame, least: float, measure: str, shared: int) -> DataFrame:
@@ -70,7 +63,7 @@ def _indexed(vectors: DataFrame, least: float, measure: str, shared: int) -> Dat
     else:
         rows = rows.drop("weight")
         keys = rows.groupBy("key").agg(F.count("*").alias("_n"))
-    ranked = lookup(rows, _written(keys.where("_n > 1"), "keys"), "key")
+    ranked = lookup(rows, written(keys.where("_n > 1"), "keys"), "key")
     # From the last key backwards, so that a running sum is that of the part from a key on. A key that no other
     # vector has adds nothing to any pair; it counts for the size and stands behind all others.
     back = Window.partitionBy("id").orderBy(F.desc_nulls_last("_n"), F.desc("key"))
@@ -103,7 +96,7 @@ def candidate_pairs(vectors: DataFrame, least: float, measure: str = "cosine", s
     a pair that shares no key that follows. A pair that reaches the threshold passes at the first
     key that both share.
     """
-    index = _written(_indexed(vectors, least, measure, shared), "index")
+    index = written(_indexed(vectors, least, measure, shared), "index")
     carried = {"weight": "_w", "rest": "_r", "later0": "_p", "later1": "_q"}
 
     def side(rows: DataFrame, name: str, *more: Column) -> DataFrame:
@@ -121,7 +114,7 @@ def candidate_pairs(vectors: DataFrame, least: float, measure: str = "cosine", s
 
     many = index.where("hot")
     lists = many.groupBy("key").agg(F.count("*").alias("_n")).where("_n > 1")
-    dealt = lookup(many, _written(lists.select("key", F.ceil(F.col("_n") / BLOCK).cast("int").alias("_blocks")), "lists"), "key")
+    dealt = lookup(many, written(lists.select("key", F.ceil(F.col("_n") / BLOCK).cast("int").alias("_blocks")), "lists"), "key")
     dealt = dealt.where("_blocks IS NOT NULL").withColumn("_own", F.expr("cast(pmod(xxhash64(id), _blocks) as int)"))
     left = side(dealt, "x", F.col("_own").alias("_i"), F.expr("explode(sequence(_own, _blocks - 1)) AS _j"))
     right = side(dealt, "y", F.col("_own").alias("_j"), F.expr("explode(sequence(0, _own)) AS _i"))
@@ -141,8 +134,8 @@ def similar_pairs(vectors: DataFrame, least: float, measure: str = "cosine", sha
     """
     if least <= 0 or measure not in ("cosine", "pearson") or shared < 2:
         raise ValueError("least must be positive, measure cosine or pearson, and shared two or more")
-    known = _written(distinct_vectors(vectors), "vectors")
-    pairs = _written(candidate_pairs(known.select("id", "vector"), least, measure, shared), "pairs")
+    known = written(distinct_vectors(vectors), "vectors")
+    pairs = written(candidate_pairs(known.select("id", "vector"), least, measure, shared), "pairs")
     for name in "ab":
         pairs = lookup(pairs, known.select(F.col("id").alias(name), F.col("vector").alias(f"_v{name}"), F.col("copies").alias(f"copies_{name}")), name)
     if measure == "cosine":

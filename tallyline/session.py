@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings: safe to apply to a session somebody else created.
 RUNTIME_CONF = {
@@ -63,3 +63,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder name under the shared folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """A table that several jobs read: written to the shared folder, so that none repeats its work."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -99,6 +99,25 @@ def test_few_items_are_scored():
     print("scored", index.scored / (users * m))
 
 
+def test_short_lists_are_read_at_a_time(monkeypatch):
+    """Two thousand items of three tags out of twenty: a user's lists are read in a few reads."""
+    r = np.random.default_rng(2)
+    tags = [r.choice(20, 3, replace=False) for _ in range(2000)]
+    index = recommend.TagIndex(np.arange(2000), np.zeros(2000, np.int64), tags, [r.random(3) + 0.1 for _ in tags])
+    reads, score = [], recommend.TagIndex._score
+    monkeypatch.setattr(recommend.TagIndex, "_score", lambda self, items: reads.append(len(items)) or score(self, items))
+    for _ in range(20):
+        index.best(np.arange(20), r.random(20), np.zeros(0, np.int64), 100)
+    assert len(reads) <= 20 * 4
+
+
+def test_users_are_made_once(world, spark):
+    """Profiles are long work: what deals out the users reads them as they were written to be counted."""
+    _, _, _, profiles, active, stuff, seen_df = world
+    plan = recommend.recommend_similar(profiles, active, stuff, seen_df, NOW, 7)._jdf.queryExecution().executedPlan().toString()
+    assert "/people-" in plan and "/items-" in plan and "active_time" not in plan
+
+
 def test_block_counts():
     assert recommend._blocks(0, 0, 8) == (1, 1)
     assert recommend._blocks(10_000, 100, 8) == (8, 1) and recommend._blocks(900, 100, 8) == (1, 1)
