@@ -8,7 +8,7 @@ from tallyline.catalog.registry import day_int, query, ts_text
 from tallyline.catalog.state import ACTIVE_DAYS_SQL, BASE_DEVICES_SQL, DAILY_ACTIVE_SQL, NEW_USERS_SQL
 from tallyline.operators import activity, bitmaps, devices, dims, funnel, merge, retention, rollup, scoring
 from tallyline.plans import daily
-from tallyline.session import scratch
+from tallyline.session import scratch, written
 from tallyline.sinks import bucketed
 
 
@@ -495,11 +495,11 @@ def flag_duplicate_ids(v):
     return devices.flag_duplicate_ids(o, "android_id", "aid_status")
 
 
-def _lines(v, *columns, where="true"):
-    """Line items with their customer: the raw signal log of a device."""
+def _lines(v, *columns, where="true", hint=None):
+    """Line items with their customer: the raw signal log of a device. ``hint`` is that of the orders in the join."""
     o = v.table("orders").where(where).select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", F.col("o_orderdate").cast("timestamp").alias("t"))
     li = v.table("lineitem").select("l_orderkey", *columns)
-    return li.join(o, "l_orderkey").withColumn("uuid", F.concat(F.lit("u"), F.col("o_custkey").cast("string")))
+    return li.join(o if hint is None else o.hint(hint), "l_orderkey").withColumn("uuid", F.concat(F.lit("u"), F.col("o_custkey").cast("string")))
 
 
 _LINES = "l AS (SELECT o_custkey AS c, o_orderdate AS t, li.* FROM lineitem li JOIN orders ON l_orderkey = o_orderkey)"
@@ -595,9 +595,14 @@ def device_flags(v):
 
 # --- score and grades ------------------------------------------------------------------------
 
-def _bases(v):
-    """Raw signal logs of the last orders of every customer."""
-    rows = _lines(v, "l_suppkey", "l_quantity", "l_partkey", "l_linenumber", "l_returnflag", "l_discount")
+# The 200 days before the day of the scores.
+_SIGNAL_WINDOW = "o_orderdate >= date '1998-07-01' - interval 200 days AND o_orderdate < date '1998-07-01'"
+
+
+def _bases(v, rows=None):
+    """Raw signal logs of the last orders of every customer, or of the given lines."""
+    if rows is None:
+        rows = _lines(v, "l_suppkey", "l_quantity", "l_partkey", "l_linenumber", "l_returnflag", "l_discount")
     rows = rows.withColumn("customer_id", F.lit("c"))
     at = lambda name: F.col("t").alias(name)
     pick = lambda *c: rows.select("uuid", "customer_id", *c)
@@ -638,7 +643,7 @@ def _score_signals(v):
     """All signals in one pass over the line items of the window; the per-day tables have queries of
     their own."""
     rows = _lines(v, "l_suppkey", "l_quantity", "l_linenumber", "l_returnflag", "l_discount",
-                  where="o_orderdate >= date '1998-07-01' - interval 200 days AND o_orderdate < date '1998-07-01'")
+                  where=_SIGNAL_WINDOW)
     n = F.col("l_linenumber")
     signal = lambda name, value=F.lit(None), amount=F.lit(None): F.struct(
         F.lit(name).alias("signal"), value.cast("string").alias("value"), amount.cast("long").alias("amount"))
@@ -658,15 +663,22 @@ def _score_signals(v):
 
 
 def _day_table_signals(v):
-    """The same signals through the per-day tables."""
-    daily_bases = devices.daily_signal_rollups(_bases(v))
-    rows = _lines(v, "l_discount")
+    """The same signals through the per-day tables.
+
+    The lines of the window are joined once and written, and so is every per-day table, as the
+    stored table that it is: a task that sums up a table does not hold the sums that are made from
+    it as well, and no more of a table than its share of the shuffle. The orders of the window are
+    hashed, so that the lines, which are many more, need not be sorted.
+    """
+    rows = written(_lines(v, "l_suppkey", "l_quantity", "l_linenumber", "l_returnflag", "l_discount", where=_SIGNAL_WINDOW,
+                          hint="shuffle_hash"), "lines")
+    daily_bases = {name: written(df, name) for name, df in devices.daily_signal_rollups(_bases(v, rows)).items()}
     date = F.date_format("t", "yyyyMMdd").cast("int").alias("create_date")
     return scoring.signal_counts({
         "power": rows.select("uuid", F.round(F.col("l_discount") * 100).cast("int").alias("power"), date),
         "station": daily_bases["stations"], "locked": daily_bases["locked"], "app_used": daily_bases["app_used"],
         "link": daily_bases["links"], "app_install": daily_bases["app_install"], "account": daily_bases["accounts"],
-        "active": rows.select("uuid", date).distinct(),
+        "active": written(rows.select("uuid", date).distinct(), "active"),
     }, "1998-07-01", days=200)
 
 

@@ -58,6 +58,13 @@ def test_signals_are_read_once(spark, name, most):
     assert text[:text.index("Initial Plan")].count("Scan parquet") <= most
 
 
+def test_day_tables_are_stored_before_they_are_counted(spark):
+    """The tasks that count signals read per-day tables: they neither join lines nor make the tables."""
+    text = plan(catalog.queries()["signal_counts"](spark, SF))
+    below = text[text.index("Union"):]
+    assert "Join" not in text and "Exchange" not in below and below.count("FileScan") == 8
+
+
 def test_partition_filter_prunes(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(10).selectExpr("id", "CAST(20240100 + id AS INT) AS stat_date").write.partitionBy("stat_date").parquet(path)
